@@ -7,7 +7,7 @@ multiplies rows in place; whatever needs a shuffle belongs before it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanbook.params import Calendar
@@ -33,11 +33,28 @@ def within(states: DataFrame, since: Column, until: Column, calendar: Calendar)
     return states.where(seen)
 
 
+def visible_totals(entries: DataFrame, calendar: Calendar) -> DataFrame:
+    """Entries a user has by each snapshot, and the day of the last one."""
+    in_order = Window.partitionBy("user_reference").orderBy("week_end")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    weeks = (
+        entries.groupBy("user_reference", "week_end")
+        .agg(F.count("*").alias("entries"), F.max("local_date").alias("last_day"))
+        .withColumns(
+            {
+                "entries": F.sum("entries").over(so_far),
+                "until": F.date_sub(F.lead("week_end").over(in_order), 7),
+            }
+        )
+    )
+    seen = expand(weeks, F.col("week_end"), F.col("until"), calendar)
+    return seen.select("snapshot", "user_reference", "entries", "last_day")
+
+
 def week_span(days: DataFrame, calendar: Calendar) -> DataFrame:
-    """One row per week of `days`, a date column `local_date` being spanned.
+    """One row per week from the first to the last `week_end` of `days`.
 
-    The weeks run from the first to the last day found, so this is the calendar
-    a ledger asks for by itself. `reported` marks the weeks of `calendar`.
+    `reported` marks the weeks of `calendar`.
     """
     ends = days.agg(F.min("week_end").alias("lo"), F.max("week_end").alias("hi"))
     weeks = F.sequence("lo", "hi", F.expr("interval 7 days"))
