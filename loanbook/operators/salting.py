@@ -15,28 +15,31 @@ def salted_left_join(
     key: str,
     spread_by: str,
     on: Column,
+    sizes: DataFrame,
     rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """`many` left join `few` on `key` and the residual `on`, hot keys split.
 
-    Keys with more than `rows_per_salt` rows in `many` are cut into salts by the
-    hash of `spread_by`, and the rows of `few` are repeated per salt of their key
-    only. NULL keys match nothing and are spread like any other. The hot keys
-    are broadcast: they are at most `count(many) / rows_per_salt` rows.
+    `sizes` has a row of `key` for each row that `many` can hold of it. Keys with
+    more than `rows_per_salt` of them are cut into salts by the hash of
+    `spread_by`, and the rows of `few` are repeated for the salts of their key
+    only. NULL keys match nothing and are spread by that hash alone. The hot keys
+    are broadcast: there are at most `count(sizes) / rows_per_salt`.
     """
     hot = F.broadcast(
-        many.groupBy(F.col(key).alias("_hot"))
+        sizes.where(F.col(key).isNotNull())
+        .groupBy(F.col(key).alias("_hot"))
         .count()
         .where(F.col("count") > rows_per_salt)
         .select("_hot", F.ceil(F.col("count") / rows_per_salt).alias("_salts"))
     )
-    salts = F.coalesce("_salts", F.lit(1))
-    salted = many.join(hot, F.col(key).eqNullSafe(F.col("_hot")), "left").withColumn(
-        "_salt", F.pmod(F.xxhash64(spread_by), salts)
-    )
+    spread, salts = F.xxhash64(spread_by), F.coalesce("_salts", F.lit(1))
+    salt = F.when(F.col(key).isNull(), spread).otherwise(F.pmod(spread, salts))
+    salted = many.join(hot, F.col(key) == F.col("_hot"), "left").withColumn("_salt", salt)
+    parts = F.sequence(F.lit(0).cast("long"), salts - 1)
     repeated = (
         few.join(hot, F.col(key) == F.col("_hot"), "left")
-        .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)))
+        .withColumn("_part", F.explode(parts))
         .withColumnRenamed(key, "_key")
         .drop("_hot", "_salts")
     )

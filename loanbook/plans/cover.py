@@ -50,12 +50,11 @@ class CoverBook:
 
     # --- entries ----------------------------------------------------------
 
-    def entries(self) -> DataFrame:
-        """Entries of known users up to the last snapshot."""
-        ledger = posted_by(self.tables.ledger, self.calendar.last)
-        entries = cover_entries(ledger, self.rules, self.zone)
-        visible = entries.where(F.col("local_date") <= F.lit(self.calendar.last))
-        return with_users(visible, self.tables.accounts, "inner")
+    def entries(self, ledger: DataFrame | None = None) -> DataFrame:
+        """Entries of known users."""
+        source = self.tables.ledger if ledger is None else ledger
+        entries = cover_entries(source, self.rules, self.zone)
+        return with_users(entries, self.tables.accounts, "inner")
 
     def since_first_loan(self) -> DataFrame:
         """Loans and repayments from the day of the user's first loan on."""
@@ -91,10 +90,10 @@ class CoverBook:
     # --- states -----------------------------------------------------------
 
     def days(self) -> DataFrame:
-        """One row per user and day with entries."""
+        """One row per user and day with entries that the calendar can see."""
         amount = F.col("Amount")
         return (
-            self.entries()
+            self.entries(posted_by(self.tables.ledger, self.calendar.last))
             .groupBy(USER, "week_end", "local_date")
             .agg(
                 F.sum(F.when(is_type(LOAN), amount)).alias("loaned"),

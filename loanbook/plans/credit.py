@@ -9,13 +9,12 @@ the calendar comes last and needs no shuffle.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanbook.functions import classify as cl
-from loanbook.functions.dates import civil, month_end, week_before, week_end
+from loanbook.functions.dates import civil, civil_date, month_end, week_before, week_end
 from loanbook.functions.money import emit
 from loanbook.operators.asof import expand, within
 from loanbook.operators.ledger import (
@@ -59,27 +58,34 @@ class CreditBook:
 
     # --- accounts ---------------------------------------------------------
 
+    def first_loans(self) -> DataFrame:
+        """First withdrawal of every account that has one."""
+        return (
+            self.tables.ledger.where(F.col("PaymentCode") == self.rules.borrow_code)
+            .groupBy(F.col("UserAccount").alias(ACCOUNT))
+            .agg(F.min(civil(F.col("PostedAt"), self.zone)).alias("first_loan_date"))
+        )
+
     def activity(self) -> DataFrame:
-        """Per account: week of first activity, first withdrawal, ever accessed."""
-        codes, code = self.rules.activity_codes, F.col("PaymentCode")
-        posted = civil(F.col("PostedAt"), self.zone)
-        first_loan = F.min(F.when(code == self.rules.borrow_code, posted))
+        """Per active account: week of its first activity, whether ever accessed."""
+        code, day = F.col("PaymentCode"), civil_date(F.col("PostedAt"), self.zone)
         return (
-            self.tables.ledger.where(code.isin(*codes))
+            self.tables.ledger.where(code.isin(*self.rules.activity_codes))
             .groupBy(F.col("UserAccount").alias(ACCOUNT))
             .agg(
-                week_end(F.to_date(F.min(posted))).alias("first_week"),
-                first_loan.alias("first_loan_date"),
+                week_end(F.min(day)).alias("first_week"),
+                F.max(F.when(code == self.rules.borrow_code, "Yes")).alias("ever_accessed"),
             )
-            .withColumn("ever_accessed", F.when(F.col("first_loan_date").isNotNull(), "Yes"))
         )
 
-    def holders(self) -> DataFrame:
-        """Active accounts with their users; unmapped ones keep a NULL user."""
-        owners = account_map(self.tables.accounts).withColumnRenamed(
+    def owners(self) -> DataFrame:
+        return account_map(self.tables.accounts).withColumnRenamed(
             "account_group_identifier", ACCOUNT
         )
-        return self.activity().join(owners, ACCOUNT, "left")
+
+    def holders(self) -> DataFrame:
+        """Active accounts with their users; unmapped ones keep a NULL user."""
+        return self.activity().join(self.owners(), ACCOUNT, "left")
 
     def facilities(self) -> DataFrame:
         """First opening and latest terms of accounts with a loan of the book.
@@ -104,7 +110,7 @@ class CreditBook:
 
     def accounts(self) -> DataFrame:
         """Account spine: holders with a facility of the book."""
-        return self.holders().join(self.facilities(), ACCOUNT).drop("first_loan_date")
+        return self.holders().join(self.facilities(), ACCOUNT)
 
     def live_accounts(self) -> DataFrame:
         """Accounts with the last day, `closes`, that still reports them.
@@ -125,21 +131,18 @@ class CreditBook:
 
     # --- entries ----------------------------------------------------------
 
-    def entries(self) -> DataFrame:
+    def entries(self, ledger: DataFrame | None = None) -> DataFrame:
         """Entries of known users, repayments before the first loan left out."""
-        holders = (
-            self.holders()
-            .where(F.col(USER).isNotNull() & F.col("first_loan_date").isNotNull())
-            .select(F.col(ACCOUNT).alias("UserAccount"), USER, "first_loan_date")
+        known = F.col(USER).isNotNull()
+        borrowers = (
+            self.first_loans()
+            .join(self.owners().where(known), ACCOUNT)
+            .withColumnRenamed(ACCOUNT, "UserAccount")
         )
-        ledger = posted_by(self.tables.ledger, self.calendar.last)
         counted = is_borrow() | (F.col("PostedAt") >= F.col("first_loan_date"))
-        return (
-            credit_entries(ledger, self.rules, self.zone)
-            .where(F.col("local_date") <= F.lit(self.calendar.last))
-            .join(holders, "UserAccount")
-            .where(counted)
-        )
+        source = self.tables.ledger if ledger is None else ledger
+        entries = credit_entries(source, self.rules, self.zone)
+        return entries.join(borrowers, "UserAccount").where(counted)
 
     def running_balance(self) -> DataFrame:
         """Every entry with the user's balance after it."""
@@ -202,7 +205,7 @@ class CreditBook:
     # --- states -----------------------------------------------------------
 
     def days(self) -> DataFrame:
-        """One row per user and day with entries.
+        """One row per user and day with entries that the calendar can see.
 
         `repaid_after` is what was repaid at or after the day's last withdrawal.
         """
@@ -212,7 +215,7 @@ class CreditBook:
         repaid = F.when(~is_borrow(), -amount)
         last_borrow = F.max(borrowed_at).over(Window.partitionBy(*day))
         return (
-            self.entries()
+            self.entries(posted_by(self.tables.ledger, self.calendar.last))
             .withColumn("last_borrow", last_borrow)
             .groupBy(*day)
             .agg(
@@ -330,8 +333,9 @@ class CreditBook:
         overlap = (F.coalesce("since", "first_week") <= F.col("closes")) & (
             F.coalesce("until", "closes") >= F.col("first_week")
         )
+        # A user has as many accounts in the report as rows in the account map.
         pairs = salted_left_join(
-            self.live_accounts(), spans, USER, ACCOUNT, overlap, self.rows_per_salt
+            self.live_accounts(), spans, USER, ACCOUNT, overlap, self.owners(), self.rows_per_salt
         )
         expanded = expand(
             pairs,
@@ -420,7 +424,3 @@ class CreditBook:
             }
         )
         return flagged.select(ROLL_COLUMNS)
-
-
-def stack(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)

@@ -48,7 +48,7 @@ posted as (
 CREDIT = f"""
 cb as (
   select *, if(code = 'CB-BORROW', 'Borrow', 'Repay') as kind
-  from posted where code in ('CB-BORROW', 'CB-REPAY') and day <= date '{_CAL.last}'),
+  from posted where code in ('CB-BORROW', 'CB-REPAY')),
 cb_opening as (select acct, min(ts) as first_loan from cb where kind = 'Borrow' group by acct),
 cb_valid as (
   select cb.*, first_loan, if(kind = 'Borrow', amt, -amt) as signed
@@ -162,8 +162,7 @@ cv as (
   select *, case code when 'CV-FEE' then '1. fee' when 'CV-LOAN' then '2. loan'
                       else '3. repayment' end as kind
   from posted
-  where code in ('CV-FEE', 'CV-LOAN', 'CV-REPAY') and usr is not null
-    and day <= date '{_CAL.last}'),
+  where code in ('CV-FEE', 'CV-LOAN', 'CV-REPAY') and usr is not null),
 cv_seen as (select cal.snapshot, cv.* from cal join cv on cv.day <= cal.snapshot),
 cv_marks as (
   select snapshot, usr,
