@@ -60,10 +60,9 @@ def credit_bucket(balance: Column, due: Column, snapshot: Column) -> Column:
     )
 
 
-def untouched_status(status: Column, updated: Column, snapshot: Column, rules: CreditRules) -> Column:
+def untouched_status(cancelled_on: Column, snapshot: Column) -> Column:
     """Status of an account without any loan movement."""
-    gone = (status == rules.cancelled) & (F.to_date(updated) <= snapshot)
-    return F.when(gone, CREDIT_CANCELLED).otherwise(CREDIT_CURRENT)
+    return F.when(cancelled_on <= snapshot, CREDIT_CANCELLED).otherwise(CREDIT_CURRENT)
 
 
 def new_default(status: Column, before: Column, default: str) -> Column:
@@ -78,18 +77,27 @@ def expected_fees(last_loan: Column, snapshot: Column) -> Column:
     return F.floor(F.datediff(snapshot, last_loan) / 30)
 
 
-def cover_due_date(
-    last_loan: Column, last_fee: Column, fees: Column, snapshot: Column, rules: CoverRules
-) -> Column:
-    """Due date; from the rule change on, each fee paid buys another period."""
+def cover_paid_until(last_loan: Column, last_fee: Column, rules: CoverRules) -> Column:
+    """Due date while the fees are paid up."""
     from_loan = F.date_add(last_loan, rules.grace_days)
     from_fee = F.date_add(F.coalesce(last_fee, last_loan), rules.grace_days)
-    by_fees = F.date_add(last_loan, ((1 + fees) * rules.grace_days).cast("int"))
-    return (
-        F.when(last_loan <= F.lit(rules.fee_rule_after), from_loan)
-        .when(fees >= expected_fees(last_loan, snapshot), from_fee)
-        .otherwise(by_fees)
-    )
+    return F.when(last_loan <= F.lit(rules.fee_rule_after), from_loan).otherwise(from_fee)
+
+
+def cover_lapses_on(last_loan: Column, fees: Column, rules: CoverRules) -> Column:
+    """Day from which a fee is missing, and due date from then on.
+
+    `fees >= floor(days / 30)` holds while `days < 30 * (fees + 1)`, so the
+    missing fee shows on the day that the paid ones reach to. Loans up to the
+    rule change are due after one period whatever was paid.
+    """
+    from_loan = F.date_add(last_loan, rules.grace_days)
+    bought = F.date_add(last_loan, ((1 + fees) * rules.grace_days).cast("int"))
+    return F.when(last_loan <= F.lit(rules.fee_rule_after), from_loan).otherwise(bought)
+
+
+def cover_due_date(paid_until: Column, lapses_on: Column, snapshot: Column) -> Column:
+    return F.when(snapshot < lapses_on, paid_until).otherwise(lapses_on)
 
 
 def cover_update_date(last_loan: Column, last_payment: Column) -> Column:

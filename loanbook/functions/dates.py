@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 _DAY_NAMES = ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")
 
 
+def utc_session() -> bool:
+    """Whether times with and without a zone read alike in the session."""
+    session = SparkSession.getActiveSession()
+    return session is not None and session.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
 def civil(ts: Column, zone: str) -> Column:
-    """Wall-clock time in `zone` of a UTC `timestamp_ntz`."""
+    """Wall-clock time in `zone` of a UTC `timestamp_ntz`.
+
+    Shifting an instant is many times faster than `convert_timezone`, but reads
+    the stored time in the session's zone and so needs that to be UTC.
+    """
+    if utc_session():
+        return F.from_utc_timestamp(ts.cast("timestamp"), zone).cast("timestamp_ntz")
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), ts)
 
 

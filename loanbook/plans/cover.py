@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanbook.functions import classify as cl
-from loanbook.functions.dates import week_before, week_end
+from loanbook.functions.dates import week_end
 from loanbook.functions.money import emit
 from loanbook.operators.asof import expand, within
 from loanbook.operators.ledger import (
@@ -107,20 +107,15 @@ class CoverBook:
     def states(self) -> DataFrame:
         """A user's state at the end of each week with entries, from the first loan.
 
-        Rows hold from `week_end` until the week before `next_week`. `was_*` is
-        the state before.
+        Rows hold from `week_end` until the week before `next_week`. `was_status`
+        is the bucket that the state before ended in.
         """
         in_order = Window.partitionBy(USER).orderBy("week_end", "local_date")
         so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        in_week = (
-            Window.partitionBy(USER, "week_end")
-            .orderBy("local_date")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
+        by_week = Window.partitionBy(USER).orderBy("week_end")
         day, zero = F.col("local_date"), F.lit(0)
-        owed = F.coalesce("loaned", zero) - F.coalesce("repaid", zero)
+        loaned, repaid = F.coalesce("loaned", zero), F.coalesce("repaid", zero)
         fees_at_loan = F.when(F.col("loan_day").isNotNull(), F.col("fees_ever"))
-        repaid_count = F.sum("repayments").over(in_week)
         carried = (
             self.days()
             .withColumns(
@@ -130,35 +125,61 @@ class CoverBook:
                     "last_fee_date": F.max(F.when(F.col("fees") > 0, day)).over(so_far),
                     "last_payment_date": F.max(F.when(F.col("repayments") > 0, day)).over(so_far),
                     "fees_ever": F.sum("fees").over(so_far),
-                    "num_loans_in_week": F.when(
-                        F.max("loan_day").over(in_week).isNotNull(), F.lit(1)
-                    ),
-                    "total_loaned_in_week": F.sum("loaned").over(in_week),
-                    "num_repayments_in_week": F.when(repaid_count > 0, repaid_count),
-                    "total_repaid_in_week": F.sum("repaid").over(in_week),
+                    "loaned_ever": F.sum(loaned).over(so_far),
+                    "repaid_ever": F.sum(repaid).over(so_far),
+                    "repayments_ever": F.sum("repayments").over(so_far),
                     "next_week": F.lead("week_end").over(in_order),
                 }
             )
             .withColumns(
                 {
-                    "OS": F.sum(F.when(day >= F.col("first_loan"), owed)).over(so_far),
+                    "OS": F.sum(F.when(day >= F.col("first_loan"), loaned - repaid)).over(so_far),
                     # Fees paid on the day of the last loan or before do not count.
                     "num_fee_payments": F.col("fees_ever")
                     - F.last(fees_at_loan, ignorenulls=True).over(so_far),
                 }
             )
             .where("next_week is null or next_week > week_end")
-            .where(F.col("OS").isNotNull())
         )
-        by_week = Window.partitionBy(USER).orderBy("week_end")
-        kept = ("OS", "last_loan_date", "last_fee_date", "num_fee_payments")
-        return carried.select(
-            USER, "week_end", "next_week", *kept, "last_payment_date", *_FLOWS
-        ).withColumns(
+        last_loan, last_fee = F.col("last_loan_date"), F.col("last_fee_date")
+        fees, last_seen = F.col("num_fee_payments"), F.date_sub("next_week", 7)
+        dated = carried.withColumns(
+            {
+                "paid_until": cl.cover_paid_until(last_loan, last_fee, self.rules),
+                "lapses_on": cl.cover_lapses_on(last_loan, fees, self.rules),
+            }
+        ).withColumn("ended_in", F.when(F.col("OS").isNotNull(), self._bucket(last_seen)))
+
+        def in_week(ever: str) -> Column:
+            return F.col(ever) - F.coalesce(F.lag(ever).over(by_week), zero)
+
+        # Flows of the week, and the bucket seen in the snapshot before this state.
+        flows = dated.withColumns(
             {
-                "was_week": F.lag("week_end").over(by_week),
-                **{f"was_{name}": F.lag(name).over(by_week) for name in kept},
+                "was_status": F.lag("ended_in").over(by_week),
+                "total_loaned_in_week": in_week("loaned_ever"),
+                "num_repayments_in_week": in_week("repayments_ever"),
+                "total_repaid_in_week": in_week("repaid_ever"),
             }
+        ).where("OS is not null")
+        lent = last_loan > F.date_sub("week_end", 7)
+        paid = F.col("num_repayments_in_week") > 0
+        return flows.select(
+            USER,
+            "week_end",
+            "next_week",
+            "OS",
+            "last_loan_date",
+            "last_fee_date",
+            "last_payment_date",
+            "num_fee_payments",
+            "paid_until",
+            "lapses_on",
+            "was_status",
+            F.when(lent, F.lit(1)).alias("num_loans_in_week"),
+            F.when(lent, F.col("total_loaned_in_week")).alias("total_loaned_in_week"),
+            F.when(paid, F.col("num_repayments_in_week")).alias("num_repayments_in_week"),
+            F.when(paid, F.col("total_repaid_in_week")).alias("total_repaid_in_week"),
         )
 
     def flags(self) -> DataFrame:
@@ -191,37 +212,46 @@ class CoverBook:
         own = F.col("snapshot") == F.col("week_end")
         return expanded.withColumns({name: F.when(own, F.col(name)) for name in _FLOWS})
 
-    def _due(self, snapshot: Column, prefix: str = "") -> Column:
-        last_loan, last_fee, fees = (
-            F.col(prefix + name) for name in ("last_loan_date", "last_fee_date", "num_fee_payments")
-        )
-        return cl.cover_due_date(last_loan, last_fee, fees, snapshot, self.rules)
+    @staticmethod
+    def _due(snapshot: Column) -> Column:
+        return cl.cover_due_date(F.col("paid_until"), F.col("lapses_on"), snapshot)
 
-    def _bucket(self, snapshot: Column, prefix: str = "") -> Column:
-        return cl.cover_bucket(F.col(prefix + "OS"), self._due(snapshot, prefix), snapshot)
+    @classmethod
+    def _bucket(cls, snapshot: Column) -> Column:
+        return cl.cover_bucket(F.col("OS"), cls._due(snapshot), snapshot)
 
     def _evaluated(self, spans: DataFrame) -> DataFrame:
-        """State rows at every snapshot, with their dates, bucket and previous bucket."""
-        snapshot, before = F.col("snapshot"), F.date_sub("snapshot", 7)
+        """State rows at every snapshot, with their dates, bucket and previous bucket.
+
+        What does not depend on the snapshot is worked out before the expansion.
+        """
         last_loan, last_payment = F.col("last_loan_date"), F.col("last_payment_date")
-        # One week earlier the same state held, or else the one before it.
-        status_before = F.when(F.col("week_end") <= before, self._bucket(before)).when(
-            F.col("was_week").isNotNull(), self._bucket(before, "was_")
-        )
-        reported = F.when(before >= F.lit(self.calendar.first), status_before)
-        return self._expanded(spans).withColumns(
+        dated = spans.withColumns(
             {
-                "prev_snap": week_before(snapshot),
-                "num_expected_fee_payments": cl.expected_fees(last_loan, snapshot),
                 "orig_due_date": F.date_add(last_loan, self.rules.grace_days),
-                "due_date": self._due(snapshot),
                 "update_date": cl.cover_update_date(last_loan, last_payment),
                 "cohort_end": week_end(last_loan),
                 "cohort_paid": week_end(last_payment),
-                "snapshot_status": self._bucket(snapshot),
-                "prev_status": F.coalesce(reported, F.lit(cl.NON_EXISTENT)),
             }
         )
+        snapshot, before = F.col("snapshot"), F.col("prev_snap")
+        status_before = (
+            F.when(before < F.lit(self.calendar.first), cl.NON_EXISTENT)
+            .when(before >= F.col("week_end"), self._bucket(before))
+            .otherwise(F.coalesce("was_status", F.lit(cl.NON_EXISTENT)))
+        )
+        return (
+            self._expanded(dated)
+            .withColumn("prev_snap", F.date_sub(snapshot, 7))
+            .withColumns(
+                {
+                    "num_expected_fee_payments": cl.expected_fees(last_loan, snapshot),
+                    "due_date": self._due(snapshot),
+                    "snapshot_status": self._bucket(snapshot),
+                    "prev_status": status_before,
+                }
+            )
+        )
 
     def state_snapshots(self) -> DataFrame:
         return self._evaluated(self._spans())
@@ -248,15 +278,16 @@ class CoverBook:
         # Flags join the states while there is one row per user and week.
         spans = self._spans().join(self.flags(), USER, "left")
         money = ("OS", "total_loaned_in_week", "total_repaid_in_week")
+        flags = ("grad_flag", "migration_flag")
+        shown = spans.withColumns(
+            {
+                **{name: emit(F.col(name)) for name in money},
+                **{name: F.coalesce(name, F.lit(0)) for name in flags},
+            }
+        )
+        expected = F.col("num_expected_fee_payments").cast("double")
         return (
-            self.rolled(spans)
-            .withColumns({name: emit(F.col(name)) for name in money})
-            .withColumns(
-                {
-                    "num_expected_fee_payments": F.col("num_expected_fee_payments").cast("double"),
-                    "grad_flag": F.coalesce("grad_flag", F.lit(0)),
-                    "migration_flag": F.coalesce("migration_flag", F.lit(0)),
-                }
-            )
+            self.rolled(shown)
+            .withColumn("num_expected_fee_payments", expected)
             .select(REPORT_COLUMNS)
         )

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanbook.functions import classify as cl
-from loanbook.functions.dates import civil, civil_date, month_end, week_before, week_end
+from loanbook.functions.dates import civil, civil_date, month_end, week_end
 from loanbook.functions.money import emit
 from loanbook.operators.asof import expand, within
 from loanbook.operators.ledger import (
@@ -40,14 +40,12 @@ REPORT_COLUMNS = [
 ]
 ROLL_COLUMNS = [*REPORT_COLUMNS, "prev_status", "new_loan", "new_default"]
 
+_FLOWS = ("in_month_withdrawals", "in_month_repayments")
+
 # A user's entries in order: time, withdrawals first, then id.
 ENTRY_ORDER = ("PostedAt", "TR_Desc", "TransactionID")
 
 
-def last_of(value: Column, window) -> Column:
-    return F.last(value, ignorenulls=True).over(window)
-
-
 @dataclass(frozen=True)
 class CreditBook:
     tables: Tables
@@ -231,54 +229,53 @@ class CreditBook:
         """A user's state at the end of each week with entries.
 
         Rows hold from `week_end` until the week before `next_week`, the end of
-        the next week with entries. `was_*` is the state before.
+        the next week with entries. `was_status` is the bucket that the state
+        before ended in, NULL for a user's first.
         """
         in_order = Window.partitionBy(USER).orderBy("week_end", "local_date")
         so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        in_week = (
-            Window.partitionBy(USER, "week_end")
-            .orderBy("local_date")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
+        by_week = Window.partitionBy(USER).orderBy("week_end")
         zero = F.lit(0)
         withdrawn, repaid = F.coalesce("withdrawn", zero), F.coalesce("repaid", zero)
-        # Repaid up to the last withdrawal: the base that `repaid_since` starts from.
+        # Repaid before the last withdrawal: where `repaid_since` starts from.
         base = F.when(
             F.col("borrowed_at").isNotNull(),
             F.col("repaid_ever") - F.coalesce("repaid_after", zero),
         )
-        paid_last = F.col("last_repaid") >= F.col("last_borrowed")
         carried = (
             self.days()
             .withColumns(
                 {
-                    "balance": F.sum(withdrawn - repaid).over(so_far),
+                    "withdrawn_ever": F.sum(withdrawn).over(so_far),
                     "repaid_ever": F.sum(repaid).over(so_far),
                     "last_borrowed": F.max("borrowed_at").over(so_far),
                     "last_repaid": F.max("repaid_at").over(so_far),
-                    "in_month_withdrawals": F.sum("withdrawn").over(in_week),
-                    "in_month_repayments": F.sum("repaid").over(in_week),
                     "next_week": F.lead("week_end").over(in_order),
                 }
             )
-            .withColumn("repaid_since", F.col("repaid_ever") - last_of(base, so_far))
+            .withColumn(
+                "repaid_since",
+                F.col("repaid_ever") - F.last(base, ignorenulls=True).over(so_far),
+            )
             .where("next_week is null or next_week > week_end")
         )
+        balance = F.col("withdrawn_ever") - F.col("repaid_ever")
+        paid_last = F.col("last_repaid") >= F.col("last_borrowed")
         state = carried.select(
             USER,
             "week_end",
             "next_week",
+            "withdrawn_ever",
+            "repaid_ever",
+            "last_borrowed",
+            "last_repaid",
             F.greatest("last_borrowed", "last_repaid").alias("last_TR"),
             F.when(paid_last, REPAY).otherwise(BORROW).alias("Last_TR_Desc"),
-            cl.snap_to_zero(F.col("balance"), self.rules).alias("OS"),
-            "in_month_withdrawals",
-            "in_month_repayments",
+            cl.snap_to_zero(balance, self.rules).alias("OS"),
             F.when(paid_last, F.col("last_borrowed")).alias("PrevWithdrawDate"),
             F.when(paid_last, F.col("last_repaid")).alias("RepaymentDate"),
             F.when(paid_last, F.col("repaid_since")).alias("RepaymentAmount"),
-            F.when(paid_last, F.col("repaid_since") + F.col("balance"))
-            .otherwise(F.col("balance"))
-            .alias("prev_OS"),
+            F.when(paid_last, F.col("repaid_since") + balance).otherwise(balance).alias("prev_OS"),
         )
         due = cl.credit_due_at(
             F.col("last_TR"),
@@ -287,14 +284,24 @@ class CreditBook:
             F.col("prev_OS"),
             self.rules,
         )
-        by_week = Window.partitionBy(USER).orderBy("week_end")
-        return state.withColumn("due_at", due).withColumns(
+        last_seen = F.date_sub("next_week", 7)
+        dated = state.withColumn("due_at", due).withColumn(
+            "ended_in", cl.credit_bucket(F.col("OS"), F.to_date("due_at"), last_seen)
+        )
+        # Flows of the week, and the bucket seen in the snapshot before this state.
+        week_start = F.date_sub("week_end", 6)
+
+        def in_week(ever: str, last: str) -> Column:
+            flow = F.col(ever) - F.coalesce(F.lag(ever).over(by_week), zero)
+            return F.when(F.to_date(last) >= week_start, flow)
+
+        return dated.withColumns(
             {
-                "was_week": F.lag("week_end").over(by_week),
-                "was_OS": F.lag("OS").over(by_week),
-                "was_due_at": F.lag("due_at").over(by_week),
+                "was_status": F.lag("ended_in").over(by_week),
+                "in_month_withdrawals": in_week("withdrawn_ever", "last_borrowed"),
+                "in_month_repayments": in_week("repaid_ever", "last_repaid"),
             }
-        )
+        ).drop("withdrawn_ever", "repaid_ever", "last_borrowed", "last_repaid", "ended_in")
 
     def state_snapshots(self) -> DataFrame:
         """The state of every user at every snapshot since the first entry."""
@@ -304,92 +311,90 @@ class CreditBook:
             F.date_sub("next_week", 7),
             self.calendar,
         )
-        return self._flows_in_own_week(seen)
-
-    @staticmethod
-    def _flows_in_own_week(expanded: DataFrame) -> DataFrame:
-        """Flows belong to the week they happened in, not to later snapshots."""
+        # Flows belong to the week they happened in, not to later snapshots.
         own = F.col("snapshot") == F.col("week_end")
-        flows = ("in_month_withdrawals", "in_month_repayments")
-        return expanded.withColumns({name: F.when(own, F.col(name)) for name in flows})
+        return seen.withColumns({name: F.when(own, F.col(name)) for name in _FLOWS})
 
     # --- report -----------------------------------------------------------
 
-    def joined(self) -> DataFrame:
-        """Accounts with their user's state at every snapshot, as evaluated columns.
+    def _accounts_with_states(self) -> DataFrame:
+        """Accounts with each state of their user and the span it is seen in.
 
-        A user's first state also spans the weeks before it, with
-        `has_state` false, so that the states leave no gap and the join can run
-        on spans instead of snapshots.
+        A user's first state also spans the weeks before it, so that the states
+        leave no gap and an account meets one at each of its snapshots. What does
+        not depend on the snapshot is worked out here, before rows multiply.
         """
-        since = F.when(F.col("was_week").isNotNull(), F.col("week_end"))
-        until = F.date_sub("next_week", 7)
-        spans = within(
-            self.states().withColumns({"since": since, "until": until}),
-            F.coalesce("since", F.lit(self.calendar.first)),
-            F.col("until"),
-            self.calendar,
-        )
-        overlap = (F.coalesce("since", "first_week") <= F.col("closes")) & (
-            F.coalesce("until", "closes") >= F.col("first_week")
-        )
-        # A user has as many accounts in the report as rows in the account map.
-        pairs = salted_left_join(
-            self.live_accounts(), spans, USER, ACCOUNT, overlap, self.owners(), self.rows_per_salt
+        opened = F.to_date("open_date")
+        accounts = self.live_accounts().withColumns(
+            {
+                "open_date": opened,
+                "cohort_end_month": month_end(opened),
+                "cohort_end": week_end(opened),
+                "cancelled_on": F.when(
+                    F.col("status") == self.rules.cancelled, F.to_date("updated_at")
+                ),
+                "CBLimit": F.col("CBLimit").cast("long"),
+                "opening": F.greatest("first_week", F.lit(self.calendar.first)),
+            }
         )
-        expanded = expand(
-            pairs,
-            F.greatest("first_week", "since"),
-            F.least("closes", "until"),
-            self.calendar,
+        spans = self.states().select(
+            USER,
+            "week_end",
+            "was_status",
+            F.to_date("due_at").alias("due_date"),
+            *[emit(F.col(name)).alias(name) for name in ("OS", *_FLOWS)],
+            F.when(F.col("was_status").isNotNull(), F.col("week_end")).alias("since"),
+            F.date_sub("next_week", 7).alias("until"),
         )
-        return self._flows_in_own_week(expanded).withColumn(
-            "has_state", F.coalesce(F.col("snapshot") >= F.col("week_end"), F.lit(False))
+        seen = within(
+            spans, F.coalesce("since", F.lit(self.calendar.first)), F.col("until"), self.calendar
         )
-
-    def _status(self, snapshot: Column) -> Column:
-        """Status of the row's account at `snapshot`, this one or the one before."""
-        current = cl.credit_bucket(F.col("OS"), F.to_date("due_at"), snapshot)
-        earlier = cl.credit_bucket(F.col("was_OS"), F.to_date("was_due_at"), snapshot)
-        untouched = cl.untouched_status(
-            F.col("status"), F.col("updated_at"), snapshot, self.rules
+        overlap = (F.coalesce("since", "first_week") <= F.col("closes")) & (
+            F.coalesce("until", "closes") >= F.col("first_week")
         )
-        return (
-            F.when(F.col("week_end") <= snapshot, current)
-            .when(F.col("was_week").isNotNull(), earlier)
-            .otherwise(untouched)
+        # A user has at most as many accounts in the report as in the account map.
+        return salted_left_join(
+            accounts, seen, USER, ACCOUNT, overlap, self.owners(), self.rows_per_salt
         )
 
     def _evaluated(self) -> DataFrame:
-        snapshot = F.col("snapshot")
-        has_state, opened = F.col("has_state"), F.to_date("open_date")
-        opening = F.greatest("first_week", F.lit(self.calendar.first))
+        """The report with the account's status in the snapshot before, if it had one."""
+        snapshot, before = F.col("snapshot"), F.col("prev_snap")
+        week = F.col("week_end")
 
-        def of_state(value: Column) -> Column:
-            return F.when(has_state, value)
+        def untouched(at: Column) -> Column:
+            return cl.untouched_status(F.col("cancelled_on"), at)
 
-        def money(name: str) -> Column:
-            return emit(F.coalesce(of_state(F.col(name)), F.lit(0)))
+        def bucket(at: Column) -> Column:
+            return cl.credit_bucket(F.col("OS"), F.col("due_date"), at)
 
-        return self.joined().select(
-            snapshot,
-            F.when(has_state, "Yes").otherwise("No").alias("accessed"),
-            USER,
-            ACCOUNT,
-            opened.alias("open_date"),
-            "loan_type",
-            F.col("CBLimit").cast("long").alias("CBLimit"),
-            self._status(snapshot).alias("snapshot_status"),
-            money("in_month_withdrawals").alias("in_month_withdrawals"),
-            money("in_month_repayments").alias("in_month_repayments"),
-            money("OS").alias("OS"),
-            F.coalesce(of_state(F.to_date("due_at")), snapshot).alias("due_date"),
-            week_before(snapshot).alias("prev_snap"),
-            month_end(opened).alias("cohort_end_month"),
-            week_end(opened).alias("cohort_end"),
-            "ever_accessed",
-            (snapshot == opening).alias("opens"),
-            self._status(F.date_sub(snapshot, 7)).alias("status_before"),
+        expanded = expand(
+            self._accounts_with_states(),
+            F.greatest("first_week", "since"),
+            F.least("closes", "until"),
+            self.calendar,
+        ).withColumn("prev_snap", F.date_sub(snapshot, 7))
+        # Before its first week, and without any, a state has no part in the row.
+        has_state, own_week = snapshot >= week, snapshot == week
+        status_before = (
+            F.when(before >= week, bucket(before))
+            .when(F.col("was_status").isNotNull(), F.col("was_status"))
+            .otherwise(untouched(before))
+        )
+        return expanded.withColumns(
+            {
+                "accessed": F.when(has_state, "Yes").otherwise("No"),
+                "snapshot_status": F.when(has_state, bucket(snapshot)).otherwise(
+                    untouched(snapshot)
+                ),
+                "status_before": status_before,
+            }
+        ).withColumns(
+            {
+                **{n: F.coalesce(F.when(own_week, F.col(n)), F.lit(0.0)) for n in _FLOWS},
+                "OS": F.when(has_state, F.col("OS")).otherwise(F.lit(0.0)),
+                "due_date": F.when(has_state, F.col("due_date")).otherwise(snapshot),
+            }
         )
 
     def report(self) -> DataFrame:
@@ -409,7 +414,7 @@ class CreditBook:
         accessed = F.col("ever_accessed").eqNullSafe("Yes")
         by_cohort = F.when(starts, cl.NON_EXISTENT).otherwise(cl.CREDIT_CURRENT)
         # Accounts never accessed have no history to roll.
-        rolls = accessed & ~F.col("opens")
+        rolls = accessed & (F.col("snapshot") > F.col("opening"))
         before = F.when(rolls, F.col("status_before")).otherwise(by_cohort)
         new_loan = F.when(~rolls & starts, yes).otherwise(no)
         default = cl.new_default(F.col("snapshot_status"), before, cl.CREDIT_DEFAULT)

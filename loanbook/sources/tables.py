@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loanbook.functions.dates import utc_session
+
 
 def _schema(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
@@ -54,7 +56,8 @@ def conform(table: DataFrame, schema: T.StructType) -> DataFrame:
     found = dict(table.dtypes)
     columns = []
     for field in schema:
-        if isinstance(field.dataType, T.TimestampNTZType) and found[field.name] == "timestamp":
+        instant = found[field.name] == "timestamp" and not utc_session()
+        if isinstance(field.dataType, T.TimestampNTZType) and instant:
             micros = f"timestampadd(MICROSECOND, unix_micros(`{field.name}`), {_UTC_EPOCH})"
             columns.append(F.expr(micros).alias(field.name))
         else:
