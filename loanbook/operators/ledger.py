@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loanbook.functions.dates import civil, week_end
 from loanbook.functions.money import parse_amount
+from loanbook.operators.salting import ROWS_PER_SALT, row_counts, salted_join
 from loanbook.params import CoverRules, CreditRules
 
 BORROW, REPAY = "Borrow", "Repay"
@@ -22,12 +23,24 @@ def account_map(accounts: DataFrame) -> DataFrame:
     return accounts.select("account_group_identifier", "user_reference").distinct()
 
 
-def with_users(entries: DataFrame, accounts: DataFrame, how: str = "left") -> DataFrame:
+def with_users(
+    entries: DataFrame, accounts: DataFrame, how: str = "left", rows_per_salt: int = ROWS_PER_SALT
+) -> DataFrame:
     """Attach `user_reference` by `UserAccount`; `left` keeps unmapped accounts."""
     owners = account_map(accounts).withColumnRenamed("account_group_identifier", "UserAccount")
     if how == "inner":
         owners = owners.where(F.col("user_reference").isNotNull())
-    return entries.join(owners, "UserAccount", how)
+    return with_owners(entries, owners, how, rows_per_salt)
+
+
+def with_owners(
+    entries: DataFrame, owners: DataFrame, how: str, rows_per_salt: int = ROWS_PER_SALT
+) -> DataFrame:
+    """Join what `owners` has per `UserAccount` to ledger entries."""
+    counts = row_counts(entries, "UserAccount")
+    return salted_join(
+        entries, owners, "UserAccount", "TransactionID", counts, how, rows_per_salt=rows_per_salt
+    )
 
 
 def posted_by(ledger: DataFrame, last_day: date) -> DataFrame:

@@ -15,11 +15,14 @@ from loanbook.operators.ledger import (
     FEE,
     LOAN,
     REPAYMENT,
+    account_map,
     cover_entries,
     is_type,
     posted_by,
+    with_owners,
     with_users,
 )
+from loanbook.operators.salting import ROWS_PER_SALT
 from loanbook.params import ZONE, Calendar, CoverRules
 from loanbook.sources.tables import Tables
 
@@ -47,6 +50,7 @@ class CoverBook:
     calendar: Calendar
     rules: CoverRules = CoverRules()
     zone: str = ZONE
+    rows_per_salt: int = ROWS_PER_SALT
 
     # --- entries ----------------------------------------------------------
 
@@ -54,20 +58,22 @@ class CoverBook:
         """Entries of known users."""
         source = self.tables.ledger if ledger is None else ledger
         entries = cover_entries(source, self.rules, self.zone)
-        return with_users(entries, self.tables.accounts, "inner")
+        return with_users(entries, self.tables.accounts, "inner", self.rows_per_salt)
 
     def since_first_loan(self) -> DataFrame:
         """Loans and repayments from the day of the user's first loan on."""
-        entries = self.entries()
         first = (
-            entries.where(is_type(LOAN))
+            self.entries()
+            .where(is_type(LOAN))
             .groupBy(USER)
             .agg(F.min("local_date").alias("first_loan_date"))
         )
-        return (
-            entries.where(~is_type(FEE))
-            .join(first, USER)
-            .where(F.col("local_date") >= F.col("first_loan_date"))
+        owners = account_map(self.tables.accounts).withColumnRenamed(
+            "account_group_identifier", "UserAccount"
+        )
+        moves = cover_entries(self.tables.ledger, self.rules, self.zone).where(~is_type(FEE))
+        return with_owners(moves, owners.join(first, USER), "inner", self.rows_per_salt).where(
+            F.col("local_date") >= F.col("first_loan_date")
         )
 
     def weekly_flows(self) -> DataFrame:

@@ -24,9 +24,10 @@ from loanbook.operators.ledger import (
     credit_entries,
     is_borrow,
     posted_by,
+    with_owners,
 )
 from loanbook.operators.running import next_later, running
-from loanbook.operators.salting import ROWS_PER_SALT, salted_left_join
+from loanbook.operators.salting import ROWS_PER_SALT, row_counts, salted_join
 from loanbook.params import ZONE, Calendar, CreditRules
 from loanbook.sources.tables import Tables
 
@@ -53,6 +54,8 @@ class CreditBook:
     rules: CreditRules = CreditRules()
     zone: str = ZONE
     rows_per_salt: int = ROWS_PER_SALT
+    # An account's row grows into one per snapshot.
+    accounts_per_salt: int = ROWS_PER_SALT // 10
 
     # --- accounts ---------------------------------------------------------
 
@@ -140,7 +143,7 @@ class CreditBook:
         counted = is_borrow() | (F.col("PostedAt") >= F.col("first_loan_date"))
         source = self.tables.ledger if ledger is None else ledger
         entries = credit_entries(source, self.rules, self.zone)
-        return entries.join(borrowers, "UserAccount").where(counted)
+        return with_owners(entries, borrowers, "inner", self.rows_per_salt).where(counted)
 
     def running_balance(self) -> DataFrame:
         """Every entry with the user's balance after it."""
@@ -353,8 +356,9 @@ class CreditBook:
             F.coalesce("until", "closes") >= F.col("first_week")
         )
         # A user has at most as many accounts in the report as in the account map.
-        return salted_left_join(
-            accounts, seen, USER, ACCOUNT, overlap, self.owners(), self.rows_per_salt
+        counts = row_counts(self.owners(), USER)
+        return salted_join(
+            accounts, seen, USER, ACCOUNT, counts, "left", overlap, self.accounts_per_salt
         )
 
     def _evaluated(self) -> DataFrame:

@@ -1,0 +1,156 @@
+"""Amounts, due dates, buckets and classes at their boundaries."""
+
+from __future__ import annotations
+
+from datetime import date, datetime, timedelta
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from loanbook.functions import classify as cl
+from loanbook.functions.money import parse_amount
+from loanbook.operators.ledger import repeated_transactions, unreadable_amounts
+from tests.helpers import COVER, CREDIT
+
+DUE = date(2022, 3, 1)
+LATE = [-1, 0, 1, 30, 31, 60, 61, 90, 91, 400]
+
+
+def evaluate(spark, rows, schema, *columns):
+    return [tuple(r) for r in spark.createDataFrame(rows, schema).select(*columns).collect()]
+
+
+def test_amount_text(spark):
+    rows = [("$12.50",), ("12.5",), ("$0.00",), (None,), ("$-5.00",)]
+    found = evaluate(spark, rows, "a string", parse_amount(F.col("a")))
+    assert [r[0] for r in found] == [Decimal("12.50"), Decimal("12.50"), Decimal("0.00"), None, Decimal("-5.00")]
+
+
+@pytest.mark.parametrize("text", ["-$5.00", "$1,200.00", "", "abc"])
+def test_unreadable_amount_raises_or_is_reported(spark, text):
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        evaluate(spark, [(text,)], "a string", parse_amount(F.col("a")))
+    assert evaluate(spark, [(text,)], "a string", parse_amount(F.col("a"), strict=False)) == [(None,)]
+    ledger = spark.createDataFrame([("x", text), ("x", "$1.00"), ("y", None)], "TransactionID string, Amount string")
+    assert [r.Amount for r in unreadable_amounts(ledger).collect()] == [text]
+    assert [tuple(r) for r in repeated_transactions(ledger).collect()] == [("x", 2)]
+
+
+@pytest.mark.parametrize(
+    ("cents", "expected"), [(-2, "-0.02"), (-1, "0"), (0, "0"), (1, "0"), (2, "0.02")]
+)
+def test_zero_tolerance(spark, cents, expected):
+    found = evaluate(
+        spark, [(Decimal(cents) / 100,)], "b decimal(18,2)", cl.snap_to_zero(F.col("b"), CREDIT)
+    )
+    assert found[0][0] == Decimal(expected)
+
+
+def credit_due(spark, repaid, owed, borrowed=True):
+    last, start = datetime(2022, 3, 20, 8), datetime(2022, 3, 1, 9)
+    row = (last, start if borrowed else None, Decimal(repaid), Decimal(owed))
+    schema = "l timestamp_ntz, b timestamp_ntz, r decimal(18,2), o decimal(18,2)"
+    due = cl.credit_due_at(F.col("l"), F.col("b"), F.col("r"), F.col("o"), CREDIT)
+    found = evaluate(spark, [row], schema, due)[0][0]
+    return {last + timedelta(days=30): "last", start + timedelta(days=30): "borrowed"}[found]
+
+
+@pytest.mark.parametrize(
+    ("repaid", "owed", "expected"),
+    [
+        ("67.50", "67.50", "borrowed"),  # small debt settled
+        ("10.00", "67.50", "borrowed"),  # small debt, part paid
+        ("67.50", "67.51", "last"),  # the floor, one cent open
+        ("67.49", "67.51", "borrowed"),  # a cent below the floor
+        ("200.00", "200.00", "borrowed"),  # settled
+        ("250.00", "200.00", "borrowed"),  # overpaid
+        ("67.50", "225.00", "last"),  # floor and share are equal
+        ("67.50", "225.01", "borrowed"),  # the share is more than the floor
+        ("90.00", "300.00", "last"),  # exactly the share
+        ("89.99", "300.00", "borrowed"),
+    ],
+)
+def test_credit_due_date(spark, repaid, owed, expected):
+    assert credit_due(spark, repaid, owed) == expected
+
+
+def test_credit_due_after_a_withdrawal(spark):
+    assert credit_due(spark, "0.00", "100.00", borrowed=False) == "last"
+
+
+def test_credit_bucket(spark):
+    rows = [(Decimal(b), DUE, DUE + timedelta(days=n)) for b in (5, 0, -5) for n in LATE]
+    bucket = cl.credit_bucket(F.col("b"), F.col("d"), F.col("s"))
+    found = [r[0] for r in evaluate(spark, rows, "b decimal(18,2), d date, s date", bucket)]
+    current, edges = "1. Current", ["2. 1 to 30", "3. 31 to 60", "4. 61 to 90", "5. 91+"]
+    owing = [current] * 2 + [e for e in edges for _ in (0, 1)]
+    assert found == owing + [current] * 20
+
+
+def test_cover_bucket(spark):
+    rows = [(Decimal(b), DUE, DUE + timedelta(days=n)) for b in (5, 0, -5) for n in LATE]
+    bucket = cl.cover_bucket(F.col("b"), F.col("d"), F.col("s"))
+    found = [r[0] for r in evaluate(spark, rows, "b decimal(18,2), d date, s date", bucket)]
+    edges = ["2. current", "3. 1 to 30", "4. 31 to 60", "5. 61 to 90", "6. 91+"]
+    assert found == [e for e in edges for _ in (0, 1)] + ["1. Inactive"] * 10 + ["7. Balance Issue"] * 10
+
+
+def test_cover_due_date_is_the_stated_rule(spark):
+    """The two-date form against the rule by fee counts, for every day and count."""
+    rows = [
+        (loan, fee, fees, loan + timedelta(days=days))
+        for loan in (date(2021, 12, 31), date(2022, 1, 1))
+        for fee in (None, loan - timedelta(days=9), loan + timedelta(days=20))
+        for fees in range(4)
+        for days in range(0, 130)
+    ]
+    loan, fee, fees = F.col("l"), F.col("f"), F.col("n")
+    due = cl.cover_due_date(
+        cl.cover_paid_until(loan, fee, COVER), cl.cover_lapses_on(loan, fees, COVER), F.col("s")
+    )
+    expected = cl.expected_fees(loan, F.col("s"))
+    found = evaluate(spark, rows, "l date, f date, n long, s date", "l", "f", "n", "s", due, expected)
+    assert len(found) == len(rows)
+    for loan_day, fee_day, count, snapshot, due_day, wanted_fees in found:
+        periods = (snapshot - loan_day).days // 30
+        if loan_day <= COVER.fee_rule_after:
+            start, length = loan_day, 30
+        elif count >= periods:
+            start, length = fee_day or loan_day, 30
+        else:
+            start, length = loan_day, 30 * (1 + count)
+        assert wanted_fees == periods
+        assert due_day == start + timedelta(days=length)
+
+
+def test_cover_update_date(spark):
+    rows = [(DUE, None), (DUE, DUE - timedelta(days=1)), (DUE, DUE), (DUE, DUE + timedelta(days=2))]
+    found = evaluate(spark, rows, "l date, p date", cl.cover_update_date(F.col("l"), F.col("p")))
+    assert [r[0] for r in found] == [DUE, DUE, DUE, DUE + timedelta(days=2)]
+
+
+def test_paid_class(spark):
+    rows = [
+        (status, before, DUE + timedelta(days=n), DUE)
+        for status in ("1. Inactive", "2. current")
+        for before in ("6. 91+", "5. 61 to 90")
+        for n in (-3, 0, 1, 90, 91)
+    ]
+    paid = cl.paid_class(F.col("s"), F.col("b"), F.col("u"), F.col("d"))
+    found = [r[0] for r in evaluate(spark, rows, "s string, b string, u date, d date", paid)]
+    on_time, late, after, none = "1. paid on time", "2. paid late", "3. paid after default", "4. NA"
+    assert found == [on_time, on_time, late, late, after, on_time, on_time, late, late, late] + [none] * 10
+
+
+def test_new_default_and_paid_in_cohort(spark):
+    rows = [("6. 91+", "6. 91+"), ("6. 91+", "0. non existent"), ("2. current", "6. 91+")]
+    found = evaluate(
+        spark, rows, "s string, b string", cl.new_default(F.col("s"), F.col("b"), cl.COVER_DEFAULT)
+    )
+    assert [r[0] for r in found] == ["2. No", "1. Yes", "3. NA"]
+    rows = [("1. Inactive", DUE, DUE), ("1. Inactive", None, DUE), ("2. current", DUE, DUE)]
+    found = evaluate(
+        spark, rows, "s string, w date, n date", cl.paid_in_cohort(F.col("s"), F.col("w"), F.col("n"))
+    )
+    assert [r[0] for r in found] == ["1. Yes", "2. No", "3. NA"]

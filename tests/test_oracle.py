@@ -1,0 +1,45 @@
+"""Every query against its SQL statement, at the smallest scale."""
+
+from __future__ import annotations
+
+import duckdb
+import pyarrow as pa
+import pytest
+from pyspark.sql.pandas.types import to_arrow_schema
+
+import __spark_entry__ as entry_points
+from tests.conftest import DATA
+
+QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for name in ("orders", "lineitem", "customer"):
+        connection.execute(f"create view {name} as select * from '{DATA}/{name}.parquet'")
+    return connection
+
+
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLES)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_equals_oracle(spark, duck, name):
+    frame = QUERIES[name](spark, DATA)
+    schema = to_arrow_schema(frame.schema)
+    result = pa.Table.from_pandas(frame.toPandas(), schema=schema, preserve_index=False)
+    duck.register("result", result)
+    duck.execute("create or replace table got as select * from result")
+    duck.execute(f"create or replace table wanted as {ORACLES[name]}")
+    types = [dict(duck.execute(f"select column_name, column_type from (describe {t})").fetchall()) for t in ("got", "wanted")]
+    assert types[0] == types[1]
+    columns = ", ".join(f'"{c}"' for c in types[0])
+    for left, right in (("got", "wanted"), ("wanted", "got")):
+        difference = f"select {columns} from {left} except all select {columns} from {right}"
+        assert duck.execute(difference).fetchall() == []
+
+
+def test_flagship(spark):
+    assert entry_points.entry(spark).count() > 0
