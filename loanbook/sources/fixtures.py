@@ -11,6 +11,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from loanbook.params import Calendar, CoverRules, CreditRules
+from loanbook.session import scratch_folder
 from loanbook.sources import tables as tb
 
 # 104 snapshots, 1997-01-05 to 1998-12-27.
@@ -124,8 +125,8 @@ union all select cast(null as string)
 """
 
 
-def fixture_tables(spark: SparkSession, sf_dir: str) -> tb.Tables:
-    """The input tables over the parquet files of `sf_dir`."""
+def derive_tables(spark: SparkSession, sf_dir: str) -> tb.Tables:
+    """The input tables as views over the parquet files of `sf_dir`."""
     base = {
         name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
         for name in ("orders", "lineitem", "customer")
@@ -143,3 +144,20 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> tb.Tables:
         ledger_lines=view(LEDGER_LINES_SQL, tb.LEDGER_LINES),
         migration_list=view(MIGRATION_LIST_SQL, tb.MIGRATION_LIST),
     )
+
+
+_written: dict[tuple[str, str], str] = {}
+
+
+def fixture_tables(spark: SparkSession, sf_dir: str) -> tb.Tables:
+    """The derived tables, written once per application and read as files.
+
+    A report scans the ledger several times for different columns; over the
+    views each scan would join orders and lines again.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _written:
+        root = scratch_folder(spark, "inputs")
+        tb.write_tables(derive_tables(spark, sf_dir), root)
+        _written[key] = root
+    return tb.read_written(spark, _written[key])

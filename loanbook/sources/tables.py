@@ -65,16 +65,28 @@ def conform(table: DataFrame, schema: T.StructType) -> DataFrame:
     return table.select(columns)
 
 
+SCHEMAS = {
+    "ledger": LEDGER,
+    "accounts": ACCOUNTS,
+    "loans": LOANS,
+    "ledger_lines": LEDGER_LINES,
+    "migration_list": MIGRATION_LIST,
+}
+
+
 def read_tables(spark: SparkSession, root: str) -> Tables:
-    """Read `{root}/<table>` parquet folders, named as the fields of `Tables`."""
+    """Read `{root}/<table>` parquet folders, whatever kind of time they hold."""
+    found = {name: spark.read.parquet(f"{root}/{name}") for name in SCHEMAS}
+    return Tables(**{name: conform(found[name], schema) for name, schema in SCHEMAS.items()})
+
+
+def write_tables(tables: Tables, root: str) -> None:
+    for name in SCHEMAS:
+        getattr(tables, name).write.parquet(f"{root}/{name}")
 
-    def read(name: str, schema: T.StructType) -> DataFrame:
-        return conform(spark.read.parquet(f"{root}/{name}"), schema)
 
+def read_written(spark: SparkSession, root: str) -> Tables:
+    """Read what `write_tables` wrote, without looking into the files for schemas."""
     return Tables(
-        ledger=read("ledger", LEDGER),
-        accounts=read("accounts", ACCOUNTS),
-        loans=read("loans", LOANS),
-        ledger_lines=read("ledger_lines", LEDGER_LINES),
-        migration_list=read("migration_list", MIGRATION_LIST),
+        **{n: spark.read.schema(s).parquet(f"{root}/{n}") for n, s in SCHEMAS.items()}
     )

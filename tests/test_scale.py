@@ -16,20 +16,31 @@ from loanbook.params import Calendar
 from loanbook.plans.cover import CoverBook
 from loanbook.plans.credit import CreditBook
 from loanbook.sources import sinks
-from loanbook.sources.fixtures import CALENDAR, COVER_RULES, CREDIT_RULES, fixture_tables
-from loanbook.sources.tables import read_tables
+from loanbook.sources.fixtures import (
+    CALENDAR,
+    COVER_RULES,
+    CREDIT_RULES,
+    derive_tables,
+    fixture_tables,
+)
+from loanbook.sources.tables import SCHEMAS, read_tables, write_tables
 from tests.conftest import DATA
 from tests.helpers import code_sizes, plan_text, rows_of, weeks
 
 
 @pytest.fixture(scope="module")
-def tables(spark, tmp_path_factory):
-    """The fixture tables as parquet, so that plans show plain scans."""
-    root = str(tmp_path_factory.mktemp("inputs"))
-    made = fixture_tables(spark, DATA)
-    for name in ("ledger", "accounts", "loans", "ledger_lines", "migration_list"):
-        getattr(made, name).write.parquet(f"{root}/{name}")
-    return read_tables(spark, root)
+def tables(spark):
+    return fixture_tables(spark, DATA)
+
+
+def test_written_inputs_equal_the_views(spark, tables, tmp_path):
+    views = derive_tables(spark, DATA)
+    write_tables(views, str(tmp_path))
+    for source in (tables, read_tables(spark, str(tmp_path))):
+        for name in SCHEMAS:
+            view, read = getattr(views, name), getattr(source, name)
+            assert read.dtypes == view.dtypes
+            assert read.exceptAll(view).count() == 0 == view.exceptAll(read).count()
 
 
 @pytest.fixture
