@@ -17,6 +17,11 @@ def nulls_last(names: Sequence[str]) -> list[Column]:
     return [F.col(name).asc_nulls_last() for name in names]
 
 
+def in_order(report: DataFrame) -> DataFrame:
+    """The report sorted by user and snapshot as a whole, for reading."""
+    return report.orderBy(*nulls_last(REPORT_ORDER))
+
+
 def write_parquet(report: DataFrame, path: str, by_snapshot: bool = False) -> None:
     """Replace the folder `path`.
 

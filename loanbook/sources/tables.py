@@ -6,6 +6,7 @@ session's zone.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,6 +49,9 @@ class Tables:
     migration_list: DataFrame
 
 
+# Names that some source tables hold these columns under.
+SOURCE_NAMES = {"line_ts": "TIMESTAMP", "user_reference": "string_field_0"}
+
 _UTC_EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
 
@@ -56,12 +60,13 @@ def conform(table: DataFrame, schema: T.StructType) -> DataFrame:
     found = dict(table.dtypes)
     columns = []
     for field in schema:
-        instant = found[field.name] == "timestamp" and not utc_session()
+        name = field.name if field.name in found else SOURCE_NAMES.get(field.name, field.name)
+        instant = found.get(name) == "timestamp" and not utc_session()
         if isinstance(field.dataType, T.TimestampNTZType) and instant:
-            micros = f"timestampadd(MICROSECOND, unix_micros(`{field.name}`), {_UTC_EPOCH})"
+            micros = f"timestampadd(MICROSECOND, unix_micros(`{name}`), {_UTC_EPOCH})"
             columns.append(F.expr(micros).alias(field.name))
         else:
-            columns.append(F.col(field.name).cast(field.dataType).alias(field.name))
+            columns.append(F.col(name).cast(field.dataType).alias(field.name))
     return table.select(columns)
 
 
@@ -80,6 +85,13 @@ def read_tables(spark: SparkSession, root: str) -> Tables:
     return Tables(**{name: conform(found[name], schema) for name, schema in SCHEMAS.items()})
 
 
+def catalog_tables(spark: SparkSession, names: Mapping[str, str]) -> Tables:
+    """Read catalog tables, named per field of `Tables`."""
+    return Tables(
+        **{name: conform(spark.table(names[name]), schema) for name, schema in SCHEMAS.items()}
+    )
+
+
 def write_tables(tables: Tables, root: str) -> None:
     for name in SCHEMAS:
         getattr(tables, name).write.parquet(f"{root}/{name}")
