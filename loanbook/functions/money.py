@@ -18,6 +18,15 @@ def parse_amount(text: Column, strict: bool = True) -> Column:
     return number.cast(MONEY) if strict else number.try_cast(MONEY)
 
 
+def total(amount: Column) -> Column:
+    """Sum of amounts, kept as money.
+
+    A sum is ten digits wider than its input. Sums of sums would reach the widest
+    decimal, where comparing hundredths with thousandths rounds.
+    """
+    return F.sum(amount).cast(MONEY)
+
+
 def emit(amount: Column) -> Column:
     """Money as a report column."""
     return amount.cast("double")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loanbook.functions import classify as cl
 from loanbook.functions.dates import week_end
-from loanbook.functions.money import emit
+from loanbook.functions.money import emit, total
 from loanbook.operators.asof import expand, within
 from loanbook.operators.ledger import (
     FEE,
@@ -102,8 +102,8 @@ class CoverBook:
             self.entries(posted_by(self.tables.ledger, self.calendar.last))
             .groupBy(USER, "week_end", "local_date")
             .agg(
-                F.sum(F.when(is_type(LOAN), amount)).alias("loaned"),
-                F.sum(F.when(is_type(REPAYMENT), -amount)).alias("repaid"),
+                total(F.when(is_type(LOAN), amount)).alias("loaned"),
+                total(F.when(is_type(REPAYMENT), -amount)).alias("repaid"),
                 F.count(F.when(is_type(REPAYMENT), 1)).alias("repayments"),
                 F.count(F.when(is_type(FEE), 1)).alias("fees"),
                 F.max(F.when(is_type(LOAN), F.col("local_date"))).alias("loan_day"),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from loanbook.functions import classify as cl
 from loanbook.functions.dates import civil, civil_date, month_end, week_end
-from loanbook.functions.money import emit
+from loanbook.functions.money import emit, total
 from loanbook.operators.asof import expand, within
 from loanbook.operators.ledger import (
     BORROW,
@@ -177,14 +177,14 @@ class CreditBook:
             F.col("withdrawn_at").alias("closed_at"),
         )
         any_repaid = F.coalesce("repaid", "repaid_at_once").isNotNull()
-        total = F.coalesce("repaid", F.lit(0)) + F.coalesce("repaid_at_once", F.lit(0))
+        amount = F.coalesce("repaid", F.lit(0)) + F.coalesce("repaid_at_once", F.lit(0))
         return (
             self.withdrawals()
             .join(own, [USER, "PostedAt"], "left")
             .join(closing, [USER, "next_withdrawal_date"], "left")
             .withColumns(
                 {
-                    "RepaymentAmount": F.when(any_repaid, total),
+                    "RepaymentAmount": F.when(any_repaid, amount),
                     "RepaymentDate": F.greatest("repaid_at", "closed_at"),
                 }
             )
@@ -220,9 +220,9 @@ class CreditBook:
             .withColumn("last_borrow", last_borrow)
             .groupBy(*day)
             .agg(
-                F.sum(F.when(is_borrow(), amount)).alias("withdrawn"),
-                F.sum(repaid).alias("repaid"),
-                F.sum(F.when(posted >= F.col("last_borrow"), repaid)).alias("repaid_after"),
+                total(F.when(is_borrow(), amount)).alias("withdrawn"),
+                total(repaid).alias("repaid"),
+                total(F.when(posted >= F.col("last_borrow"), repaid)).alias("repaid_after"),
                 F.max(borrowed_at).alias("borrowed_at"),
                 F.max(F.when(~is_borrow(), posted)).alias("repaid_at"),
             )

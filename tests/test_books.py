@@ -336,6 +336,18 @@ def test_repayment_at_the_next_withdrawal_counts_for_both(spark):
     ]
 
 
+@pytest.mark.parametrize(("repaid", "due"), [("214.98", 5), ("214.99", 15)])
+def test_minimum_payment_is_compared_to_the_tenth_of_a_cent(spark, repaid, due):
+    """Thirty per cent of 716.61 is 214.983."""
+    ledger = [
+        ("a3", "2022-01-05 12:00:00", "borrow", "$716.61"),
+        ("a3", "2022-01-15 12:00:00", "repay", f"${repaid}"),
+    ]
+    book = CreditBook(make_tables(spark, ledger, OWNERS), CALENDAR, CREDIT)
+    found = rows_of(book.state_snapshots().where("snapshot = '2022-01-30'"), "due_at")
+    assert found == [(datetime(2022, 1, due, 5) + timedelta(days=30),)]
+
+
 def test_account_map_is_distinct(spark):
     tables = make_tables(spark, [], OWNERS)
     assert len(rows_of(account_map(tables.accounts))) == len(set(OWNERS))
