@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loanbook.llm import op4_sentencepiece
+from loanbook.llm import op4_sentencepiece, op8_sharding
 from loanbook.llm.common import table
 
 
@@ -16,8 +17,17 @@ def op4_sentencepiece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_sentencepiece.encode(table(spark, sf_dir, "documents"), path, digest=True)
 
 
+def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = op8_sharding.shard(table(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sentencepiece": op4_sentencepiece_ids,
+    "op8_sharding": op8_shards,
 }
 
 ORACLES: dict[str, str] = {}
