@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanbook.llm import op1_ngram_join, op4_sentencepiece, op8_sharding
+from loanbook.llm import op1_ngram_join, op2_line_dedup, op4_sentencepiece, op8_sharding
 from loanbook.llm.common import table
 
 
@@ -16,6 +16,11 @@ def op1_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1_ngram_join.join_groups(table(spark, sf_dir, "documents"))
 
 
+def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = op2_line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "text", F.col("_lines").alias("n_lines"), F.col("_removed").alias("n_removed"))
+
+
 def op4_sentencepiece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
     return op4_sentencepiece.encode(table(spark, sf_dir, "documents"), path, digest=True)
@@ -31,6 +36,7 @@ def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_groups,
+    "op2_line_dedup": op2_lines,
     "op4_sentencepiece": op4_sentencepiece_ids,
     "op8_sharding": op8_shards,
 }

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from functools import reduce
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loanbook.llm.common import checkpointed
@@ -40,12 +40,13 @@ def _remove(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def bits(ids: DataFrame, name: str) -> np.ndarray:
+def bits(ids: DataFrame, name: str, hashed: bool = False) -> np.ndarray:
     """A filter that knows all of `ids`, and others by chance: `BITS` flags of fixed size.
 
-    `known` reads it. Only saves work; a join must follow.
+    `known` reads it, at the place `place_of` gives, or at the low bits of an id that
+    is a hash already. Only saves work; a join must follow.
     """
-    place = F.pmod(F.xxhash64(name), F.lit(BITS))
+    place = F.col(name).bitwiseAND(F.lit(BITS - 1)) if hashed else place_of(name)
     made = ids.groupBy(F.floor(place / _BLOCK).alias("block")).agg(
         F.bitmap_construct_agg(place % _BLOCK).alias("bits")
     )
@@ -100,11 +101,14 @@ def connected(
     returns what keeps the pairs (`a`, `b`) that are links.
     """
     extra = [c for c in buckets.columns if c not in ("key", "node")]
-    ends = (
-        buckets.groupBy("key").agg(F.min(F.struct("node", *extra)).alias("hub"), F.max("node").alias("last"))
-        .where("hub.node < last").drop("last")
+    bucket = Window.partitionBy("key").orderBy("node")
+    shared = stored(
+        buckets.withColumn("hub", F.first(F.struct("node", *extra)).over(bucket))
+        .withColumn("_next", F.lead("node").over(bucket))
+        .where((F.col("node") > F.col("hub.node")) | (F.col("_next") > F.col("node")))
+        .drop("_next"),
+        "buckets",
     )
-    shared = stored(buckets.join(ends, "key"), "buckets")
     verified = verifier(shared.select("node").distinct())
 
     def possible(x: Callable[[str], Column], y: Callable[[str], Column]) -> Column:
