@@ -8,8 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanbook.llm import op1_ngram_join, op2_line_dedup, op4_sentencepiece, op8_sharding
-from loanbook.llm.common import table
+from loanbook.llm import (
+    op1_ngram_join,
+    op2_line_dedup,
+    op4_sentencepiece,
+    op7_decontamination,
+    op8_sharding,
+    op9_lm_scoring,
+)
+from loanbook.llm.common import document_key, table
 
 
 def op1_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +33,15 @@ def op4_sentencepiece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_sentencepiece.encode(table(spark, sf_dir, "documents"), path, digest=True)
 
 
+def op7_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select(*document_key(), "text")
+    found = op7_decontamination.contained(documents, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "item_id", F.col("shared").alias("n_shared"), F.col("size").alias("n_item"),
+        (F.col("shared") / F.col("size")).alias("containment"),
+    )
+
+
 def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = op8_sharding.shard(table(spark, sf_dir, "documents"))
     return placed.select(
@@ -34,11 +50,39 @@ def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9_lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_groups,
     "op2_line_dedup": op2_lines,
     "op4_sentencepiece": op4_sentencepiece_ids,
+    "op7_decontamination": op7_leaks,
     "op8_sharding": op8_shards,
+    "op9_lm_scoring": op9_scores,
 }
 
-ORACLES: dict[str, str] = {}
+def _shingles(name: str, id_name: str) -> str:
+    """Distinct five-word shingles of every text, as SQL; a short text is one shingle."""
+    return f"""
+    select {id_name}, list_distinct(case when len(w) < 5 then [array_to_string(w, ' ')]
+        else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as s
+    from (select {id_name}, regexp_extract_all(translate(text, '{_UPPER}', '{_UPPER.lower()}'), '[^\x20\x09-\x0D]+') as w
+          from {name}) where len(w) > 0"""
+
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+ORACLES: dict[str, str] = {
+    "op7_decontamination": f"""
+with items as ({_shingles("benchmark", "item_id")}),
+docs as ({_shingles("documents", "doc_id")}),
+item_shingles as (select item_id, len(s) as n_item, unnest(s) as h from items),
+doc_shingles as (select doc_id, unnest(s) as h from docs),
+shared as (
+    select doc_id, item_id, n_item, count(*) as n_shared
+    from doc_shingles join item_shingles using (h) group by all)
+select doc_id, item_id, n_shared, n_item, n_shared / n_item as containment
+from shared where n_shared * 100 >= n_item * 80""",
+}
