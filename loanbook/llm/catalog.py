@@ -12,9 +12,11 @@ from loanbook.llm import (
     op1_ngram_join,
     op2_line_dedup,
     op4_sentencepiece,
+    op5_quality,
     op7_decontamination,
     op8_sharding,
     op9_lm_scoring,
+    op10_toxicity,
 )
 from loanbook.llm.common import document_key, table
 
@@ -33,6 +35,10 @@ def op4_sentencepiece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_sentencepiece.encode(table(spark, sf_dir, "documents"), path, digest=True)
 
 
+def op5_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5_quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select(*document_key(), "text")
     found = op7_decontamination.contained(documents, table(spark, sf_dir, "benchmark"))
@@ -54,13 +60,19 @@ def op9_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_lm_scoring.score(table(spark, sf_dir, "documents"))
 
 
+def op10_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_groups,
     "op2_line_dedup": op2_lines,
     "op4_sentencepiece": op4_sentencepiece_ids,
+    "op5_quality": op5_scores,
     "op7_decontamination": op7_leaks,
     "op8_sharding": op8_shards,
     "op9_lm_scoring": op9_scores,
+    "op10_toxicity": op10_scores,
 }
 
 def _shingles(name: str, id_name: str) -> str:
