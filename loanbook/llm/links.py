@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import atexit
 from collections.abc import Callable
-from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -91,14 +90,14 @@ def components(links: DataFrame) -> DataFrame:
 
 def connected(
     buckets: DataFrame,
-    verifier: Callable[[DataFrame], Callable[[DataFrame], DataFrame]],
+    verified: Callable[[DataFrame, DataFrame], DataFrame],
     may_link: Callable[[Callable[[str], Column], Callable[[str], Column]], Column] | None = None,
 ) -> DataFrame:
     """`(node, component)` of all nodes that are linked with any other.
 
     `buckets` has `key`, `node` and what `may_link` looks at to rule a pair out. It
-    may repeat rows. `verifier` gets all nodes that can be in a pair (`node`) and
-    returns what keeps the pairs (`a`, `b`) that are links.
+    may repeat rows. `verified` gets pairs (`a`, `b`) and all their nodes (`node`),
+    and keeps the pairs that are links.
     """
     extra = [c for c in buckets.columns if c not in ("key", "node")]
     bucket = Window.partitionBy("key").orderBy("node")
@@ -109,7 +108,10 @@ def connected(
         .drop("_next"),
         "buckets",
     )
-    verified = verifier(shared.select("node").distinct())
+
+    def links_among(pairs: DataFrame) -> DataFrame:
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        return checkpointed(verified(pairs, nodes).select("a", "b"))
 
     def possible(x: Callable[[str], Column], y: Callable[[str], Column]) -> Column:
         return may_link(x, y) if may_link else F.lit(True)
@@ -119,7 +121,7 @@ def connected(
         .select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
         .distinct()
     )
-    links = checkpointed(verified(near_hub))
+    links = links_among(near_hub)
     groups = components(links)
 
     labelled = shared.drop("hub").join(groups, "node", "left").withColumn(
@@ -139,7 +141,7 @@ def connected(
         .distinct()
         .join(near_hub, ["a", "b"], "left_anti")
     )
-    more = checkpointed(verified(checkpointed(others)))
-    if more.isEmpty():
+    others = checkpointed(others)
+    if others.isEmpty():
         return groups
-    return components(reduce(DataFrame.union, [links.select("a", "b"), more.select("a", "b")]))
+    return components(links.union(links_among(others)))

@@ -15,7 +15,7 @@ Hashes have 64 bits.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
@@ -181,7 +181,7 @@ def join_groups(documents: DataFrame, size: int = 3, percent: int = 90) -> DataF
     sets = checkpointed(
         documents_seen.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("least_id"))
     )
-    keys = stored(_prefixes(documents, size, least, classes, bits(sets, "least_id")), "prefixes")
+    keys = _prefixes(documents, size, least, classes, bits(sets, "least_id"))
 
     def alike(x, y) -> Column:
         n_x, n_y, i, j = x("n"), y("n"), x("pos"), y("pos")
@@ -189,14 +189,13 @@ def join_groups(documents: DataFrame, size: int = 3, percent: int = 90) -> DataF
         most = F.least(i, j) + F.least(n_x - i, n_y - j)
         return enough & (most * (100 + percent) >= (n_x + n_y) * percent)
 
-    def verifier(nodes: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    def verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         chosen = bits(nodes.join(sets, "node"), "least_id")
-        segments = stored(_segments(documents, size, chosen), "segments")
-        return lambda pairs: overlaps(pairs, segments).where(
+        return overlaps(pairs, _segments(documents, size, chosen).join(nodes, "node", "left_semi")).where(
             F.col("shared") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("shared")) * percent
         )
 
-    groups = connected(keys, verifier, alike)
+    groups = connected(keys, verified, alike)
     named = sets.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
     ids = named.select("node", "component").join(names, "component").select("node", "component_id")
