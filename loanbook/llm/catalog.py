@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from loanbook.llm import (
     op1_ngram_join,
     op2_line_dedup,
+    op3_fingerprints,
     op4_sentencepiece,
     op5_quality,
+    op6_html,
     op7_decontamination,
     op8_sharding,
     op9_lm_scoring,
@@ -30,6 +32,10 @@ def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "text", F.col("_lines").alias("n_lines"), F.col("_removed").alias("n_removed"))
 
 
+def op3_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op3_fingerprints.compare_edits(table(spark, sf_dir, "documents"))
+
+
 def op4_sentencepiece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
     return op4_sentencepiece.encode(table(spark, sf_dir, "documents"), path, digest=True)
@@ -39,6 +45,10 @@ def op5_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5_quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6_html.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select(*document_key(), "text")
     found = op7_decontamination.contained(documents, table(spark, sf_dir, "benchmark"))
@@ -67,8 +77,10 @@ def op10_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_groups,
     "op2_line_dedup": op2_lines,
+    "op3_fingerprints": op3_edits,
     "op4_sentencepiece": op4_sentencepiece_ids,
     "op5_quality": op5_scores,
+    "op6_html_extract": op6_texts,
     "op7_decontamination": op7_leaks,
     "op8_sharding": op8_shards,
     "op9_lm_scoring": op9_scores,

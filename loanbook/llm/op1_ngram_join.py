@@ -15,7 +15,7 @@ Hashes have 64 bits.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from fractions import Fraction
 
 import numpy as np
@@ -122,8 +122,8 @@ def _prefixes(documents: DataFrame, size: int, least: Fraction, classes: np.ndar
     return placed.mapInArrow(run, "key long, node long, n int, pos int")
 
 
-def _segments(documents: DataFrame, size: int, chosen: np.ndarray) -> DataFrame:
-    """`(node, n, fragment, segment)` of each chosen document."""
+def segments(documents: DataFrame, set_of: Callable[[str | None, WordHashes], np.ndarray], chosen: np.ndarray) -> DataFrame:
+    """`(node, n, fragment, segment)` of each chosen document; `set_of` gives its sorted set."""
     schema = pa.schema([
         ("node", pa.int64()), ("n", pa.int64()), ("fragment", pa.int32()), ("segment", pa.list_(pa.int64())),
     ])
@@ -137,7 +137,7 @@ def _segments(documents: DataFrame, size: int, chosen: np.ndarray) -> DataFrame:
             for place, text in zip(column(batch, _PLACE), column(batch, "text")):
                 if not known(chosen, place):
                     continue
-                values = shingles(words(text), size, cache)
+                values = set_of(text, cache)
                 if len(values):
                     node = set_hash(values)
                     parts = np.split(values, np.searchsorted(values, starts))
@@ -149,10 +149,10 @@ def _segments(documents: DataFrame, size: int, chosen: np.ndarray) -> DataFrame:
     return placed.mapInArrow(run, "node long, n long, fragment int, segment array<bigint>").dropDuplicates(["node", "fragment"])
 
 
-def overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
+def overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     """`(a, b, n_a, n_b, shared)`: overlaps counted per fragment and summed per pair."""
-    left = segments.select(F.col("node").alias("a"), F.col("n").alias("n_a"), "fragment", F.col("segment").alias("s_a"))
-    right = segments.select(F.col("node").alias("b"), F.col("n").alias("n_b"), "fragment", F.col("segment").alias("s_b"))
+    left = parts.select(F.col("node").alias("a"), F.col("n").alias("n_a"), "fragment", F.col("segment").alias("s_a"))
+    right = parts.select(F.col("node").alias("b"), F.col("n").alias("n_b"), "fragment", F.col("segment").alias("s_b"))
     partial = (
         pairs.join(left, "a").join(right, ["b", "fragment"])
         .select("a", "b", "n_a", "n_b", F.size(F.array_intersect("s_a", "s_b")).cast("long").alias("partial"))
@@ -191,7 +191,8 @@ def join_groups(documents: DataFrame, size: int = 3, percent: int = 90) -> DataF
 
     def verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         chosen = bits(nodes.join(sets, "node"), "least_id")
-        return overlaps(pairs, _segments(documents, size, chosen).join(nodes, "node", "left_semi")).where(
+        parts = segments(documents, lambda text, cache: shingles(words(text), size, cache), chosen)
+        return overlaps(pairs, parts.join(nodes, "node", "left_semi")).where(
             F.col("shared") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("shared")) * percent
         )
 
