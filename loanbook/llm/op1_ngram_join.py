@@ -47,7 +47,7 @@ def set_hash(values: np.ndarray) -> int:
 def _sets(documents: DataFrame, size: int) -> DataFrame:
     """Per document its set's size and hash; per task and block, the counts of n-grams."""
     schema = pa.schema([
-        ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()),
+        ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()),
         ("block", pa.int32()), ("counts", pa.binary()),
     ])
 
@@ -61,14 +61,14 @@ def _sets(documents: DataFrame, size: int) -> DataFrame:
                 nodes.append(set_hash(values) if len(values) else None)
                 np.add.at(counts, values >> np.uint64(64 - 21), np.uint32(1))
             none = [None] * len(ids)
-            yield rows(schema, doc_id=ids, n_shingles=sizes, node=nodes, block=none, counts=none)
+            yield rows(schema, doc_id=ids, text_hash=column(batch, "text_hash"), n_shingles=sizes, node=nodes, block=none, counts=none)
         if counts.any():
             parts = [zlib.compress(c.tobytes(), 1) for c in counts.reshape(-1, BLOCK)]
             none = [None] * len(parts)
-            yield rows(schema, doc_id=none, n_shingles=none, node=none, block=range(len(parts)), counts=parts)
+            yield rows(schema, doc_id=none, text_hash=none, n_shingles=none, node=none, block=range(len(parts)), counts=parts)
 
-    return documents.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_shingles long, node long, block int, counts binary"
+    return documents.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
+        run, "doc_id long, text_hash long, n_shingles long, node long, block int, counts binary"
     )
 
 
@@ -162,17 +162,8 @@ def overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     )
 
 
-def join_groups(documents: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
-    """Each document's set size and the least `doc_id` it reaches by links.
-
-    Two documents link when `100 * intersection >= percent * union` of their sets of
-    `size`-word shingles. Takes `doc_id` and `text`; returns a row per input row:
-    `doc_id, n_shingles, component_id`. A text with fewer words has its whole sequence
-    as one shingle; without words (or null) the set is empty and linked with nothing.
-    A document with a null id takes part, but a group is named by its least id that
-    is not null, or null. Repeated rows are copies of each other. An empty table
-    gives an empty result.
-    """
+def _linked(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows `(doc_id, text_hash, n_shingles, node)`, and `(node, component)` of every set."""
     small_batches(documents.sparkSession)
     least = Fraction(percent, 100)
     seen = stored(_sets(documents, size), "sets")
@@ -183,7 +174,7 @@ def join_groups(documents: DataFrame, size: int = 3, percent: int = 90) -> DataF
     )
     keys = _prefixes(documents, size, least, classes, bits(sets, "least_id"))
 
-    def alike(x, y) -> Column:
+    def alike(x: Callable[[str], Column], y: Callable[[str], Column]) -> Column:
         n_x, n_y, i, j = x("n"), y("n"), x("pos"), y("pos")
         enough = F.least(n_x, n_y) * 100 >= F.greatest(n_x, n_y) * percent
         most = F.least(i, j) + F.least(n_x - i, n_y - j)
@@ -198,10 +189,44 @@ def join_groups(documents: DataFrame, size: int = 3, percent: int = 90) -> DataF
 
     groups = connected(keys, verified, alike)
     named = sets.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return documents_seen, named
+
+
+def join_groups(documents: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
+    """Each document's set size and the least `doc_id` it reaches by links.
+
+    Two documents link when `100 * intersection >= percent * union` of their sets of
+    `size`-word shingles. Takes `doc_id` and `text`; returns a row per input row:
+    `doc_id, n_shingles, component_id`. A text with fewer words has its whole sequence
+    as one shingle; without words (or null) the set is empty and linked with nothing.
+    A document with a null id takes part, but a group is named by its least id that
+    is not null, or null. Repeated rows are copies of each other. An empty table
+    gives an empty result.
+    """
+    seen, named = _linked(documents, size, percent)
     names = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    ids = named.select("node", "component").join(names, "component").select("node", "component_id")
-    full = documents_seen.where("n_shingles > 0").join(ids, "node")
-    empty = documents_seen.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
+    ids = named.join(names, "component").select("node", "component_id")
+    full = seen.where("n_shingles > 0").join(ids, "node")
+    empty = seen.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
     return full.select("doc_id", "n_shingles", "component_id").union(
         empty.select("doc_id", "n_shingles", "component_id")
     )
+
+
+def first_of_groups(documents: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
+    """One document of each group of linked documents, with all its columns.
+
+    It is the one with the least id (nulls last), then the least text hash. Rows with
+    the same id and text are one document. Texts without words are in no group, and
+    all of them stay.
+    """
+    seen, named = _linked(documents, size, percent)
+    spot = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+    placed = seen.where("n_shingles > 0").join(named.select("node", "component"), "node").withColumn("spot", spot)
+    first = placed.groupBy("component").agg(F.min("spot").alias("first"), F.max("spot").alias("last")).where("first < last")
+    gone = (
+        placed.join(first, "component").where(~F.col("spot").eqNullSafe(F.col("first")))
+        .select(F.col("doc_id").alias("_gone_id"), F.col("text_hash").alias("_gone_hash")).distinct()
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (F.xxhash64("text") == F.col("_gone_hash"))
+    return documents.join(gone, same, "left_anti").select(*documents.columns)
