@@ -72,27 +72,27 @@ def new_default(status: Column, before: Column, default: str) -> Column:
     )
 
 
-def expected_fees(last_loan: Column, snapshot: Column) -> Column:
-    """Fee payments due by now: one per full 30 days since the last loan."""
-    return F.floor(F.datediff(snapshot, last_loan) / 30)
+def expected_fees(last_loan: Column, snapshot: Column, rules: CoverRules) -> Column:
+    """Fee payments due by now: one per full period since the last loan."""
+    return F.floor(F.datediff(snapshot, last_loan) / rules.fee_period_days)
 
 
 def cover_paid_until(last_loan: Column, last_fee: Column, rules: CoverRules) -> Column:
     """Due date while the fees are paid up."""
     from_loan = F.date_add(last_loan, rules.grace_days)
-    from_fee = F.date_add(F.coalesce(last_fee, last_loan), rules.grace_days)
+    from_fee = F.date_add(F.coalesce(last_fee, last_loan), rules.fee_period_days)
     return F.when(last_loan <= F.lit(rules.fee_rule_after), from_loan).otherwise(from_fee)
 
 
 def cover_lapses_on(last_loan: Column, fees: Column, rules: CoverRules) -> Column:
     """Day from which a fee is missing, and due date from then on.
 
-    `fees >= floor(days / 30)` holds while `days < 30 * (fees + 1)`, so the
+    `fees >= floor(days / period)` holds while `days < period * (fees + 1)`, so the
     missing fee shows on the day that the paid ones reach to. Loans up to the
     rule change are due after one period whatever was paid.
     """
     from_loan = F.date_add(last_loan, rules.grace_days)
-    bought = F.date_add(last_loan, ((1 + fees) * rules.grace_days).cast("int"))
+    bought = F.date_add(last_loan, ((1 + fees) * rules.fee_period_days).cast("int"))
     return F.when(last_loan <= F.lit(rules.fee_rule_after), from_loan).otherwise(bought)
 
 

@@ -12,7 +12,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loanbook.params import cover_calendar, credit_calendar
+from loanbook.params import COVER_START, CREDIT_START, ZONE, Calendar, cover_calendar, credit_calendar
 from loanbook.plans.cover import CoverBook
 from loanbook.plans.credit import CreditBook
 from loanbook.session import build_session
@@ -21,17 +21,34 @@ from loanbook.sources.tables import SCHEMAS, Tables, catalog_tables, read_tables
 
 
 def build_report(
-    tables: Tables, book: str, today: date, legacy_overwrite: bool = False
+    tables: Tables,
+    book: str,
+    calendar: Calendar,
+    zone: str = ZONE,
+    legacy_overwrite: bool = False,
 ) -> DataFrame:
     if book == "credit":
-        return CreditBook(tables, credit_calendar(today)).roll(legacy_overwrite)
-    return CoverBook(tables, cover_calendar(today)).report()
+        return CreditBook(tables, calendar, zone=zone).roll(legacy_overwrite)
+    return CoverBook(tables, calendar, zone=zone).report()
+
+
+def chosen_calendar(chosen: argparse.Namespace) -> Calendar:
+    """The book's own weeks, or those from `--start` to `--end`."""
+    usual, start = (credit_calendar, CREDIT_START) if chosen.book == "credit" else (cover_calendar, COVER_START)
+    start = chosen.start or start
+    if chosen.end:
+        return Calendar(start, chosen.end, chosen.skip_opening)
+    return usual(chosen.today, start, chosen.skip_opening)
 
 
 def options(arguments: Sequence[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description="Weekly loan-book report")
     parser.add_argument("book", choices=["credit", "cover"])
     parser.add_argument("--today", type=date.fromisoformat, default=date.today())
+    parser.add_argument("--start", type=date.fromisoformat, help="first day of the first week")
+    parser.add_argument("--end", type=date.fromisoformat, help="last day; default: by --today")
+    parser.add_argument("--zone", default=ZONE, help="zone in which days are read")
+    parser.add_argument("--skip-opening", action="store_true", help="leave out the first week")
     source = parser.add_mutually_exclusive_group(required=True)
     source.add_argument("--inputs", help="folder with a parquet folder per input table")
     source.add_argument(
@@ -46,7 +63,10 @@ def options(arguments: Sequence[str] | None) -> argparse.Namespace:
         action="store_true",
         help="credit: constant previous status and new-loan flag for accessed accounts",
     )
-    return parser.parse_args(arguments)
+    chosen = parser.parse_args(arguments)
+    if not (chosen.parquet or chosen.save_as or chosen.csv):
+        parser.error("name at least one target: --parquet, --save-as or --csv")
+    return chosen
 
 
 def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
@@ -55,11 +75,15 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
         tables = read_tables(spark, chosen.inputs)
     else:
         tables = catalog_tables(spark, dict(pair.split("=", 1) for pair in chosen.table))
-    report = build_report(tables, chosen.book, chosen.today, chosen.legacy_overwrite)
+    calendar = chosen_calendar(chosen)
+    report = build_report(tables, chosen.book, calendar, chosen.zone, chosen.legacy_overwrite)
+    # The report is computed once; further targets read the first.
     if chosen.parquet:
         sinks.write_parquet(report, chosen.parquet, chosen.by_snapshot)
+        report = spark.read.schema(report.schema).parquet(chosen.parquet).select(report.columns)
     if chosen.save_as:
         sinks.write_table(report, chosen.save_as)
+        report = spark.table(chosen.save_as)
     if chosen.csv:
         sinks.write_csv(sinks.in_order(report), chosen.csv)
 

@@ -6,6 +6,7 @@ values.
 
 from __future__ import annotations
 
+from calendar import monthrange
 from dataclasses import dataclass
 from datetime import date, timedelta
 from decimal import Decimal
@@ -23,34 +24,31 @@ def week_end_of(day: date) -> date:
 
 def sunday_before(day: date) -> date:
     """The last Sunday strictly before `day`."""
-    return day - timedelta(days=day.weekday() + 1)
+    return week_end_of(day) - WEEK
 
 
 def month_end_of(day: date) -> date:
     """The last day of the month of `day`."""
-    in_next_month = day.replace(day=28) + timedelta(days=4)
-    return in_next_month - timedelta(days=in_next_month.day)
+    return day.replace(day=monthrange(day.year, day.month)[1])
 
 
 @dataclass(frozen=True)
 class Calendar:
     """The gap-free run of week-end snapshots of a report.
 
-    Sundays from `start` to `end`, both included. The opening period only
-    anchors the run and is left out unless it is the only one or `skip_first`
-    is off. Snapshots after `cutoff` are not computed.
+    Sundays from `start` to `end`, both included. `skip_opening` leaves out the
+    first of them, as the usual reports do. Snapshots after `cutoff` are not computed.
     """
 
     start: date
     end: date
-    skip_first: bool = True
+    skip_opening: bool = False
     cutoff: date | None = None
 
     @property
     def first(self) -> date:
         opening = week_end_of(self.start)
-        several = opening + WEEK <= self.end
-        return opening + WEEK if self.skip_first and several else opening
+        return opening + WEEK if self.skip_opening else opening
 
     @property
     def last(self) -> date:
@@ -69,15 +67,15 @@ CREDIT_START = date(2022, 4, 1)
 COVER_START = date(2021, 7, 31)
 
 
-def credit_calendar(today: date) -> Calendar:
+def credit_calendar(today: date, start: date = CREDIT_START, skip_opening: bool = False) -> Calendar:
     """Credit-building weeks up to the coming Sunday."""
     closing = week_end_of(today)
-    return Calendar(CREDIT_START, closing, cutoff=closing)
+    return Calendar(start, closing, skip_opening, cutoff=closing)
 
 
-def cover_calendar(today: date) -> Calendar:
+def cover_calendar(today: date, start: date = COVER_START, skip_opening: bool = False) -> Calendar:
     """Cover weeks up to the last Sunday before today."""
-    return Calendar(COVER_START, month_end_of(today), cutoff=sunday_before(today))
+    return Calendar(start, month_end_of(today), skip_opening, cutoff=sunday_before(today))
 
 
 @dataclass(frozen=True)
@@ -110,6 +108,8 @@ class CoverRules:
     repay_code: str = "ODR-DR-A-E-002"
     fee_rule_after: date = date(2022, 5, 1)
     grace_days: int = 30
+    # Days that one fee buys.
+    fee_period_days: int = 30
     upgrade_text: str = "Cover Funds (Limit Upgrade)"
     upgrade_from: date = date(2022, 10, 12)
 

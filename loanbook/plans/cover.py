@@ -96,11 +96,17 @@ class CoverBook:
     # --- states -----------------------------------------------------------
 
     def days(self) -> DataFrame:
-        """One row per user and day with entries that the calendar can see."""
-        amount = F.col("Amount")
-        return (
-            self.entries(posted_by(self.tables.ledger, self.calendar.last))
-            .groupBy(USER, "week_end", "local_date")
+        """One row per user and day with entries that the calendar can see.
+
+        Entries are added up by account and day before users are joined, so an
+        account brings one row a day to the join, however many entries it has.
+        """
+        amount, day = F.col("Amount"), ["week_end", "local_date"]
+        seen = posted_by(self.tables.ledger, self.calendar.last)
+        by_account = (
+            cover_entries(seen, self.rules, self.zone)
+            .where(F.col("local_date") <= F.lit(self.calendar.last))
+            .groupBy("UserAccount", *day)
             .agg(
                 total(F.when(is_type(LOAN), amount)).alias("loaned"),
                 total(F.when(is_type(REPAYMENT), -amount)).alias("repaid"),
@@ -109,6 +115,18 @@ class CoverBook:
                 F.max(F.when(is_type(LOAN), F.col("local_date"))).alias("loan_day"),
             )
         )
+        owners = account_map(self.tables.accounts).where(F.col(USER).isNotNull())
+        return (
+            by_account.join(owners, F.col("UserAccount") == F.col("account_group_identifier"))
+            .groupBy(USER, *day)
+            .agg(
+                total(F.col("loaned")).alias("loaned"),
+                total(F.col("repaid")).alias("repaid"),
+                F.sum("repayments").alias("repayments"),
+                F.sum("fees").alias("fees"),
+                F.max("loan_day").alias("loan_day"),
+            )
+        )
 
     def states(self) -> DataFrame:
         """A user's state at the end of each week with entries, from the first loan.
@@ -241,17 +259,15 @@ class CoverBook:
             }
         )
         snapshot, before = F.col("snapshot"), F.col("prev_snap")
-        status_before = (
-            F.when(before < F.lit(self.calendar.first), cl.NON_EXISTENT)
-            .when(before >= F.col("week_end"), self._bucket(before))
-            .otherwise(F.coalesce("was_status", F.lit(cl.NON_EXISTENT)))
+        status_before = F.when(before >= F.col("week_end"), self._bucket(before)).otherwise(
+            F.coalesce("was_status", F.lit(cl.NON_EXISTENT))
         )
         return (
             self._expanded(dated)
             .withColumn("prev_snap", F.date_sub(snapshot, 7))
             .withColumns(
                 {
-                    "num_expected_fee_payments": cl.expected_fees(last_loan, snapshot),
+                    "num_expected_fee_payments": cl.expected_fees(last_loan, snapshot, self.rules),
                     "due_date": self._due(snapshot),
                     "snapshot_status": self._bucket(snapshot),
                     "prev_status": status_before,

@@ -75,8 +75,10 @@ class CreditBook:
             .groupBy(F.col("UserAccount").alias(ACCOUNT))
             .agg(
                 week_end(F.min(day)).alias("first_week"),
-                F.max(F.when(code == self.rules.borrow_code, "Yes")).alias("ever_accessed"),
+                F.max(code == self.rules.borrow_code).alias("_borrowed"),
             )
+            .withColumn("ever_accessed", F.when(F.col("_borrowed"), "Yes"))
+            .drop("_borrowed")
         )
 
     def owners(self) -> DataFrame:
@@ -217,6 +219,7 @@ class CreditBook:
         last_borrow = F.max(borrowed_at).over(Window.partitionBy(*day))
         return (
             self.entries(posted_by(self.tables.ledger, self.calendar.last))
+            .where(F.col("local_date") <= F.lit(self.calendar.last))
             .withColumn("last_borrow", last_borrow)
             .groupBy(*day)
             .agg(
@@ -337,7 +340,7 @@ class CreditBook:
                     F.col("status") == self.rules.cancelled, F.to_date("updated_at")
                 ),
                 "CBLimit": F.col("CBLimit").cast("long"),
-                "opening": F.greatest("first_week", F.lit(self.calendar.first)),
+                "opening": F.col("first_week"),
             }
         )
         spans = self.states().select(

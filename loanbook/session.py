@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -30,11 +32,17 @@ def build_session(app: str, master: str | None = None, **extra: str) -> SparkSes
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a local one only where none is set."""
+    """The shared folder the cluster names; a local one only where none is set.
+
+    A cluster must name one: executors do not see each other's local folders.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="loanbook-")
+    atexit.register(shutil.rmtree, local, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", local)
     return local
 

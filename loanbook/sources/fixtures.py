@@ -15,7 +15,7 @@ from loanbook.session import scratch_folder
 from loanbook.sources import tables as tb
 
 # 104 snapshots, 1997-01-05 to 1998-12-27.
-CALENDAR = Calendar(start=date(1996, 12, 29), end=date(1998, 12, 27))
+CALENDAR = Calendar(start=date(1997, 1, 5), end=date(1998, 12, 27))
 
 CREDIT_RULES = CreditRules(
     activity_codes=("CB-OPEN", "CB-BORROW", "CB-REPAY"),

@@ -1,8 +1,14 @@
-"""Writing reports. Every write replaces what the target held."""
+"""Writing reports. Every write replaces what the target held.
+
+A folder is replaced only when the new one is complete beside it: a write that fails
+leaves the old report as it was.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,13 +35,33 @@ def write_parquet(report: DataFrame, path: str, by_snapshot: bool = False) -> No
     together by snapshot first, so that a task writes few folders; adaptive
     execution splits large snapshots and merges small ones.
     """
-    if not by_snapshot:
-        report.write.mode("overwrite").parquet(path)
-        return
-    gathered = report.hint("rebalance", "snapshot").sortWithinPartitions(
-        "snapshot", *nulls_last(REPORT_ORDER[:1])
-    )
-    gathered.write.mode("overwrite").partitionBy("snapshot").parquet(path)
+    with _replaced(report.sparkSession, path) as new:
+        if not by_snapshot:
+            report.write.parquet(new)
+            return
+        gathered = report.hint("rebalance", "snapshot").sortWithinPartitions(
+            "snapshot", *nulls_last(REPORT_ORDER[:1])
+        )
+        gathered.write.partitionBy("snapshot").parquet(new)
+
+
+@contextmanager
+def _replaced(spark: SparkSession, path: str) -> Iterator[str]:
+    """A folder beside `path` to write to; it takes the place of `path` at the end."""
+    new, old = (f"{path.rstrip('/')}-{kind}-{uuid.uuid4().hex}" for kind in ("new", "old"))
+    jvm = spark.sparkContext._jvm
+    place = {name: jvm.org.apache.hadoop.fs.Path(name) for name in (path, new, old)}
+    files = place[path].getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        yield new
+    except BaseException:
+        files.delete(place[new], True)
+        raise
+    if files.exists(place[path]) and not files.rename(place[path], place[old]):
+        raise OSError(f"{path} could not be moved")
+    if not files.rename(place[new], place[path]):
+        raise OSError(f"{new} could not be moved to {path}")
+    files.delete(place[old], True)
 
 
 def write_table(report: DataFrame, table: str) -> None:
@@ -51,7 +77,8 @@ def write_csv(
     `index` names a leading column with the row's place in `order`.
     """
     rows = report if index is None else with_index(report, index, order)
-    rows.write.mode("overwrite").option("header", True).csv(path)
+    with _replaced(report.sparkSession, path) as new:
+        rows.write.option("header", True).csv(new)
 
 
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:

@@ -33,7 +33,8 @@ loans as {_table(fx.LOANS_SQL)},
 ledger_lines as {_table(fx.LEDGER_LINES_SQL)},
 migration_list as {_table(fx.MIGRATION_LIST_SQL)},
 cal as (
-  select cast(unnest(generate_series(date '{_CAL.first}', date '{_CAL.last}',
+  -- One more week at the front, for what is compared with the week before.
+  select cast(unnest(generate_series(date '{_CAL.first}' - interval 7 day, date '{_CAL.last}',
                                      interval 7 day)) as date) as snapshot),
 owners as (
   select account_group_identifier as acct, user_reference as usr
@@ -54,35 +55,29 @@ cb_valid as (
   select cb.*, first_loan, if(kind = 'Borrow', amt, -amt) as signed
   from cb join cb_opening using (acct)
   where usr is not null and (kind = 'Borrow' or ts >= first_loan)),
-cb_seen as (
-  select cal.snapshot, e.usr, e.acct, e.ts, e.day, e.kind, e.amt
-  from cal join cb e on e.day <= cal.snapshot
-  where e.usr is not null),
-cb_start as (
-  select snapshot, acct, min(ts) as start_ts from cb_seen where kind = 'Borrow' group by all),
-cb_counted as (
-  select s.*, if(kind = 'Borrow', amt, -amt) as signed
-  from cb_seen s left join cb_start b using (snapshot, acct)
-  where s.kind = 'Borrow' or s.ts >= b.start_ts),
+cb_followed as (
+  select *, cast(min(ts) filter (where kind = 'Borrow') over (
+      partition by usr order by ts
+      range between interval 1 microsecond following and unbounded following) as date) as renewed
+  from cb_valid),
 cb_tail as (
-  select snapshot, usr, max(ts) as last_ts, sum(signed) as bal,
+  select cal.snapshot, e.usr, max(ts) as last_ts, sum(signed) as bal,
          max(ts) filter (where kind = 'Borrow') as borrow_ts,
          sum(amt) filter (where kind = 'Borrow' and {_week('day')} = snapshot) as wk_out,
-         sum(amt) filter (where kind = 'Repay' and {_week('day')} = snapshot) as wk_in
-  from cb_counted group by snapshot, usr),
-cb_since as (
-  select t.snapshot, t.usr, max(c.ts) as repay_ts, sum(c.amt) as repaid
-  from cb_tail t join cb_counted c
-    on c.snapshot = t.snapshot and c.usr = t.usr and c.kind = 'Repay' and c.ts >= t.borrow_ts
-  group by all),
+         sum(amt) filter (where kind = 'Repay' and {_week('day')} = snapshot) as wk_in,
+         -- Repaid at or after the last withdrawal seen: none later is seen.
+         max(ts) filter (where kind = 'Repay' and (renewed is null or renewed > snapshot)) as repay_ts,
+         sum(amt) filter (where kind = 'Repay' and (renewed is null or renewed > snapshot)) as since
+  from cal join cb_followed e on e.day <= cal.snapshot
+  group by cal.snapshot, e.usr),
 cb_state as (
-  select t.*, r.repay_ts, r.usr is not null as settles,
-         if(r.usr is not null, t.borrow_ts, null) as prev_ts,
-         if(r.usr is not null, r.repaid, null) as repaid,
-         if(r.usr is not null, r.repaid + t.bal, t.bal) as prev_os,
-         if(abs(t.bal) <= 0.01, 0, t.bal) as os
-  from cb_tail t left join cb_since r
-    on r.snapshot = t.snapshot and r.usr = t.usr and r.repay_ts = t.last_ts),
+  select * exclude (repay_ts, since), ifnull(repay_ts = last_ts, false) as settles,
+         if(repay_ts = last_ts, repay_ts, null) as repay_ts,
+         if(repay_ts = last_ts, borrow_ts, null) as prev_ts,
+         if(repay_ts = last_ts, since, null) as repaid,
+         if(repay_ts = last_ts, since + bal, bal) as prev_os,
+         if(abs(bal) <= 0.01, 0, bal) as os
+  from cb_tail),
 cb_due as (
   select *, case
       when prev_ts is null then last_ts
@@ -91,14 +86,15 @@ cb_due as (
       when repaid >= 67.50 and repaid >= 0.3 * prev_os then last_ts
       else prev_ts end + interval 30 day as due_at
   from cb_state),
-cb_aged as (
+cb_weeks as (
   select *, cast(due_at as date) as due, snapshot - cast(due_at as date) as late,
     case when os <= 0 or late <= 0 then '1. Current'
          when late <= 30 then '2. 1 to 30'
          when late <= 60 then '3. 31 to 60'
          when late <= 90 then '4. 61 to 90'
          else '5. 91+' end as bucket
-  from cb_due)
+  from cb_due),
+cb_aged as (select * from cb_weeks where snapshot >= date '{_CAL.first}')
 """
 
 SPINE = f"""
@@ -116,13 +112,14 @@ terms as (
 spine as (
   select a.usr, a.acct, a.first_day, a.ever, t.open_ts, t.loan_type, t.lim, t.status, t.upd
   from acted a join terms t using (acct)),
-live as (
+live_weeks as (
   select cal.snapshot, s.* from cal join spine s on s.first_day <= cal.snapshot
-  where not (s.status = 'cancelled' and last_day(cast(s.upd as date)) < cal.snapshot))
+  where not (s.status = 'cancelled' and last_day(cast(s.upd as date)) < cal.snapshot)),
+live as (select * from live_weeks where snapshot >= date '{_CAL.first}')
 """
 
 CB_REPORT = f"""
-cb_view as (
+cb_view_weeks as (
   select l.snapshot, if(b.usr is not null, 'Yes', 'No') as accessed, l.usr as user_reference,
          l.acct as account_identifier, cast(l.open_ts as date) as open_date, l.loan_type,
          cast(l.lim as bigint) as "CBLimit",
@@ -138,11 +135,13 @@ cb_view as (
          last_day(cast(l.open_ts as date)) as cohort_end_month,
          {_week('cast(l.open_ts as date)')} as cohort_end,
          l.ever as ever_accessed
-  from live l left join cb_aged b on b.snapshot = l.snapshot and b.usr = l.usr),
-cb_prior as (
+  from live_weeks l left join cb_weeks b on b.snapshot = l.snapshot and b.usr = l.usr),
+cb_view as (select * from cb_view_weeks where snapshot >= date '{_CAL.first}'),
+cb_lagged as (
   select *, lag(snapshot_status) over (
       partition by user_reference, account_identifier order by snapshot) as above
-  from cb_view),
+  from cb_view_weeks),
+cb_prior as (select * from cb_lagged where snapshot >= date '{_CAL.first}'),
 cb_rolled as (
   select * exclude (above),
     case when ever_accessed = 'Yes' and above is not null then above
@@ -163,35 +162,36 @@ cv as (
                       else '3. repayment' end as kind
   from posted
   where code in ('CV-FEE', 'CV-LOAN', 'CV-REPAY') and usr is not null),
-cv_seen as (select cal.snapshot, cv.* from cal join cv on cv.day <= cal.snapshot),
-cv_marks as (
-  select snapshot, usr,
-         min(day) filter (where kind = '2. loan') as first_loan,
+cv_followed as (
+  select *, {_week('day')} as wk,
+         min(day) filter (where kind = '2. loan') over (partition by usr) as first_loan,
+         min(day) filter (where kind = '2. loan') over (
+             partition by usr order by day
+             range between current row and unbounded following) as renewed
+  from cv),
+cv_sums as (
+  select cal.snapshot, s.usr,
          max(day) filter (where kind = '2. loan') as last_loan,
          max(day) filter (where kind = '1. fee') as last_fee,
-         max(day) filter (where kind = '3. repayment') as last_pay
-  from cv_seen group by snapshot, usr having count(*) filter (where kind = '2. loan') > 0),
-cv_sums as (
-  select m.snapshot, m.usr,
-         sum(if(s.kind = '2. loan', s.amt, -s.amt))
-           filter (where s.kind <> '1. fee' and s.day >= m.first_loan) as os,
-         count(*) filter (where s.kind = '1. fee' and s.day > m.last_loan) as fees,
-         max(if(s.kind = '2. loan', 1, null)) filter (where s.wk = m.snapshot) as n_out,
-         sum(s.amt) filter (where s.kind = '2. loan' and s.wk = m.snapshot) as out,
-         nullif(count(*) filter (where s.kind = '3. repayment' and s.wk = m.snapshot), 0) as n_in,
-         sum(s.amt) filter (where s.kind = '3. repayment' and s.wk = m.snapshot) as back
-  from cv_marks m
-  join (select *, {_week('day')} as wk from cv_seen) s
-    on s.snapshot = m.snapshot and s.usr = m.usr
-  group by m.snapshot, m.usr),
+         max(day) filter (where kind = '3. repayment') as last_pay,
+         sum(if(kind = '2. loan', amt, -amt))
+           filter (where kind <> '1. fee' and day >= first_loan) as os,
+         -- Fees after the last loan seen: no loan on their day or later is seen.
+         count(*) filter (where kind = '1. fee' and (renewed is null or renewed > snapshot)) as fees,
+         max(if(kind = '2. loan', 1, null)) filter (where wk = snapshot) as n_out,
+         sum(amt) filter (where kind = '2. loan' and wk = snapshot) as out,
+         nullif(count(*) filter (where kind = '3. repayment' and wk = snapshot), 0) as n_in,
+         sum(amt) filter (where kind = '3. repayment' and wk = snapshot) as back
+  from cal join cv_followed s on s.day <= cal.snapshot
+  group by cal.snapshot, s.usr having count(*) filter (where kind = '2. loan') > 0),
 cv_dated as (
   select *, floor((snapshot - last_loan) / 30.0) as expected, last_loan + 30 as orig_due,
     case when last_loan <= date '{_CV.fee_rule_after}' then last_loan + 30
          when fees < expected then last_loan + cast((1 + fees) * 30 as integer)
          else ifnull(last_fee, last_loan) + 30 end as due,
     case when last_pay is null or last_pay < last_loan then last_loan else last_pay end as upd
-  from cv_marks join cv_sums using (snapshot, usr)),
-cv_aged as (
+  from cv_sums),
+cv_weeks as (
   select *, snapshot - due as late,
     case when os = 0 then '1. Inactive'
          when os < 0 then '7. Balance Issue'
@@ -201,10 +201,12 @@ cv_aged as (
          when late <= 90 then '5. 61 to 90'
          else '6. 91+' end as bucket
   from cv_dated),
-cv_prior as (
-  select a.*, a.snapshot - 7 as prev_snap, ifnull(p.bucket, '0. non existent') as before,
-         a.upd - a.due as paid_late
-  from cv_aged a left join cv_aged p on p.usr = a.usr and p.snapshot = a.snapshot - 7),
+cv_lagged as (
+  select *, snapshot - 7 as prev_snap, upd - due as paid_late,
+         ifnull(lag(bucket) over (partition by usr order by snapshot), '0. non existent') as before
+  from cv_weeks),
+cv_prior as (select * from cv_lagged where snapshot >= date '{_CAL.first}'),
+cv_aged as (select * from cv_prior),
 cv_rolled as (
   select *, if({_week('last_loan')} = snapshot, 'Yes', 'No') as new_loan,
     case when bucket <> '1. Inactive' then '4. NA'
@@ -294,9 +296,10 @@ select cast(s as date) as snapshot, cast(s as date) - 7 as prev_snap,
 from (select unnest(generate_series(min({_week('day')}), max({_week('day')}),
                                     interval 7 day)) as s from posted)"""),
     "asof_expand": _with(
-        """
+        f"""
 select snapshot, usr as user_reference, count(*) as entries, max(day) as last_day
-from cv_seen group by all""",
+from cal join cv on day <= snapshot
+where snapshot >= date '{_CAL.first}' group by all""",
         COVER,
     ),
     "repay_after_first_loan": _with(
@@ -347,7 +350,7 @@ group by all""",
         """
 select snapshot, usr as user_reference, prev_ts as "PrevWithdrawDate",
        repay_ts as "RepaymentDate", cast(repaid as double) as "RepaymentAmount"
-from cb_state where prev_ts is not null""",
+from cb_aged where prev_ts is not null""",
         CREDIT,
     ),
     "cb_weekly_flows": _with(
@@ -365,14 +368,14 @@ select snapshot, usr as user_reference, last_ts as "last_TR",
        cast(os as double) as "OS", cast(wk_out as double) as in_month_withdrawals,
        cast(wk_in as double) as in_month_repayments,
        cast(repaid as double) as "RepaymentAmount", cast(prev_os as double) as "prev_OS"
-from cb_state""",
+from cb_aged""",
         CREDIT,
     ),
     "cb_due_date": _with(
         """
 select snapshot, usr as user_reference, last_ts as "last_TR", prev_ts as "PrevWithdrawDate",
        cast(repaid as double) as "RepaymentAmount", cast(prev_os as double) as "prev_OS", due_at
-from cb_due""",
+from cb_aged""",
         CREDIT,
     ),
     "dpd_bucket": _with(
@@ -407,7 +410,7 @@ select 'credit' as book, acct as subject, {_week('cast(open_ts as date)')} as co
 from terms
 union all
 select 'cover', usr, {_week('last_loan')}, null, {_week('last_pay')}
-from cv_marks where snapshot = date '{_CAL.last}'""",
+from cv_aged where snapshot = date '{_CAL.last}'""",
         SPINE,
         COVER,
     ),
@@ -437,7 +440,7 @@ from cb_final""",
         """
 select snapshot, usr as user_reference, last_loan as last_loan_date, last_fee as last_fee_date,
        last_pay as last_payment_date
-from cv_marks""",
+from cv_aged""",
         COVER,
     ),
     "cover_weekly_flows": _with(
@@ -454,7 +457,7 @@ from cv where kind <> '1. fee' group by 1, 2""",
         """
 select snapshot, usr as user_reference, fees as num_fee_payments,
        cast(expected as double) as num_expected_fee_payments
-from cv_dated""",
+from cv_aged""",
         COVER,
     ),
     "cover_states": _with(
@@ -463,14 +466,14 @@ select snapshot, usr as user_reference, last_loan as last_loan_date, last_fee as
        last_pay as last_payment_date, fees as num_fee_payments, n_out as num_loans_in_week,
        n_in as num_repayments_in_week, cast(os as double) as "OS",
        cast(out as double) as total_loaned_in_week, cast(back as double) as total_repaid_in_week
-from cv_marks join cv_sums using (snapshot, usr)""",
+from cv_aged""",
         COVER,
     ),
     "cover_due_date": _with(
         """
 select snapshot, usr as user_reference, orig_due as orig_due_date, due as due_date,
        upd as update_date
-from cv_dated""",
+from cv_aged""",
         COVER,
     ),
     "cover_flags": _with(

@@ -25,8 +25,7 @@ def ts(text: str) -> datetime:
 
 
 def weeks(start: str, end: str, **more) -> Calendar:
-    """Calendar whose opening period is kept."""
-    return Calendar(date.fromisoformat(start), date.fromisoformat(end), skip_first=False, **more)
+    return Calendar(date.fromisoformat(start), date.fromisoformat(end), **more)
 
 
 def make_tables(

@@ -149,7 +149,7 @@ def credit_roll(ledger: list[tuple]) -> list[tuple]:
             terms[account] = (min(of_book, key=lambda r: r[1]), max(of_book, key=lambda r: r[1]))
     ever = {row[0] for row in ledger if row[2] == "borrow"}
     before, rows = {}, []
-    for snapshot in CALENDAR.snapshots:
+    for snapshot in [CALENDAR.first - timedelta(weeks=1), *CALENDAR.snapshots]:
         states = {u: credit_state(e, snapshot) for u, e in by_user(ledger, snapshot).items()}
         active = {r[0] for r in ledger if local(r[1]).date() <= snapshot}
         for account in sorted(active & set(terms)):
@@ -173,7 +173,7 @@ def credit_roll(ledger: list[tuple]) -> list[tuple]:
                     default = "2. No" if prev == "5. 91+" else "1. Yes"
                 rows.append((snapshot, user, account, now, prev, new, default))
                 before[user, account] = now
-    return rows
+    return [row for row in rows if row[0] >= CALENDAR.first]
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -262,7 +262,7 @@ def test_cover_report(spark, seed):
     found = rows_of(CoverBook(tables, CALENDAR, COVER).report())
     names = CoverBook(tables, CALENDAR, COVER).report().columns
     wanted, before = [], {}
-    for snapshot in CALENDAR.snapshots:
+    for snapshot in [CALENDAR.first - timedelta(weeks=1), *CALENDAR.snapshots]:
         seen = {}
         for user, entries in by_user(ledger, snapshot).items():
             state = cover_state(entries, snapshot)
@@ -290,7 +290,8 @@ def test_cover_report(spark, seed):
                 "new_default": "3. NA" if status != "6. 91+" else "2. No" if prev == status else "1. Yes",
                 "paid_in_cohort": "3. NA" if not settled else "1. Yes" if paid_week == snapshot else "2. No",
             }
-            wanted.append(tuple(state[n] for n in names))
+            if snapshot >= CALENDAR.first:
+                wanted.append(tuple(state[n] for n in names))
         before = seen
     assert sorted(found, key=str) == sorted(wanted, key=str)
 
@@ -362,12 +363,25 @@ def test_empty_inputs_and_empty_calendar(spark):
     assert CoverBook(make_tables(spark, ledger, OWNERS), none, COVER).report().count() == 0
 
 
-def test_first_snapshot_of_cover_has_no_previous(spark):
+def test_entries_after_the_last_snapshot_do_not_count(spark):
+    """The stored bound is wider than the civil one; states end at the calendar."""
+    ledger = [
+        ("a3", "2022-05-03 12:00:00", "loan", "$10.00"),
+        ("a3", "2022-05-09 12:00:00", "loan", "$20.00"),  # the Monday after
+    ]
+    calendar = weeks("2022-05-01", "2022-05-08")
+    states = CoverBook(make_tables(spark, ledger, OWNERS), calendar, COVER).states()
+    assert rows_of(states, "week_end", "next_week", "last_loan_date", "OS") == [
+        (date(2022, 5, 8), None, date(2022, 5, 3), Decimal("10.00"))
+    ]
+
+
+def test_first_snapshot_of_cover_knows_its_previous(spark):
     ledger = [("a3", "2022-01-01 12:00:00", "loan", "$10.00")]
     late = weeks("2022-05-01", "2022-05-08")
     book = CoverBook(make_tables(spark, ledger, OWNERS), late, COVER)
     found = rows_of(book.report(), "snapshot", "snapshot_status", "prev_status")
     assert found == [
-        (date(2022, 5, 1), "5. 61 to 90", "0. non existent"),
+        (date(2022, 5, 1), "5. 61 to 90", "5. 61 to 90"),
         (date(2022, 5, 8), "6. 91+", "5. 61 to 90"),
     ]

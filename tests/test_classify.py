@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
@@ -96,8 +97,10 @@ def test_cover_bucket(spark):
     assert found == [e for e in edges for _ in (0, 1)] + ["1. Inactive"] * 10 + ["7. Balance Issue"] * 10
 
 
-def test_cover_due_date_is_the_stated_rule(spark):
+@pytest.mark.parametrize("period", [30, 21])
+def test_cover_due_date_is_the_stated_rule(spark, period):
     """The two-date form against the rule by fee counts, for every day and count."""
+    rules = replace(COVER, fee_period_days=period)
     rows = [
         (loan, fee, fees, loan + timedelta(days=days))
         for loan in (date(2021, 12, 31), date(2022, 1, 1))
@@ -107,19 +110,19 @@ def test_cover_due_date_is_the_stated_rule(spark):
     ]
     loan, fee, fees = F.col("l"), F.col("f"), F.col("n")
     due = cl.cover_due_date(
-        cl.cover_paid_until(loan, fee, COVER), cl.cover_lapses_on(loan, fees, COVER), F.col("s")
+        cl.cover_paid_until(loan, fee, rules), cl.cover_lapses_on(loan, fees, rules), F.col("s")
     )
-    expected = cl.expected_fees(loan, F.col("s"))
+    expected = cl.expected_fees(loan, F.col("s"), rules)
     found = evaluate(spark, rows, "l date, f date, n long, s date", "l", "f", "n", "s", due, expected)
     assert len(found) == len(rows)
     for loan_day, fee_day, count, snapshot, due_day, wanted_fees in found:
-        periods = (snapshot - loan_day).days // 30
+        periods = (snapshot - loan_day).days // period
         if loan_day <= COVER.fee_rule_after:
             start, length = loan_day, 30
         elif count >= periods:
-            start, length = fee_day or loan_day, 30
+            start, length = fee_day or loan_day, period
         else:
-            start, length = loan_day, 30 * (1 + count)
+            start, length = loan_day, period * (1 + count)
         assert wanted_fees == periods
         assert due_day == start + timedelta(days=length)
 

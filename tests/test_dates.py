@@ -16,18 +16,15 @@ from tests.helpers import ts
 SUNDAY, MONDAY = date(2022, 1, 2), date(2022, 1, 3)
 
 
-def test_calendar_skips_its_opening_period():
+def test_calendar_keeps_every_period():
     calendar = Calendar(date(2022, 1, 1), date(2022, 1, 20))
-    assert calendar.snapshots == [date(2022, 1, 9), date(2022, 1, 16)]
-    assert Calendar(date(2022, 1, 1), date(2022, 1, 20), skip_first=False).first == SUNDAY
+    assert calendar.snapshots == [SUNDAY, date(2022, 1, 9), date(2022, 1, 16)]
 
 
-def test_calendar_of_one_period_keeps_it():
-    assert Calendar(SUNDAY, date(2022, 1, 8)).snapshots == [SUNDAY]
-
-
-def test_calendar_of_two_periods_keeps_the_last():
-    assert Calendar(SUNDAY, date(2022, 1, 9)).snapshots == [date(2022, 1, 9)]
+@pytest.mark.parametrize(("end", "kept"), [(8, 0), (9, 1), (20, 2)])
+def test_skipping_the_opening_period_does_not_look_at_their_number(end, kept):
+    calendar = Calendar(SUNDAY, date(2022, 1, end), skip_opening=True)
+    assert calendar.snapshots == [date(2022, 1, 9), date(2022, 1, 16)][:kept]
 
 
 def test_calendar_without_sundays_is_empty():
@@ -50,8 +47,9 @@ def test_cutoff_drops_later_snapshots():
 def test_report_calendars(today, credit_last, cover_last):
     assert params.credit_calendar(today).last == credit_last
     assert params.cover_calendar(today).last == cover_last
-    assert params.credit_calendar(today).first == date(2022, 4, 10)
-    assert params.cover_calendar(today).first == date(2021, 8, 8)
+    assert params.credit_calendar(today).first == date(2022, 4, 3)
+    assert params.cover_calendar(today).first == date(2021, 8, 1)
+    assert params.credit_calendar(today, skip_opening=True).first == date(2022, 4, 10)
 
 
 def test_month_end():

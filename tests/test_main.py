@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from datetime import date
+from types import SimpleNamespace
 
+import pytest
 from pyspark.sql import functions as F
 
 from loanbook.main import run
+from loanbook.session import scratch_root
 from loanbook.sources import sinks
 from loanbook.sources.tables import LEDGER_LINES, catalog_tables, conform, write_tables
 from tests.helpers import make_tables, rows_of, ts
@@ -61,6 +64,36 @@ def test_credit_from_the_catalog(spark):
     assert found[-1][:4] == (date(2022, 7, 24), "1. Current", "0. No", 0.0)
 
 
+def test_window_and_targets(spark, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    write_tables(inputs(spark), source)
+    given = ["cover", "--inputs", source, "--start", "2022-06-13", "--end", "2022-06-26"]
+    with pytest.raises(SystemExit):
+        run(spark, given)
+    run(spark, [*given, "--parquet", target])
+    found = rows_of(spark.read.parquet(target), "snapshot", "prev_status")
+    assert found == [(date(2022, 6, 19), "2. current"), (date(2022, 6, 26), "2. current")]
+    run(spark, [*given, "--skip-opening", "--parquet", target])
+    assert rows_of(spark.read.parquet(target), "snapshot") == [(date(2022, 6, 26),)]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["in", "out"]
+
+
+def test_a_failed_write_leaves_the_report(spark, tmp_path):
+    target = str(tmp_path / "out")
+    sinks.write_parquet(spark.range(3), target)
+    with pytest.raises(Exception):
+        sinks.write_parquet(spark.range(3).select(F.raise_error(F.lit("no")).alias("x")), target)
+    assert spark.read.parquet(target).count() == 3
+    assert [p.name for p in tmp_path.iterdir()] == ["out"]
+
+
+def test_a_cluster_must_name_a_shared_folder():
+    conf = SimpleNamespace(get=lambda name, default=None: default)
+    cluster = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_root(cluster)
+
+
 def test_source_names(spark):
     lines = spark.createDataFrame([("u1", ts("2022-06-01 12:00:00"), "x")], "user_reference string, TIMESTAMP timestamp_ntz, description string")
     assert conform(lines, LEDGER_LINES).select(F.col("line_ts").cast("string")).first()[0] == "2022-06-01 12:00:00"

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import time
+
 import duckdb
 import pyarrow as pa
 import pytest
 from pyspark.sql.pandas.types import to_arrow_schema
 
 import __spark_entry__ as entry_points
+from loanbook.plans.catalog import QUERIES
+from oracle.sql import ORACLES
 from tests.conftest import DATA
 
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def duck():
@@ -23,6 +25,20 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLES) <= set(entry_points.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_statements_are_quick(name):
+    """One thread at ten times the scale: seconds, whatever the machine."""
+    connection = duckdb.connect(config={"threads": 1})
+    for table in ("orders", "lineitem", "customer"):
+        path = f"{DATA.replace('sf0.001', 'sf0.01')}/{table}.parquet"
+        connection.execute(f"create view {table} as select * from '{path}'")
+    began = time.process_time()
+    connection.execute(f"create table result as {ORACLES[name]}")
+    assert time.process_time() - began < 5
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
