@@ -92,12 +92,14 @@ def connected(
     buckets: DataFrame,
     verified: Callable[[DataFrame, DataFrame], DataFrame],
     may_link: Callable[[Callable[[str], Column], Callable[[str], Column]], Column] | None = None,
+    prepare: Callable[[DataFrame], None] | None = None,
 ) -> DataFrame:
     """`(node, component)` of all nodes that are linked with any other.
 
     `buckets` has `key`, `node` and what `may_link` looks at to rule a pair out. It
     may repeat rows. `verified` gets pairs (`a`, `b`) and all their nodes (`node`),
-    and keeps the pairs that are links.
+    and keeps the pairs that are links. `prepare` first gets all nodes that share a
+    bucket with another.
     """
     extra = [c for c in buckets.columns if c not in ("key", "node")]
     bucket = Window.partitionBy("key").orderBy("node")
@@ -108,6 +110,8 @@ def connected(
         .drop("_next"),
         "buckets",
     )
+    if prepare:
+        prepare(shared.select("node").distinct())
 
     def links_among(pairs: DataFrame) -> DataFrame:
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()

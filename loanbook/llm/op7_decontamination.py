@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanbook.llm.common import WordHashes, each, rows, shingles, signed, small_batches, words
+from loanbook.llm.common import WordHashes, each, rolled, rows, shingles, signed, small_batches, words
 from loanbook.llm.links import BITS, bits, stored
 
 SHINGLE = 5
@@ -64,10 +64,12 @@ def _hits(documents: DataFrame, flags: np.ndarray) -> DataFrame:
         for batch in batches:
             out = []
             for doc_id, text_hash, text in each([batch], "doc_id", "text_hash", "text"):
-                values = shingles(words(text), SHINGLE, cache)
+                values = rolled(cache.of(words(text)), SHINGLE)
                 place = (values & np.uint64(BITS - 1)).astype(np.int64)
-                held = values[(flags[place >> 3] & (128 >> (place & 7)).astype(np.uint8)) != 0]
-                out += [(doc_id, text_hash, int(h), len(values)) for h in signed(held)]
+                held = np.unique(values[(flags[place >> 3] & (128 >> (place & 7)).astype(np.uint8)) != 0])
+                if len(held):
+                    n = len(np.unique(values))
+                    out += [(doc_id, text_hash, int(h), n) for h in signed(held)]
             if out:
                 yield rows(schema, **dict(zip(schema.names, zip(*out))))
 
