@@ -1,0 +1,87 @@
+"""Small tables for the operators on documents."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+from pyspark.sql import types as T
+
+DOCUMENTS = T.StructType([
+    T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
+    # Names that operators use themselves, and one they do not know.
+    T.StructField("text_hash", T.StringType()), T.StructField("n", T.StringType()), T.StructField("lang", T.StringType()),
+])
+SPACE = re.compile(r"[\x20\x09-\x0D]+")
+UPPER = {c: c + 32 for c in range(65, 91)}
+
+
+def words(text):
+    return [w for w in SPACE.split((text or "").translate(UPPER)) if w]
+
+
+def shingle_set(text, size):
+    own = words(text)
+    return {tuple(own[i : i + size]) for i in range(len(own) - size + 1)} or ({tuple(own)} if own else set())
+
+
+def prose(rng, n, vocabulary=400):
+    out = [f"w{int(rng.paretovariate(0.7)) % vocabulary}x{rng.randrange(9)}" for _ in range(n)]
+    for i in range(9, n, 10):
+        out[i] += ".\n"
+    return " ".join(out)
+
+
+def edited(rng, text, changes):
+    own = text.split(" ")
+    for _ in range(changes):
+        own[rng.randrange(len(own))] = f"new{rng.randrange(10**6)}"
+    return " ".join(own)
+
+
+def some_documents(seed=1, plain=60):
+    """Prose with copies, near copies, repeats, nulls, ties and a very long text."""
+    rng = random.Random(seed)
+    texts = [prose(rng, rng.choice([1, 2, 3, 4, 6, 12, 40, 150])) for _ in range(plain)]
+    base = prose(rng, 120)
+    texts += [base] * 4 + [edited(rng, base, rng.randrange(1, 7)) for _ in range(25)]
+    texts += ["", "", None, None, " \t\n ", "One", "one", "Ünï çödé 日本 🙂", "a b", "A  B", "word " * 700]
+    texts.append(prose(rng, 20_000))
+    rows = [(i * 3, text) for i, text in enumerate(texts)]
+    rng.shuffle(rows)
+    rows += rows[:2]  # repeated rows
+    rows += [(None, "no id " + base), (None, None)]
+    return [(i, t, "x", None, None if k % 5 else "en") for k, (i, t) in enumerate(rows)]
+
+
+@pytest.fixture(scope="session")
+def sample_rows():
+    return some_documents()
+
+
+@pytest.fixture(scope="session")
+def sample(spark, sample_rows):
+    return spark.createDataFrame(sample_rows, DOCUMENTS).repartition(3)
+
+
+@pytest.fixture(scope="session")
+def nothing(spark):
+    return spark.createDataFrame([], DOCUMENTS)
+
+
+class Groups:
+    """Union-find, for brute force."""
+
+    def __init__(self):
+        self.parent = {}
+
+    def find(self, x):
+        self.parent.setdefault(x, x)
+        while self.parent[x] != x:
+            x = self.parent[x]
+        return x
+
+    def join(self, a, b):
+        a, b = self.find(a), self.find(b)
+        self.parent[max(a, b)] = min(a, b)

@@ -1,0 +1,88 @@
+"""The five stages, one after the other, and the queries' registration."""
+
+from __future__ import annotations
+
+import random
+
+import duckdb
+import pytest
+import sentencepiece
+import public_tokenizers
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry_points
+import corpus_pipeline
+from loanbook.llm import catalog
+from tests.conftest import DATA
+from tests.llm.conftest import prose
+
+SF = DATA.replace("sf0.001", "sf0.01")
+
+
+def test_all_operators_are_registered():
+    names = entry_points.queries()
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert "pipeline" in names and set(catalog.ORACLES) <= set(entry_points.oracle_sql())
+
+
+def test_decontamination_equals_its_statement(spark):
+    duck = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        duck.execute(f"create view {name} as select * from '{SF}/{name}.parquet'")
+    wanted = duck.execute(catalog.ORACLES["op7_decontamination"]).df()
+    found = catalog.QUERIES["op7_decontamination"](spark, SF).toPandas()[list(wanted.columns)]
+    keys = ["doc_id", "item_id"]
+    assert len(wanted) > 10
+    assert found.sort_values(keys).reset_index(drop=True).equals(wanted.sort_values(keys).reset_index(drop=True))
+
+
+@pytest.fixture
+def folder(spark, tmp_path):
+    rng = random.Random(11)
+    texts = {i: prose(rng, 150, 3000).replace(".\n", ".") for i in range(40)}
+    shared = " ".join(f"q{rng.randrange(999)}" for _ in range(60))
+    item = " ".join(f"exam{k}" for k in range(30))
+    junk = {100 + i: prose(rng, 60).upper().replace(" ", "!! ") for i in range(40)}
+    texts[50] = texts[0]  # an exact copy
+    own = texts[1].split(" ")
+    own[75] = "changed"
+    texts[51] = " ".join(own) + "\nand one more line"  # a near copy
+    texts[52] = f"{prose(rng, 90, 3000)}\n{shared}"
+    texts[53] = f"{prose(rng, 90, 3000)}\n{shared}"
+    texts[54] = f"{prose(rng, 90, 3000)} {item} {prose(rng, 90, 3000)}"
+    texts[55] = ""
+    texts |= junk
+    rows = [(i, t, "en", f"s{i % 3}", len(t)) for i, t in texts.items()] + [(None, None, None, None, None)]
+    path = str(tmp_path)
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([(i, int(i < 100), 0) for i in texts if i < 40 or i >= 100], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame([(0, item)], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    return path, texts
+
+
+def test_stages(spark, folder, tmp_path):
+    path, texts = folder
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    seen = []
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, path)
+        if k < 4:
+            assert out.dtypes == docs.dtypes
+        out.write.parquet(str(tmp_path / f"stage{k}"))
+        docs = spark.read.parquet(str(tmp_path / f"stage{k}"))
+        seen.append({r.doc_id: r for r in docs.collect()})
+    quality, lines, groups, clean, tokens = seen
+    assert not any(i in quality for i in range(100, 140) if i is not None)
+    assert set(range(40)) <= set(quality) and 55 in quality
+    assert 50 not in lines and 0 in lines  # nothing is left of an exact copy
+    assert sum(texts[52].split("\n")[-1] in lines[i].text for i in (52, 53)) == 1
+    assert all(r.n_chars == len(r.text) for r in lines.values() if r.text is not None)
+    assert 51 not in groups or "changed" not in groups[51].text
+    assert set(groups) - set(clean) == {54}
+    assert set(range(40)) <= set(tokens) and set(tokens) == set(clean)
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    assert all(tokens[i].n_tokens == len(library.encode(clean[i].text or "")) for i in tokens)
+    whole = corpus_pipeline.run(spark, path)
+    staged = spark.read.parquet(str(tmp_path / "stage4"))
+    assert whole.exceptAll(staged).count() == 0 == staged.exceptAll(whole).count()
+    assert whole.agg(F.countDistinct("doc_id")).first()[0] == len([i for i in tokens if i is not None])
