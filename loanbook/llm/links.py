@@ -88,17 +88,20 @@ def components(links: DataFrame) -> DataFrame:
     return labels.select("node", "component")
 
 
+def nodes_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+
+
 def connected(
     buckets: DataFrame,
-    verified: Callable[[DataFrame, DataFrame], DataFrame],
+    verified: Callable[[DataFrame], DataFrame],
     may_link: Callable[[Callable[[str], Column], Callable[[str], Column]], Column] | None = None,
     prepare: Callable[[DataFrame], None] | None = None,
 ) -> DataFrame:
     """`(node, component)` of all nodes that are linked with any other.
 
     `buckets` has `key`, `node` and what `may_link` looks at to rule a pair out. It
-    may repeat rows. `verified` gets pairs (`a`, `b`) and all their nodes (`node`),
-    and keeps the pairs that are links. `prepare` first gets all nodes that share a
+    may repeat rows. `verified` keeps the pairs (`a`, `b`) that are links. `prepare` first gets all nodes that share a
     bucket with another.
     """
     extra = [c for c in buckets.columns if c not in ("key", "node")]
@@ -114,8 +117,7 @@ def connected(
         prepare(shared.select("node").distinct())
 
     def links_among(pairs: DataFrame) -> DataFrame:
-        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        return checkpointed(verified(pairs, nodes).select("a", "b"))
+        return checkpointed(verified(pairs).select("a", "b"))
 
     def possible(x: Callable[[str], Column], y: Callable[[str], Column]) -> Column:
         return may_link(x, y) if may_link else F.lit(True)

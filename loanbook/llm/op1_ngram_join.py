@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanbook.llm.common import WordHashes, checkpointed, column, mixed, rows, shingles, signed, small_batches, words
-from loanbook.llm.links import bits, connected, known, place_of, stored
+from loanbook.llm.links import bits, connected, known, nodes_of, place_of, stored
 
 #: Counters of n-grams: 2 MB when sent to all tasks.
 BINS = 2**21
@@ -34,6 +34,8 @@ BLOCK = 2**16
 FRAGMENTS = 8
 
 _PLACE = "_place"
+#: Words of 64 bits in a parity.
+_PARITIES = [f"p{k}" for k in range(8)]
 
 
 def set_hash(values: np.ndarray) -> int:
@@ -44,34 +46,58 @@ def set_hash(values: np.ndarray) -> int:
     return int(signed(np.array([total], dtype=np.uint64))[0])
 
 
+def parity(values: np.ndarray) -> np.ndarray:
+    """Of each bucket of hashes, whether it holds an odd number of them, as 64-bit words."""
+    odd = np.bincount((values & np.uint64(64 * len(_PARITIES) - 1)).astype(np.int64), minlength=64 * len(_PARITIES)) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sets(documents: DataFrame, size: int) -> DataFrame:
     """Per document its set's size and hash; per task and block, the counts of n-grams."""
     schema = pa.schema([
         ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()),
-        ("block", pa.int32()), ("counts", pa.binary()),
+        *((p, pa.int64()) for p in _PARITIES), ("block", pa.int32()), ("counts", pa.binary()),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, counts = WordHashes(), np.zeros(BINS, dtype=np.uint32)
         for batch in batches:
-            ids, sizes, nodes = column(batch, "doc_id"), [], []
+            ids, sizes, nodes, parities = column(batch, "doc_id"), [], [], []
             for text in column(batch, "text"):
                 values = shingles(words(text), size, cache)
                 sizes.append(len(values))
                 nodes.append(set_hash(values) if len(values) else None)
+                parities.append(parity(values))
                 np.add.at(counts, values >> np.uint64(64 - 21), np.uint32(1))
             none = [None] * len(ids)
-            yield rows(schema, doc_id=ids, text_hash=column(batch, "text_hash"), n_shingles=sizes, node=nodes, block=none, counts=none)
+            words_of = dict(zip(_PARITIES, np.array(parities).reshape(-1, len(_PARITIES)).T))
+            yield rows(schema, doc_id=ids, text_hash=column(batch, "text_hash"), n_shingles=sizes, node=nodes, block=none, counts=none, **words_of)
         if counts.any():
             parts = [zlib.compress(c.tobytes(), 1) for c in counts.reshape(-1, BLOCK)]
             none = [None] * len(parts)
-            yield rows(schema, doc_id=none, text_hash=none, n_shingles=none, node=none, block=range(len(parts)), counts=parts)
+            yield rows(
+                schema, doc_id=none, text_hash=none, n_shingles=none, node=none, block=range(len(parts)), counts=parts,
+                **dict.fromkeys(_PARITIES, none),
+            )
 
     return documents.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
-        run, "doc_id long, text_hash long, n_shingles long, node long, block int, counts binary"
+        run, "doc_id long, text_hash long, n_shingles long, node long, " + "".join(f"{p} long, " for p in _PARITIES) + "block int, counts binary"
     )
 
 
+def _near_parities(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that can be similar by their parities.
+
+    A parity has a bit for each bucket of n-grams that holds an odd number of them, so
+    every bit in which two parities differ stands for an n-gram that is in one set only.
+    """
+    sides = [sets.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), *[F.col(p).alias(f"{p}{s}") for p in _PARITIES]) for s in "ab"]
+    apart = sum((F.bit_count(F.col(f"{p}a").bitwiseXOR(F.col(f"{p}b"))) for p in _PARITIES), F.lit(0))
+    total = F.col("n_a") + F.col("n_b")
+    near = pairs.join(sides[0], "a").join(sides[1], "b").where(apart * (100 + percent) <= total * (100 - percent))
+    return near.select("a", "b")
+
+
 def _classes(counts: DataFrame) -> np.ndarray:
     """Frequency class of each counter, rare ones first: `BINS` bytes."""
 
@@ -146,18 +172,22 @@ def segments(documents: DataFrame, set_of: Callable[[str | None, WordHashes], np
                 yield rows(schema, **dict(zip(schema.names, zip(*out))))
 
     placed = documents.select("text", place_of("doc_id").alias(_PLACE))
-    return placed.mapInArrow(run, "node long, n long, fragment int, segment array<bigint>").dropDuplicates(["node", "fragment"])
+    return placed.mapInArrow(run, "node long, n long, fragment int, segment array<bigint>")
 
 
 def overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
-    """`(a, b, n_a, n_b, shared)`: overlaps counted per fragment and summed per pair."""
+    """`(a, b, n_a, n_b, shared)`: overlaps counted per fragment and summed per pair.
+
+    `parts` may hold a segment more than once, for copies of a document.
+    """
     left = parts.select(F.col("node").alias("a"), F.col("n").alias("n_a"), "fragment", F.col("segment").alias("s_a"))
     right = parts.select(F.col("node").alias("b"), F.col("n").alias("n_b"), "fragment", F.col("segment").alias("s_b"))
     partial = (
         pairs.join(left, "a").join(right, ["b", "fragment"])
-        .select("a", "b", "n_a", "n_b", F.size(F.array_intersect("s_a", "s_b")).cast("long").alias("partial"))
+        .select("a", "b", "n_a", "n_b", "fragment", F.size(F.array_intersect("s_a", "s_b")).cast("long").alias("partial"))
     )
-    return partial.groupBy("a", "b").agg(
+    counted = partial.groupBy("a", "b", "n_a", "n_b", "fragment").agg(F.max("partial").alias("partial"))
+    return counted.groupBy("a", "b").agg(
         F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"), F.sum("partial").alias("shared")
     )
 
@@ -170,7 +200,9 @@ def _linked(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, D
     documents_seen = seen.where("block is null")
     classes = _classes(seen.where("block is not null"))
     sets = checkpointed(
-        documents_seen.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("least_id"))
+        documents_seen.where("n_shingles > 0").groupBy("node").agg(
+            F.min("doc_id").alias("least_id"), F.max("n_shingles").alias("n"), *[F.max(p).alias(p) for p in _PARITIES]
+        )
     )
     keys = _prefixes(documents, size, least, classes, bits(sets, "least_id"))
 
@@ -180,10 +212,11 @@ def _linked(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, D
         most = F.least(i, j) + F.least(n_x - i, n_y - j)
         return enough & (most * (100 + percent) >= (n_x + n_y) * percent)
 
-    def verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-        chosen = bits(nodes.join(sets, "node"), "least_id")
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = checkpointed(_near_parities(pairs, sets, percent))
+        chosen = bits(nodes_of(pairs).join(sets, "node"), "least_id")
         parts = segments(documents, lambda text, cache: shingles(words(text), size, cache), chosen)
-        return overlaps(pairs, parts.join(nodes, "node", "left_semi")).where(
+        return overlaps(pairs, parts).where(
             F.col("shared") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("shared")) * percent
         )
 

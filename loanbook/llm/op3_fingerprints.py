@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanbook.llm.common import WordHashes, checkpointed, column, each, mixed, rolled, rows, signed, small_batches, words
-from loanbook.llm.links import bits, connected
+from loanbook.llm.links import bits, connected, nodes_of
 from loanbook.llm.neighbours import OWN, beside
 from loanbook.llm.op1_ngram_join import overlaps, segments, set_hash
 
@@ -168,10 +168,10 @@ def near_duplicates(documents: DataFrame, percent: int = SIMILAR_PERCENT) -> Dat
     buckets = sets.select(F.explode("keys").alias("key"), "node")
     sets = sets.drop("keys")
 
-    def verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-        chosen = bits(nodes.join(sets, "node"), "least_id")
+    def verified(pairs: DataFrame) -> DataFrame:
+        chosen = bits(nodes_of(pairs).join(sets, "node"), "least_id")
         parts = segments(documents, lambda text, cache: np.unique(shingle_hashes(text, cache)), chosen)
-        return overlaps(pairs, parts.join(nodes, "node", "left_semi")).where(
+        return overlaps(pairs, parts).where(
             F.col("shared") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("shared")) * percent
         )
 
