@@ -166,7 +166,7 @@ def scored(documents: DataFrame, labels: DataFrame, carry: list[str]) -> DataFra
                 if lines:
                     p = marginals((observed(lines) @ m["weights"])[None], m["ties"])[0]
                     lengths = np.array([len(line) for line in lines], dtype=np.float64)
-                    scores.append(float(np.clip(p @ lengths / lengths.sum(), 0, 1)))
+                    scores.append(round(float(np.clip(p @ lengths / lengths.sum(), 0, 1)), 12))
                     bad.append(int((p < 0.5).sum()))
                 else:
                     scores.append(m["usual"])
