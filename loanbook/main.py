@@ -13,12 +13,19 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from loanbook.params import COVER_START, CREDIT_START, ZONE, Calendar, cover_calendar, credit_calendar
+from loanbook.operators.ledger import unreadable_amounts
 from loanbook.plans.cover import CoverBook
 from loanbook.plans.credit import CreditBook
 from loanbook.session import build_session
 from loanbook.sources import sinks
 from loanbook.sources.tables import SCHEMAS, Tables, catalog_tables, read_tables
 
+# What a row of each report is about.
+GRAIN = {
+    "cover": ("snapshot", "user_reference"),
+    "credit": ("snapshot", "user_reference", "account_identifier"),
+}
+
 
 def build_report(
     tables: Tables,
@@ -26,10 +33,11 @@ def build_report(
     calendar: Calendar,
     zone: str = ZONE,
     legacy_overwrite: bool = False,
+    strict: bool = True,
 ) -> DataFrame:
     if book == "credit":
-        return CreditBook(tables, calendar, zone=zone).roll(legacy_overwrite)
-    return CoverBook(tables, calendar, zone=zone).report()
+        return CreditBook(tables, calendar, zone=zone, strict=strict).roll(legacy_overwrite)
+    return CoverBook(tables, calendar, zone=zone, strict=strict).report()
 
 
 def chosen_calendar(chosen: argparse.Namespace) -> Calendar:
@@ -54,6 +62,9 @@ def options(arguments: Sequence[str] | None) -> argparse.Namespace:
     source.add_argument(
         "--table", action="append", metavar="NAME=TABLE", help=f"one of {', '.join(SCHEMAS)}"
     )
+    parser.add_argument("--lenient", action="store_true", help="go on over amounts that are no numbers")
+    parser.add_argument("--rejects", help="parquet folder for ledger rows with such amounts")
+    parser.add_argument("--check", action="store_true", help="raise if a row of the report is there twice")
     parser.add_argument("--parquet", help="parquet folder to replace")
     parser.add_argument("--by-snapshot", action="store_true", help="a parquet folder per snapshot")
     parser.add_argument("--save-as", help="catalog table to replace")
@@ -76,7 +87,9 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
     else:
         tables = catalog_tables(spark, dict(pair.split("=", 1) for pair in chosen.table))
     calendar = chosen_calendar(chosen)
-    report = build_report(tables, chosen.book, calendar, chosen.zone, chosen.legacy_overwrite)
+    report = build_report(tables, chosen.book, calendar, chosen.zone, chosen.legacy_overwrite, not chosen.lenient)
+    if chosen.rejects:
+        sinks.write_parquet(unreadable_amounts(tables.ledger), chosen.rejects)
     # The report is computed once; further targets read the first.
     if chosen.parquet:
         sinks.write_parquet(report, chosen.parquet, chosen.by_snapshot)
@@ -84,6 +97,8 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
     if chosen.save_as:
         sinks.write_table(report, chosen.save_as)
         report = spark.table(chosen.save_as)
+    if chosen.check:
+        sinks.check_grain(report, GRAIN[chosen.book])
     if chosen.csv:
         sinks.write_csv(sinks.in_order(report), chosen.csv)
 

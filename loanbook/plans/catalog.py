@@ -11,12 +11,12 @@ from loanbook.functions import classify as cl
 from loanbook.functions import dates as dt
 from loanbook.functions.money import emit
 from loanbook.operators import asof, ledger as lg
-from loanbook.params import ZONE
+from loanbook.params import ZONE, Calendar
 from loanbook.plans.cover import CoverBook
 from loanbook.plans.credit import CreditBook
 from loanbook.session import scratch_folder
 from loanbook.sources import sinks
-from loanbook.sources.fixtures import CALENDAR, COVER_RULES, CREDIT_RULES, fixture_tables
+from loanbook.sources.fixtures import CALENDAR, COVER_RULES, CREDIT_RULES, CUTOFF, fixture_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -386,3 +386,42 @@ def sink_csv(spark, sf_dir):
     sinks.write_csv(accessed, path, "row", (*sinks.REPORT_ORDER, "account_identifier"))
     schema = "row bigint, " + ", ".join(f"`{n}` {t}" for n, t in accessed.dtypes)
     return sinks.read_csv(spark, path, schema)
+
+
+@query
+def sink_csv_plain(spark, sf_dir):
+    """The cover flags through a CSV without a place column."""
+    path = scratch_folder(spark, "flags")
+    flags = cover_flags(spark, sf_dir)
+    sinks.write_csv(flags, path)
+    return sinks.read_csv(spark, path, flags.schema)
+
+
+# --- cut-off and faulty rows ---------------------------------------------
+
+
+@query
+def calendar_cutoff(spark, sf_dir):
+    """The cover book of a calendar that is cut off in the middle of a week."""
+    cut = Calendar(CALENDAR.start, CALENDAR.end, cutoff=CUTOFF)
+    return cover_book(spark, sf_dir, cut).state_snapshots().select(
+        "snapshot", "user_reference", "last_loan_date", "num_fee_payments"
+    )
+
+
+def spoiled_ledger(spark, sf_dir):
+    """The ledger with amounts that are no numbers, and fees that are there twice."""
+    ledger, amount = fixture_tables(spark, sf_dir).ledger, F.col("Amount")
+    minus = F.when(F.col("TransactionID").endswith("7"), F.concat(F.lit("-"), amount))
+    spoiled = ledger.withColumn("Amount", F.coalesce(minus, amount))
+    return spoiled.unionByName(spoiled.where(F.col("PaymentCode") == COVER_RULES.fee_code))
+
+
+@query
+def amount_rejects(spark, sf_dir):
+    return lg.unreadable_amounts(spoiled_ledger(spark, sf_dir)).select("TransactionID", "Amount")
+
+
+@query
+def repeated_ids(spark, sf_dir):
+    return lg.repeated_transactions(spoiled_ledger(spark, sf_dir))

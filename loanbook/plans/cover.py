@@ -50,6 +50,8 @@ class CoverBook:
     calendar: Calendar
     rules: CoverRules = CoverRules()
     zone: str = ZONE
+    # Whether an amount that is no number raises, or counts as unknown.
+    strict: bool = True
     rows_per_salt: int = ROWS_PER_SALT
 
     # --- entries ----------------------------------------------------------
@@ -57,7 +59,7 @@ class CoverBook:
     def entries(self, ledger: DataFrame | None = None) -> DataFrame:
         """Entries of known users."""
         source = self.tables.ledger if ledger is None else ledger
-        entries = cover_entries(source, self.rules, self.zone)
+        entries = cover_entries(source, self.rules, self.zone, self.strict)
         return with_users(entries, self.tables.accounts, "inner", self.rows_per_salt)
 
     def since_first_loan(self) -> DataFrame:
@@ -71,7 +73,7 @@ class CoverBook:
         owners = account_map(self.tables.accounts).withColumnRenamed(
             "account_group_identifier", "UserAccount"
         )
-        moves = cover_entries(self.tables.ledger, self.rules, self.zone).where(~is_type(FEE))
+        moves = cover_entries(self.tables.ledger, self.rules, self.zone, self.strict).where(~is_type(FEE))
         return with_owners(moves, owners.join(first, USER), "inner", self.rows_per_salt).where(
             F.col("local_date") >= F.col("first_loan_date")
         )
@@ -104,7 +106,7 @@ class CoverBook:
         amount, day = F.col("Amount"), ["week_end", "local_date"]
         seen = posted_by(self.tables.ledger, self.calendar.last)
         by_account = (
-            cover_entries(seen, self.rules, self.zone)
+            cover_entries(seen, self.rules, self.zone, self.strict)
             .where(F.col("local_date") <= F.lit(self.calendar.last))
             .groupBy("UserAccount", *day)
             .agg(

@@ -53,6 +53,8 @@ class CreditBook:
     calendar: Calendar
     rules: CreditRules = CreditRules()
     zone: str = ZONE
+    # Whether an amount that is no number raises, or counts as unknown.
+    strict: bool = True
     rows_per_salt: int = ROWS_PER_SALT
     # An account's row grows into one per snapshot.
     accounts_per_salt: int = ROWS_PER_SALT // 10
@@ -144,7 +146,7 @@ class CreditBook:
         )
         counted = is_borrow() | (F.col("PostedAt") >= F.col("first_loan_date"))
         source = self.tables.ledger if ledger is None else ledger
-        entries = credit_entries(source, self.rules, self.zone)
+        entries = credit_entries(source, self.rules, self.zone, self.strict)
         return with_owners(entries, borrowers, "inner", self.rows_per_salt).where(counted)
 
     def running_balance(self) -> DataFrame:

@@ -16,6 +16,8 @@ from loanbook.sources import tables as tb
 
 # 104 snapshots, 1997-01-05 to 1998-12-27.
 CALENDAR = Calendar(start=date(1997, 1, 5), end=date(1998, 12, 27))
+# A Wednesday.
+CUTOFF = date(1997, 3, 5)
 
 CREDIT_RULES = CreditRules(
     activity_codes=("CB-OPEN", "CB-BORROW", "CB-REPAY"),

@@ -81,6 +81,13 @@ def write_csv(
         rows.write.option("header", True).csv(new)
 
 
+def check_grain(report: DataFrame, key: Sequence[str]) -> None:
+    """Raise if two rows of the report have the same key."""
+    twice = report.groupBy(*key).count().where("count > 1").first()
+    if twice is not None:
+        raise ValueError(f"{twice['count']} rows for {[twice[k] for k in key]}")
+
+
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 

@@ -254,6 +254,15 @@ def _with(body: str, *parts: str) -> str:
     return "with " + ",".join([INPUTS, *parts]) + body
 
 
+_SPOILED = """
+, minus as (
+  select TransactionID, PaymentCode,
+         if(ends_with(TransactionID, '7'), '-' || Amount, Amount) as Amount
+  from ledger),
+spoiled as (
+  select * from minus union all select * from minus where PaymentCode = 'CV-FEE')"""
+
+
 ORACLES: dict[str, str] = {
     "account_map": _with(
         "select acct as account_group_identifier, usr as user_reference from owners"
@@ -526,4 +535,31 @@ from cb_view where ever_accessed = 'Yes'""",
         SPINE,
         CB_REPORT,
     ),
+    "sink_csv_plain": _with(
+        """
+select usr as user_reference,
+       case when usr in (select usr from cv_graduated) then 1 else 0 end as grad_flag,
+       case when usr in (select user_reference from migration_list) then 1 else 0
+         end as migration_flag
+from (select distinct usr from owners)""",
+        COVER,
+    ),
+    "calendar_cutoff": _with(
+        f"""
+select snapshot, usr as user_reference, last_loan as last_loan_date, fees as num_fee_payments
+from cv_aged where snapshot <= date '{fx.CUTOFF}'""",
+        COVER,
+    ),
+    "amount_rejects": _with(
+        f"""
+{_SPOILED}
+select TransactionID as "TransactionID", Amount as "Amount" from spoiled
+where try_cast(trim(Amount, '$') as decimal(18,2)) is null""",
+    ),
+    "repeated_ids": _with(
+        f"""
+{_SPOILED}
+select TransactionID as "TransactionID", count(*) as count from spoiled
+group by 1 having count(*) > 1""",
+    ),
 }

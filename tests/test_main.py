@@ -78,6 +78,21 @@ def test_window_and_targets(spark, tmp_path):
     assert sorted(p.name for p in tmp_path.iterdir()) == ["in", "out"]
 
 
+def test_unreadable_amounts(spark, tmp_path):
+    source, target, rejects = (str(tmp_path / n) for n in ("in", "out", "bad"))
+    ledger = [*LEDGER, ("a2", "2022-06-21 12:00:00", "ODR-DR-A-E-001", "five")]
+    write_tables(make_tables(spark, ledger, ACCOUNTS, LOANS), source)
+    given = ["cover", "--inputs", source, "--today", "2022-07-20", "--parquet", target, "--rejects", rejects, "--check"]
+    with pytest.raises(Exception, match="five"):
+        run(spark, given)
+    run(spark, [*given, "--lenient"])
+    assert spark.read.parquet(target).count() > 0
+    assert rows_of(spark.read.parquet(rejects), "Amount") == [("five",)]
+    doubled = spark.read.parquet(target)
+    with pytest.raises(ValueError, match="2 rows"):
+        sinks.check_grain(doubled.union(doubled), ("snapshot", "user_reference"))
+
+
 def test_a_failed_write_leaves_the_report(spark, tmp_path):
     target = str(tmp_path / "out")
     sinks.write_parquet(spark.range(3), target)
