@@ -24,12 +24,22 @@ _BLOCK = 2**15
 
 
 def stored(frame: DataFrame, label: str) -> DataFrame:
-    """`frame` as a table in the shared scratch folder, for what is read repeatedly."""
+    """`frame` as a table in the shared scratch folder, for what is read repeatedly.
+
+    The table goes when the program ends, or with `discard`.
+    """
     spark = frame.sparkSession
     path = scratch_folder(spark, label)
     frame.write.parquet(path)
     atexit.register(_remove, spark, path)
-    return spark.read.parquet(path)
+    table = spark.read.parquet(path)
+    table.scratch_path = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Remove what `stored` wrote, when all that was read from it is written."""
+    _remove(table.sparkSession, table.scratch_path)
 
 
 def _remove(spark: SparkSession, path: str) -> None:
@@ -148,6 +158,7 @@ def connected(
         .join(near_hub, ["a", "b"], "left_anti")
     )
     others = checkpointed(others)
+    discard(shared)
     if others.isEmpty():
         return groups
     return components(links.union(links_among(others)))
