@@ -107,12 +107,15 @@ def connected(
     verified: Callable[[DataFrame], DataFrame],
     may_link: Callable[[Callable[[str], Column], Callable[[str], Column]], Column] | None = None,
     prepare: Callable[[DataFrame], None] | None = None,
+    marks: DataFrame | None = None,
+    marks_may_link: Callable[[Callable[[str], Column], Callable[[str], Column]], Column] | None = None,
 ) -> DataFrame:
     """`(node, component)` of all nodes that are linked with any other.
 
     `buckets` has `key`, `node` and what `may_link` looks at to rule a pair out. It
     may repeat rows. `verified` keeps the pairs (`a`, `b`) that are links. `prepare` first gets all nodes that share a
-    bucket with another.
+    bucket with another. `marks` has more of each `node` for `marks_may_link` to look at
+    before members of a bucket are paired with others than the hub.
     """
     extra = [c for c in buckets.columns if c not in ("key", "node")]
     bucket = Window.partitionBy("key").orderBy("node")
@@ -147,12 +150,17 @@ def connected(
         labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
         .where("lo < hi").select("key")
     )
-    rest = checkpointed(labelled.join(mixed, "key"))
+    rest = labelled.join(mixed, "key")
+    rest = checkpointed(rest if marks is None else rest.join(marks, "node"))
     x, y = rest.alias("x"), rest.alias("y")
+    left, right = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
+    fit = possible(left, right)
+    if marks_may_link:
+        fit = fit & marks_may_link(left, right)
     others = (
         x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node"))
                & (F.col("x.component") != F.col("y.component"))
-               & possible(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}")))
+               & fit)
         .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
         .distinct()
         .join(near_hub, ["a", "b"], "left_anti")

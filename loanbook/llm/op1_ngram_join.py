@@ -91,11 +91,15 @@ def _near_parities(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     A parity has a bit for each bucket of n-grams that holds an odd number of them, so
     every bit in which two parities differ stands for an n-gram that is in one set only.
     """
-    sides = [sets.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), *[F.col(p).alias(f"{p}{s}") for p in _PARITIES]) for s in "ab"]
-    apart = sum((F.bit_count(F.col(f"{p}a").bitwiseXOR(F.col(f"{p}b"))) for p in _PARITIES), F.lit(0))
-    total = F.col("n_a") + F.col("n_b")
-    near = pairs.join(sides[0], "a").join(sides[1], "b").where(apart * (100 + percent) <= total * (100 - percent))
-    return near.select("a", "b")
+    x, y = sets.alias("x"), sets.alias("y")
+    near = _parities_near(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}"), percent)
+    both = pairs.join(x, F.col("a") == F.col("x.node")).join(y, F.col("b") == F.col("y.node"))
+    return both.where(near).select("a", "b")
+
+
+def _parities_near(x: Callable[[str], Column], y: Callable[[str], Column], percent: int) -> Column:
+    apart = sum((F.bit_count(x(p).bitwiseXOR(y(p))) for p in _PARITIES), F.lit(0))
+    return apart * (100 + percent) <= (x("n") + y("n")) * (100 - percent)
 
 
 def _classes(counts: DataFrame) -> np.ndarray:
@@ -220,7 +224,10 @@ def _linked(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, D
             F.col("shared") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("shared")) * percent
         )
 
-    groups = connected(keys, verified, alike)
+    groups = connected(
+        keys, verified, alike,
+        marks=sets.select("node", *_PARITIES), marks_may_link=lambda x, y: _parities_near(x, y, percent),
+    )
     named = sets.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     return documents_seen, named
 
