@@ -34,7 +34,7 @@ BLOCK = 2**16
 FRAGMENTS = 8
 
 _PLACE = "_place"
-#: Words of 64 bits in a parity.
+#: Words of 64 bits in the short parity of a set.
 _PARITIES = [f"p{k}" for k in range(8)]
 
 
@@ -46,42 +46,48 @@ def set_hash(values: np.ndarray) -> int:
     return int(signed(np.array([total], dtype=np.uint64))[0])
 
 
-def parity(values: np.ndarray) -> np.ndarray:
+def parity(values: np.ndarray, words: int) -> np.ndarray:
     """Of each bucket of hashes, whether it holds an odd number of them, as 64-bit words."""
-    odd = np.bincount((values & np.uint64(64 * len(_PARITIES) - 1)).astype(np.int64), minlength=64 * len(_PARITIES)) & 1
+    odd = np.bincount((values & np.uint64(64 * words - 1)).astype(np.int64), minlength=64 * words) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def parity_words(n: int) -> int:
+    """Words of the long parity of a set: as many bits as n-grams, and a power of two."""
+    return max(len(_PARITIES), 1 << max(0, (n - 1) // 64).bit_length())
+
+
 def _sets(documents: DataFrame, size: int) -> DataFrame:
     """Per document its set's size and hash; per task and block, the counts of n-grams."""
     schema = pa.schema([
         ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()),
-        *((p, pa.int64()) for p in _PARITIES), ("block", pa.int32()), ("counts", pa.binary()),
+        *((p, pa.int64()) for p in _PARITIES), ("parity", pa.list_(pa.int64())), ("block", pa.int32()), ("counts", pa.binary()),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, counts = WordHashes(), np.zeros(BINS, dtype=np.uint32)
         for batch in batches:
-            ids, sizes, nodes, parities = column(batch, "doc_id"), [], [], []
+            ids, sizes, nodes, parities, long_parities = column(batch, "doc_id"), [], [], [], []
             for text in column(batch, "text"):
                 values = shingles(words(text), size, cache)
                 sizes.append(len(values))
                 nodes.append(set_hash(values) if len(values) else None)
-                parities.append(parity(values))
+                parities.append(parity(values, len(_PARITIES)))
+                long_parities.append(parity(values, parity_words(len(values))))
                 np.add.at(counts, values >> np.uint64(64 - 21), np.uint32(1))
             none = [None] * len(ids)
             words_of = dict(zip(_PARITIES, np.array(parities).reshape(-1, len(_PARITIES)).T))
-            yield rows(schema, doc_id=ids, text_hash=column(batch, "text_hash"), n_shingles=sizes, node=nodes, block=none, counts=none, **words_of)
+            yield rows(schema, doc_id=ids, text_hash=column(batch, "text_hash"), n_shingles=sizes, node=nodes, parity=long_parities, block=none, counts=none, **words_of)
         if counts.any():
             parts = [zlib.compress(c.tobytes(), 1) for c in counts.reshape(-1, BLOCK)]
             none = [None] * len(parts)
             yield rows(
-                schema, doc_id=none, text_hash=none, n_shingles=none, node=none, block=range(len(parts)), counts=parts,
+                schema, doc_id=none, text_hash=none, n_shingles=none, node=none, parity=none, block=range(len(parts)), counts=parts,
                 **dict.fromkeys(_PARITIES, none),
             )
 
     return documents.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
-        run, "doc_id long, text_hash long, n_shingles long, node long, " + "".join(f"{p} long, " for p in _PARITIES) + "block int, counts binary"
+        run, "doc_id long, text_hash long, n_shingles long, node long, " + "".join(f"{p} long, " for p in _PARITIES) + "parity array<bigint>, block int, counts binary"
     )
 
 
@@ -92,9 +98,23 @@ def _near_parities(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     every bit in which two parities differ stands for an n-gram that is in one set only.
     """
     x, y = sets.alias("x"), sets.alias("y")
-    near = _parities_near(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}"), percent)
     both = pairs.join(x, F.col("a") == F.col("x.node")).join(y, F.col("b") == F.col("y.node"))
-    return both.where(near).select("a", "b")
+    # Parities have a power of two words; that of the larger set is folded to the other's.
+    words_x, words_y = F.col("x.parity"), F.col("y.parity")
+    least = F.least(F.size(words_x), F.size(words_y))
+
+    def folded(words: Column) -> Column:
+        halves = F.zip_with(F.slice(words, 1, least), F.slice(words, least + 1, least), lambda u, v: u.bitwiseXOR(v))
+        return F.when(F.size(words) > least, halves).otherwise(words)
+
+    apart = F.aggregate(
+        F.zip_with(folded(words_x), folded(words_y), lambda u, v: F.bit_count(u.bitwiseXOR(v))),
+        F.lit(0), lambda total, bits: total + bits,
+    )
+    # Sizes within a factor of two, as all candidates', give words within a factor of two.
+    comparable = F.greatest(F.size(words_x), F.size(words_y)) <= 2 * least
+    near = apart * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent)
+    return both.where(~comparable | near).select("a", "b")
 
 
 def _parities_near(x: Callable[[str], Column], y: Callable[[str], Column], percent: int) -> Column:
@@ -205,7 +225,8 @@ def _linked(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, D
     classes = _classes(seen.where("block is not null"))
     sets = checkpointed(
         documents_seen.where("n_shingles > 0").groupBy("node").agg(
-            F.min("doc_id").alias("least_id"), F.max("n_shingles").alias("n"), *[F.max(p).alias(p) for p in _PARITIES]
+            F.min("doc_id").alias("least_id"), F.max("n_shingles").alias("n"),
+            *[F.max(p).alias(p) for p in _PARITIES], F.first("parity").alias("parity"),
         )
     )
     keys = _prefixes(documents, size, least, classes, bits(sets, "least_id"))

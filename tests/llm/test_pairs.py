@@ -71,6 +71,27 @@ def test_empty_tables(spark, nothing):
     assert op7.contained(keyed, items).count() == 0 == op7.decontaminate(nothing, items).count()
 
 
+def test_parities_rule_out_no_similar_pair(spark):
+    """Sets on both sides of a power of two, long and short; unlike ones mostly go."""
+    import numpy as np
+
+    rng, rows, pairs, node = np.random.default_rng(3), [], [], 0
+    for n in (9, 60, 500, 530, 1000, 1050, 4090, 4200):
+        for _ in range(12):
+            own = rng.integers(0, 2**63, n).astype(np.uint64)
+            near = np.concatenate([own[n // 25 :], rng.integers(0, 2**63, n // 30).astype(np.uint64)])
+            for values in (own, near, rng.integers(0, 2**63, n).astype(np.uint64)):
+                short, long = op1.parity(values, 8), op1.parity(values, op1.parity_words(len(values)))
+                rows.append((node, len(values), *short.tolist(), long.tolist()))
+                node += 1
+            pairs += [(node - 3, node - 2), (node - 3, node - 1)]
+    schema = "node long, n long, " + "".join(f"{p} long, " for p in op1._PARITIES) + "parity array<bigint>"
+    kept = op1._near_parities(spark.createDataFrame(pairs, "a long, b long"), spark.createDataFrame(rows, schema), 90)
+    found = {tuple(r) for r in kept.collect()}
+    assert set(pairs[::2]) <= found
+    assert len(found & set(pairs[1::2])) == 0
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)] + [(i, i + 1) for i in range(400, 460)]
