@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import atexit
 from collections.abc import Callable
+from math import ceil
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -21,6 +22,8 @@ from loanbook.session import scratch_folder
 #: Bits of a set of ids that is sent to all tasks, in blocks of 32,768: 1 MB at most.
 BITS = 2**23
 _BLOCK = 2**15
+#: Links of one partition while groups are worked out.
+LINKS_PER_PARTITION = 100_000
 
 
 def stored(frame: DataFrame, label: str) -> DataFrame:
@@ -79,9 +82,13 @@ def components(links: DataFrame) -> DataFrame:
     """`(node, component)` of every node in `links` (`a`, `b`): its least reachable node."""
     ways = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     ways = checkpointed(ways.where("a <> b").distinct())
+    # Many rounds over few links: as many partitions as their number asks for.
+    parts = max(1, ceil(ways.count() / LINKS_PER_PARTITION))
+    ways = ways.coalesce(parts)
     labels = checkpointed(
         ways.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b"))
         .select("node", F.least("node", "b").alias("component"), F.lit(True).alias("changed"))
+        .coalesce(parts)
     )
     while not labels.where("changed").isEmpty():
         names = labels.select(F.col("node").alias("b"), F.col("component").alias("seen"))
@@ -93,7 +100,7 @@ def components(links: DataFrame) -> DataFrame:
                 "node",
                 F.least("component", "seen").alias("component"),
                 (F.col("seen") < F.col("component")).alias("changed"),
-            )
+            ).coalesce(parts)
         )
     return labels.select("node", "component")
 
