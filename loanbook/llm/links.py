@@ -113,7 +113,7 @@ def connected(
     buckets: DataFrame,
     verified: Callable[[DataFrame], DataFrame],
     may_link: Callable[[Callable[[str], Column], Callable[[str], Column]], Column] | None = None,
-    prepare: Callable[[DataFrame], None] | None = None,
+    prepare: Callable[[DataFrame], DataFrame | None] | None = None,
     marks: DataFrame | None = None,
     marks_may_link: Callable[[Callable[[str], Column], Callable[[str], Column]], Column] | None = None,
 ) -> DataFrame:
@@ -121,7 +121,7 @@ def connected(
 
     `buckets` has `key`, `node` and what `may_link` looks at to rule a pair out. It
     may repeat rows. `verified` keeps the pairs (`a`, `b`) that are links. `prepare` first gets all nodes that share a
-    bucket with another. `marks` has more of each `node` for `marks_may_link` to look at
+    bucket with another, and may return `marks`. `marks` has more of each `node` for `marks_may_link` to look at
     before members of a bucket are paired with others than the hub.
     """
     extra = [c for c in buckets.columns if c not in ("key", "node")]
@@ -134,7 +134,8 @@ def connected(
         "buckets",
     )
     if prepare:
-        prepare(shared.select("node").distinct())
+        made = prepare(shared.select("node").distinct())
+        marks = made if marks is None else marks
 
     def links_among(pairs: DataFrame) -> DataFrame:
         return checkpointed(verified(pairs).select("a", "b"))

@@ -265,3 +265,25 @@ def test_sketches_miss_nothing(size):
     """More hashes than a containing document can lack."""
     missing = size - -(-size * 80 // 100)
     assert op7.sketch_length(size) > missing or op7.sketch_length(size) == size
+
+
+def test_lines_with_many_edits_are_found(spark):
+    """A tenth or a fifth of the words of real lengths replaced, and one edit in short lines."""
+    rng = random.Random(12)
+    pairs = []
+    for k in range(180):
+        n = rng.randrange(61, 200) if k < 120 else rng.randrange(5, 10)
+        base = [f"v{rng.randrange(5000)}" for _ in range(n)]
+        own = list(base)
+        if k >= 120 and k % 3:
+            (own.pop if k % 3 == 1 and n > 5 else lambda i: own.insert(i, "more"))(rng.randrange(n))
+        else:
+            for at in rng.sample(range(n), n // 10 if k < 60 else n // 5):
+                own[at] = f"z{rng.randrange(10**6)}"
+        assert op2.similar(base, own)
+        pairs.append((" ".join(base), " ".join(own)))
+    rows = [(2 * k + i, text, None, None, None) for k, pair in enumerate(pairs) for i, text in enumerate(pair)]
+    found = {r.doc_id: r._removed for r in op2.dedup_lines(spark.createDataFrame(rows, DOCUMENTS)).collect()}
+    assert all(found[2 * k] == 0 for k in range(180))
+    removed = [found[2 * k + 1] for k in range(180)]
+    assert sum(removed[:60]) == 60 and sum(removed[60:120]) >= 54 and sum(removed[120:]) == 60
