@@ -287,3 +287,21 @@ def test_lines_with_many_edits_are_found(spark):
     assert all(found[2 * k] == 0 for k in range(180))
     removed = [found[2 * k + 1] for k in range(180)]
     assert sum(removed[:60]) == 60 and sum(removed[60:120]) >= 54 and sum(removed[120:]) == 60
+
+
+def test_lines_without_spaces_and_short_lines(spark):
+    rng = random.Random(13)
+    thai, han = ("".join(chr(rng.randrange(lo, hi)) for _ in range(40)) for lo, hi in ((0x0E01, 0x0E2F), (0x4E00, 0x9FA0)))
+    run = "".join(rng.choice("abcdefghij0123456789") for _ in range(60))
+    texts = [f"{prose(rng, 8)}\n{line}" for line in (thai, han, run)]
+    near = [f"{prose(rng, 8)}\n{line}" for line in (thai[:20] + "ก" + thai[21:], han[:9] + han[10:], run[:30] + "zz" + run[31:])]
+    copy = f"Heading\n{prose(rng, 9)}\n* * *\n\nThe end"
+    rows = [(i, t, None, None, None) for i, t in enumerate([*texts, *texts, *near, copy, copy, f"Heading\n{prose(rng, 9)}", "Heading\nnew end"])]
+    got = {r.doc_id: r for r in op2.dedup_lines(spark.createDataFrame(rows, DOCUMENTS)).collect()}
+    assert [got[i]._removed for i in range(3)] == [0] * 3
+    # Exact copies go whole; of near copies the own line stays.
+    assert all(got[i].text == "" for i in range(3, 6))
+    assert [got[i].text for i in range(6, 9)] == [t.rsplit("\n", 1)[0] for t in near]
+    assert got[9].text == copy and got[9]._removed == 0
+    assert got[10].text == "" and got[10]._removed == 4
+    assert got[11].text.startswith("Heading\n") and got[12].text == "Heading\nnew end"
