@@ -33,7 +33,7 @@ def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op3_fingerprints.compare_edits(table(spark, sf_dir, "documents"))
+    return op3_fingerprints.fingerprints(table(spark, sf_dir, "documents"))
 
 
 def op4_sentencepiece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanbook.llm.common import WordHashes, checkpointed, column, each, mixed, rolled, rows, signed, small_batches, words
-from loanbook.llm.links import bits, connected, nodes_of
+from loanbook.llm.links import bits, connected, nodes_of, stored
 from loanbook.llm.neighbours import OWN, beside
 from loanbook.llm.op1_ngram_join import overlaps, segments, set_hash
 
@@ -89,6 +89,20 @@ def compare_edits(documents: DataFrame) -> DataFrame:
     n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next`.
     An empty table gives an empty result.
     """
+    return _compared(documents).drop("node", "keys")
+
+
+def fingerprints(documents: DataFrame, percent: int = SIMILAR_PERCENT) -> DataFrame:
+    """What `compare_edits` returns, and `group_id` as in `near_duplicates`, from the same signatures."""
+    found = stored(_compared(documents), "fingerprints")
+    ids = _group_ids(documents, found, percent)
+    grouped = found.where("node is not null").join(ids, "node")
+    alone = found.where("node is null").withColumn("group_id", F.col("doc_id"))
+    return grouped.drop("node", "keys").union(alone.drop("node", "keys"))
+
+
+def _compared(documents: DataFrame) -> DataFrame:
+    """`compare_edits`, and the hash of each set (null without words) and its bands."""
     small_batches(documents.sparkSession)
     schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("packed", pa.binary())])
 
@@ -101,6 +115,7 @@ def compare_edits(documents: DataFrame) -> DataFrame:
     out = pa.schema([
         ("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
         ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64()),
+        ("node", pa.int64()), ("keys", pa.list_(pa.int64())),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,7 +125,8 @@ def compare_edits(documents: DataFrame) -> DataFrame:
             done = []
             for place, side, doc_id, packed in each([batch], "_range", "_side", "doc_id", "packed"):
                 text = packer.decompress(packed).decode()
-                values = signature(shingle_hashes(text, cache))
+                hashes = shingle_hashes(text, cache)
+                values = signature(hashes)
                 if side == OWN:
                     if place != at:  # the only range has a copy of its last row before it
                         raise ValueError(f"range {place} has no row before it")
@@ -119,6 +135,7 @@ def compare_edits(documents: DataFrame) -> DataFrame:
                     done.append((
                         doc_id, len(text), hashlib.sha256(changed.encode()).hexdigest(), readable(values), readable(new),
                         likeness(values, new), likeness(values, after_values),
+                        set_hash(np.unique(hashes)) if len(hashes) else None, bands(values) if len(hashes) else None,
                     ))
                 at, after, after_values = place, text, values
             if done:
@@ -133,7 +150,7 @@ def compare_edits(documents: DataFrame) -> DataFrame:
     return ordered.mapInArrow(
         run,
         "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-        "near_edited double, near_next double",
+        "near_edited double, near_next double, node long, keys array<bigint>",
     )
 
 
@@ -164,6 +181,13 @@ def near_duplicates(documents: DataFrame, percent: int = SIMILAR_PERCENT) -> Dat
     """
     small_batches(documents.sparkSession)
     found = checkpointed(_signatures(documents))
+    ids = _group_ids(documents, found, percent)
+    alone = found.where("node is null").select("doc_id", F.col("doc_id").alias("group_id"))
+    return found.where("node is not null").select("doc_id", "node").join(ids, "node").select("doc_id", "group_id").union(alone)
+
+
+def _group_ids(documents: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """`(node, group_id)` of every set; `found` has `doc_id`, `node` and `keys`."""
     sets = found.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least_id"), F.first("keys").alias("keys"))
     buckets = sets.select(F.explode("keys").alias("key"), "node")
     sets = sets.drop("keys")
@@ -177,6 +201,4 @@ def near_duplicates(documents: DataFrame, percent: int = SIMILAR_PERCENT) -> Dat
 
     named = sets.join(connected(buckets, verified), "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = named.groupBy("component").agg(F.min("least_id").alias("group_id"))
-    ids = named.select("node", "component").join(names, "component").select("node", "group_id")
-    alone = found.where("node is null").select("doc_id", F.col("doc_id").alias("group_id"))
-    return found.where("node is not null").select("doc_id", "node").join(ids, "node").select("doc_id", "group_id").union(alone)
+    return named.select("node", "component").join(names, "component").select("node", "group_id")

@@ -305,3 +305,17 @@ def test_lines_without_spaces_and_short_lines(spark):
     assert got[9].text == copy and got[9]._removed == 0
     assert got[10].text == "" and got[10]._removed == 4
     assert got[11].text.startswith("Heading\n") and got[12].text == "Heading\nnew end"
+
+
+def test_fingerprint_query_groups_near_duplicates(spark, sample, sample_rows, tmp_path):
+    from loanbook.llm import catalog
+
+    sample.write.parquet(str(tmp_path / "documents.parquet"))
+    found = catalog.QUERIES["op3_fingerprints"](spark, str(tmp_path))
+    columns = op3.compare_edits(sample).columns
+    assert found.columns == [*columns, "group_id"]
+    found = found.collect()
+    assert Counter(tuple(r)[:-1] for r in found) == Counter(map(tuple, op3.compare_edits(sample).collect()))
+    wanted = op3.near_duplicates(sample).collect()
+    assert Counter((r.doc_id, r.group_id) for r in found) == Counter(map(tuple, wanted))
+    assert len({r.group_id for r in found}) < len({r.doc_id for r in found})
