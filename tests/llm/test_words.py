@@ -1,0 +1,288 @@
+"""Spelling variants, fill-in-the-middle and packing, against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from loanbook.llm import catalog
+from loanbook.llm import op11_spelling as op11
+from loanbook.llm import op12_fim as op12
+from loanbook.llm import op13_packing as op13
+from tests.conftest import DATA
+from tests.llm.conftest import DOCUMENTS, UPPER
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(TOKENIZER)
+
+
+# --- spelling variants -----------------------------------------------------
+
+
+def one_edit(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return len(a) + 1 == len(b) and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def expected_variants(rows, length, count, period, ratio):
+    counts = Counter()
+    for doc_id, text, *_ in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", (text or "").translate(UPPER)):
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            counts[run if h % period else run[: h % len(run)] + run[h % len(run) + 1 :]] += 1
+    counts = {w: n for w, n in counts.items() if len(w) >= length and n >= count}
+    out = {}
+    for word, n in counts.items():
+        near = [w for w in counts if one_edit(word, w)]
+        best = min(near, key=lambda w: (-counts[w], w), default=None)
+        form = best if best is not None and counts[best] >= ratio * n else None
+        out[word] = [n, len(near), form, None if form is None else counts[form]]
+    for word, row in out.items():
+        root = word
+        while out[root][2] is not None:
+            root = out[root][2]
+        row.append(root)
+    return {word: tuple(row) for word, row in out.items()}
+
+
+def spelled(rng, rows):
+    """Texts of a few words and their misspellings, in skewed numbers."""
+    bases = ["écrivain", "wording", "wordings", "aaaaaaa", "aaaaaaaa", "abababab", "lettre", "lettré", "tenfold"]
+    letters = "abéÿz"
+    out = []
+    for i in range(rows):
+        words = []
+        for _ in range(rng.randrange(30)):
+            word = bases[min(int(rng.paretovariate(0.6)) - 1, len(bases) - 1)]
+            for _ in range(rng.choice([0, 0, 0, 0, 1, 2])):
+                at = rng.randrange(len(word))
+                word = word[:at] + rng.choice(["", rng.choice(letters), word[at] + rng.choice(letters)]) + word[at + 1 :]
+            words.append(rng.choice([word, word, word.upper(), word.title()]))
+        out.append((i, rng.choice([" ", "-", "\n", "2"]).join(words), "x", None, None))
+    return out
+
+
+@pytest.mark.parametrize("block", [1024, 4])
+def test_variants_equal_brute_force(spark, sample_rows, monkeypatch, block):
+    monkeypatch.setattr(op11, "BLOCK", block)
+    rows = spelled(random.Random(3), 300) + sample_rows
+    rows += [(7, "x" * 3000 + " " + "x" * 2999 + "y", "", None, None), (None, "×÷" * 4, "", None, None)]
+    documents = spark.createDataFrame(rows, DOCUMENTS).repartition(5)
+    found = op11.variants(documents, 5, 2, 7, 3).collect()
+    wanted = expected_variants(rows, 5, 2, 7, 3)
+    assert {r.word: (r.n, r.n_near, r.form, r.form_n, r.root) for r in found} == wanted
+    assert len(found) == len(wanted) > 150
+    assert sum(root != word and form != root for word, (*_, form, _, root) in wanted.items()) > 3
+
+
+def test_variants_of_nothing(nothing, spark):
+    assert op11.variants(nothing).collect() == []
+    alone = spark.createDataFrame([(1, "single " * 9, "x", None, None)], DOCUMENTS)
+    assert [tuple(r) for r in op11.variants(alone, period=10**9).collect()] == [("single", 9, 0, None, None, "single")]
+
+
+def test_prefix_and_suffix_of_any_words():
+    rng = random.Random(5)
+    for _ in range(300):
+        size = rng.randrange(1, 9)
+        left = list({"".join(rng.choice("abÿ") for _ in range(size)) for _ in range(9)})
+        for longer in (0, 1):
+            right = list({"".join(rng.choice("abÿ") for _ in range(size + longer)) for _ in range(9)})
+            found = sorted(zip(*(part.tolist() for part in op11.one_edit(left, right))))
+            assert found == sorted((i, j) for i, a in enumerate(left) for j, b in enumerate(right) if one_edit(a, b))
+
+
+def test_tiles_stay_small(spark, monkeypatch):
+    """A third of all words in one tile: no part of it holds more than two blocks."""
+    monkeypatch.setattr(op11, "BLOCK", 50)
+    words = [(f"common{chr(97 + i % 26)}{chr(97 + i // 26)}", 5) for i in range(600)] + [(f"w{i:05d}", 5) for i in range(1200)]
+    parts = op11.tiles(spark.createDataFrame(words, "word string, n long")).groupBy("tile", "part").count()
+    assert parts.agg(F.max("count")).first()[0] < 4 * 50
+
+
+# --- fill in the middle ----------------------------------------------------
+
+
+def expected_order(doc_id, text):
+    text = text or ""
+    units = re.findall("[A-Za-z]+|[^A-Za-z]", text)
+    digest = hashlib.sha256(f"1:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(digest[8 * i : 8 * i + 8], 16) for i in range(4)]
+    n = len(units)
+    if not text or any(mark in text for mark in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 90:
+        return n, "plain", None, None, text
+    a, b = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    p, m, s = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    if h[3] % 100 < 20:
+        return n, "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return n, "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+def marked_texts(rng, count):
+    parts = ["<", "P", "S", "M", ">", "<P", "S>", "<M>", " ", "\n", "word", "é", "\U0001f642", "\x00", "\r\n", "|", "<S", "<<"]
+    return [(i, "".join(rng.choice(parts) for _ in range(rng.randrange(12))), "x", None, None) for i in range(count)]
+
+
+def test_orders_equal_brute_force(spark, sample_rows, nothing):
+    rows = marked_texts(random.Random(2), 600) + sample_rows
+    made = op12.fill_in_middle(spark.createDataFrame(rows, DOCUMENTS).repartition(4))
+    found = made.withColumn("again", op12.restored(F.col("output"), F.col("form"))).collect()
+    wanted = Counter((i, *expected_order(i, text), text or "") for i, text, *_ in rows)
+    assert Counter(map(tuple, found)) == wanted
+    assert len({r.form for r in found}) == 3
+    assert op12.fill_in_middle(nothing).count() == 0
+
+
+def test_long_texts_are_matched_in_windows(monkeypatch):
+    rng = random.Random(4)
+    for window in (1, 2, 7):
+        monkeypatch.setattr(op12, "WINDOW", window)
+        for _ in range(300):
+            text = "".join(rng.choice(["a", "bc", "defghijklm", " ", "\n", "é", "1"]) for _ in range(rng.randrange(20)))
+            ends = [m.end() for m in re.finditer("[A-Za-z]+|[^A-Za-z]", text)]
+            x, y = rng.randrange(2**32), rng.randrange(2**32)
+            low, high = sorted((x % (len(ends) + 1), y % (len(ends) + 1)))
+            assert op12.cuts(text, x, y) == (len(ends), [0, *ends][low], [0, *ends][high])
+    monkeypatch.undo()
+    assert op12.cuts("word. " * 1_000_000, 10**7, 2_999_999)[0] == 3_000_000
+
+
+# --- packing ---------------------------------------------------------------
+
+
+def padding(lengths, size):
+    return sum(0 if n & (n - 1) == 0 else size - n for n in lengths)
+
+
+def check_pieces(pieces, wanted, size):
+    """Each id of each document is in one piece, and sequences have no gaps."""
+    pieces_of, sequences = defaultdict(list), defaultdict(list)
+    for p in pieces:
+        sequences[p.sequence_id].append((p.offset, p.length))
+        pieces_of[p.doc_id].append((p.start, p.length, p.doc_tokens, bytes(p.ids)))
+    for members in sequences.values():
+        at = 0
+        for offset, length in sorted(members):
+            assert offset == at and length > 0
+            at += length
+        assert at <= size
+    got = Counter()
+    for doc_id, own in pieces_of.items():
+        own.sort()
+        # Rows that share an id are told apart by their size only here.
+        for tokens in {t for *_, t, _ in own}:
+            same = [p for p in own if p[2] == tokens]
+            if [p[0] for p in same].count(0) == 1:
+                assert [p[0] for p in same] == np.cumsum([0, *(p[1] for p in same)])[:-1].tolist()
+                got[doc_id, b"".join(p[3] for p in same)] += 1
+            else:
+                assert sum(p[1] for p in same) % tokens == 0
+    assert not got - wanted
+    return [sum(length for _, length in members) for members in sequences.values()]
+
+
+def test_pieces_hold_the_ids_of_the_library(sample, sample_rows, library, nothing):
+    wanted = Counter()
+    for doc_id, text, *_ in sample_rows:
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 1]
+        wanted[doc_id, np.array(ids, "<u4").tobytes()] += 1
+    pieces = op13.pack(sample, TOKENIZER, 256).collect()
+    lengths = check_pieces(pieces, wanted, 256)
+    assert sum(lengths) == sum(len(ids) // 4 * n for (_, ids), n in wanted.items())
+    assert padding(lengths, 256) < 0.1 * sum(lengths)
+    assert op13.pack(nothing, TOKENIZER).collect() == []
+    with pytest.raises(ValueError):
+        op13.pack(sample, TOKENIZER, 1000)
+
+
+def test_query_packs_the_table(spark):
+    pieces = catalog.QUERIES["op13_packing"](spark, DATA).collect()
+    lengths = Counter()
+    for p in pieces:
+        lengths[p.sequence_id] += p.length
+    assert padding(lengths.values(), 2048) < 0.01 * sum(lengths.values())
+    assert len({p.doc_id for p in pieces}) == spark.read.parquet(f"{DATA}/documents.parquet").count()
+
+
+def test_ids_of_any_text(library):
+    rng = random.Random(3)
+    parts = [
+        "a", "The", " ", "  ", "\n", "\t", "\x0b", "\x1c", "\x1f", "\x85", "\xa0", "　", " ", "́", "​", "É",
+        "é", "\x00", "\x7f", "日本", "\U0001f642", "<|endoftext|>", "<|startoftext|>", "<|", "|>", "'s", "'S", "'re", "'",
+        "12", "ß", "İ", "Σ", "ΑΣ", "ﬁ", "²", "a_b", "...", "。", "W" * 70, "ſ", "K", "﻿",
+        "ᄀ", "ᅡ", "ᆨ", "ÿ", "Ÿ", "×", "÷", "ª", "I'LL",
+    ]
+    table = op13.WordTable(TOKENIZER)
+    for _ in range(800):
+        texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(14))) for _ in range(5)]
+        for text, (ids, ends) in zip([*texts, None], table.encode(pa.array([*texts, None]))):
+            assert ids.tolist() == library.encode(text or "", add_special_tokens=False).ids
+            assert all(0 <= end <= len(ids) for end in ends)
+
+
+def least_cost(places, costs, size, least_power):
+    best = {0: 0}
+    for at, cost in zip(places, costs):
+        options = []
+        for start, total in best.items():
+            length = at - start
+            if length <= size:
+                whole = length & (length - 1) == 0 and (length >= least_power or length == size)
+                options.append(total + (0 if whole else size - length))
+        best[at] = min(options) + cost
+    return best[places[-1]]
+
+
+def test_cuts_cost_the_least(library):
+    rng = random.Random(6)
+    for _ in range(200):
+        size, power = rng.choice([8, 32]), rng.choice([1, 4])
+        places, at = [], 0
+        for _ in range(rng.randrange(1, 60)):
+            at += rng.randrange(1, size // 2)
+            places.append(at)
+        costs = [rng.choice([0, 0, 3, 9]) for _ in places]
+        ends = op13.best_cuts(np.array(places), np.array(costs), size, power)
+        lengths = np.diff([0, *ends]).tolist()
+        assert ends[-1] == places[-1] and max(lengths) <= size
+        paid = sum(0 if n & (n - 1) == 0 and (n >= power or n == size) else size - n for n in lengths)
+        assert paid + sum(dict(zip(places, costs))[e] for e in ends) == least_cost(places, costs, size, power)
+
+
+def test_streams_are_solved_in_blocks():
+    rng = random.Random(8)
+    stream, pieces, documents = op13.Stream(64, 100), [], {}
+    for i in range(200):
+        ids = np.array([rng.randrange(1000) for _ in range(rng.choice([1, 3, 50, 400]))], np.uint32)
+        stream.add(i, ids, np.array(sorted({rng.randrange(len(ids)) for _ in range(len(ids) // 9)}), np.int64))
+        documents[i] = ids
+        if stream.length > 1000:
+            pieces += stream.pieces(False)
+    held = stream.length
+    pieces += stream.pieces(True)
+    assert held < 2000 and stream.length == 0 and not stream.documents
+    lengths, joined = Counter(), defaultdict(bytes)
+    for doc_id, start, length, ids, tokens, sequence, offset in pieces:
+        assert offset == lengths[sequence] and start * 4 == len(joined[doc_id]) and len(ids) == 4 * length
+        assert tokens == len(documents[doc_id])
+        lengths[sequence] += length
+        joined[doc_id] += ids
+    assert {i: ids.astype("<u4").tobytes() for i, ids in documents.items()} == joined
+    assert max(lengths.values()) <= 64 and sorted(lengths) == list(range(100, 100 + len(lengths)))
