@@ -19,6 +19,16 @@ CREDIT_DEFAULT = "5. 91+"
 # Labels of the cover report.
 COVER_INACTIVE = "1. Inactive"
 COVER_DEFAULT = "6. 91+"
+COVER_ISSUE = "7. Balance Issue"
+
+# Days past due of each bucket of a cover debt, more than the first and at most the last.
+COVER_AGES = {
+    "2. current": (None, 0),
+    "3. 1 to 30": (0, 30),
+    "4. 31 to 60": (30, 60),
+    "5. 61 to 90": (60, 90),
+    COVER_DEFAULT: (90, None),
+}
 
 # Labels of both reports.
 NON_EXISTENT = "0. non existent"
@@ -107,16 +117,11 @@ def cover_update_date(last_loan: Column, last_payment: Column) -> Column:
 
 def cover_bucket(balance: Column, due: Column, snapshot: Column) -> Column:
     late = F.datediff(snapshot, due)
-    return (
-        F.when(balance == 0, COVER_INACTIVE)
-        .when(balance < 0, "7. Balance Issue")
-        .when(late <= 0, "2. current")
-        .when(late <= 30, "3. 1 to 30")
-        .when(late <= 60, "4. 31 to 60")
-        .when(late <= 90, "5. 61 to 90")
-        .when(late > 90, COVER_DEFAULT)
-        .otherwise("7. Balance Issue")
-    )
+    bucket = F.when(balance == 0, COVER_INACTIVE).when(balance < 0, COVER_ISSUE)
+    for label, (after, until) in COVER_AGES.items():
+        # Ages ascend, so the limit from below is that of the bucket before.
+        bucket = bucket.when(late <= until if until is not None else late > after, label)
+    return bucket.otherwise(COVER_ISSUE)
 
 
 def paid_class(status: Column, before: Column, updated: Column, due: Column) -> Column:

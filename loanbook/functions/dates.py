@@ -54,3 +54,8 @@ def next_weekday(day: Column, weekday: int) -> Column:
 
 def month_end(day: Column) -> Column:
     return F.last_day(day)
+
+
+def sundays(first: Column, last: Column) -> Column:
+    """Number of Sundays from `first` to `last`, both included; 0 if `last` is before."""
+    return F.greatest(F.lit(0), F.ceil((F.datediff(sunday_before(F.date_add(last, 1)), sunday_before(first))) / 7).cast("long"))

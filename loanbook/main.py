@@ -64,8 +64,11 @@ def options(arguments: Sequence[str] | None) -> argparse.Namespace:
     )
     parser.add_argument("--lenient", action="store_true", help="go on over amounts that are no numbers")
     parser.add_argument("--rejects", help="parquet folder for ledger rows with such amounts")
-    parser.add_argument("--check", action="store_true", help="raise if a row of the report is there twice")
+    parser.add_argument(
+        "--check", action="store_true", help="publish only if no row of the report is there twice"
+    )
     parser.add_argument("--parquet", help="parquet folder to replace")
+    parser.add_argument("--sorted", action="store_true", help="parquet rows by user and snapshot")
     parser.add_argument("--by-snapshot", action="store_true", help="a parquet folder per snapshot")
     parser.add_argument("--save-as", help="catalog table to replace")
     parser.add_argument("--csv", help="CSV folder to replace, sorted by user and snapshot")
@@ -77,6 +80,8 @@ def options(arguments: Sequence[str] | None) -> argparse.Namespace:
     chosen = parser.parse_args(arguments)
     if not (chosen.parquet or chosen.save_as or chosen.csv):
         parser.error("name at least one target: --parquet, --save-as or --csv")
+    if chosen.sorted and chosen.by_snapshot:
+        parser.error("--sorted sorts the folder as a whole, --by-snapshot each snapshot")
     return chosen
 
 
@@ -90,17 +95,23 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
     report = build_report(tables, chosen.book, calendar, chosen.zone, chosen.legacy_overwrite, not chosen.lenient)
     if chosen.rejects:
         sinks.write_parquet(unreadable_amounts(tables.ledger), chosen.rejects)
+    if chosen.lenient:
+        unknown = unreadable_amounts(tables.ledger).count()
+        print(f"{unknown} ledger rows with unknown amounts are left out of the sums")
+
+    def audit(staged: DataFrame) -> None:
+        if chosen.check:
+            sinks.check_grain(staged, GRAIN[chosen.book])
+
     # The report is computed once; further targets read the first.
     if chosen.parquet:
-        sinks.write_parquet(report, chosen.parquet, chosen.by_snapshot)
+        sinks.write_parquet(report, chosen.parquet, chosen.by_snapshot, audit, chosen.sorted)
         report = spark.read.schema(report.schema).parquet(chosen.parquet).select(report.columns)
     if chosen.save_as:
-        sinks.write_table(report, chosen.save_as)
+        sinks.write_table(report, chosen.save_as, audit)
         report = spark.table(chosen.save_as)
-    if chosen.check:
-        sinks.check_grain(report, GRAIN[chosen.book])
     if chosen.csv:
-        sinks.write_csv(sinks.in_order(report), chosen.csv)
+        sinks.write_csv(sinks.in_order(report), chosen.csv, audit=audit)
 
 
 if __name__ == "__main__":

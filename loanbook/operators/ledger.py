@@ -34,10 +34,18 @@ def with_users(
 
 
 def with_owners(
-    entries: DataFrame, owners: DataFrame, how: str, rows_per_salt: int = ROWS_PER_SALT
+    entries: DataFrame,
+    owners: DataFrame,
+    how: str,
+    rows_per_salt: int = ROWS_PER_SALT,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    """Join what `owners` has per `UserAccount` to ledger entries."""
-    counts = row_counts(entries, "UserAccount")
+    """Join what `owners` has per `UserAccount` to ledger entries.
+
+    `counts` has at least the `rows` of each account, where they are known already.
+    """
+    if counts is None:
+        counts = row_counts(entries, "UserAccount")
     return salted_join(
         entries, owners, "UserAccount", "TransactionID", counts, how, rows_per_salt=rows_per_salt
     )

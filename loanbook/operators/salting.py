@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 # Rows of one key that a single join task takes.
 ROWS_PER_SALT = 1_000_000
+# Keys that are split; all others have a smaller share of the rows than any of them.
+MOST_HOT = 10_000
 
 
 def row_counts(rows: DataFrame, key: str) -> DataFrame:
@@ -34,13 +36,13 @@ def salted_join(
     `counts` has for each key at least the `rows` that `many` holds of it. Keys
     with more than `rows_per_salt` are cut into salts by the hash of `spread_by`,
     and the rows of `few` are repeated for the salts of their key only. NULL keys
-    match nothing and are spread by that hash alone. The hot keys are broadcast:
-    there are at most `sum(rows) / rows_per_salt`.
+    match nothing and are spread by that hash alone. The hot keys are broadcast: the
+    `MOST_HOT` largest at most, so that any other key has less than a `MOST_HOT`th
+    of all rows.
     """
+    largest = counts.where(F.col("rows") > rows_per_salt).orderBy(F.desc("rows")).limit(MOST_HOT)
     hot = F.broadcast(
-        counts.where(F.col("rows") > rows_per_salt).select(
-            F.col(key).alias("_hot"), F.ceil(F.col("rows") / rows_per_salt).alias("_salts")
-        )
+        largest.select(F.col(key).alias("_hot"), F.ceil(F.col("rows") / rows_per_salt).alias("_salts"))
     )
     spread, salts = F.xxhash64(spread_by), F.coalesce("_salts", F.lit(1))
     salt = F.when(F.col(key).isNull(), spread).otherwise(F.pmod(spread, salts))

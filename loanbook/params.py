@@ -98,6 +98,10 @@ class CreditRules:
     grace_days: int = 30
     zero_tolerance: Decimal = Decimal("0.01")
 
+    @property
+    def entry_codes(self) -> tuple[str, ...]:
+        return (self.borrow_code, self.repay_code)
+
 
 @dataclass(frozen=True)
 class CoverRules:

@@ -359,13 +359,11 @@ def cover_report(spark, sf_dir):
 
 @query
 def status_counts(spark, sf_dir):
-    def counted(book: str, rows: DataFrame, name: str) -> DataFrame:
-        values = rows.where(F.col(name).isNotNull()).groupBy(F.col(name).alias("value"))
-        return values.count().select(F.lit(book).alias("book"), "value", F.col("count").alias("n"))
+    def side(book: str, counts: DataFrame) -> DataFrame:
+        return counts.select(F.lit(book).alias("book"), "value", "n")
 
-    credit = counted("credit", credit_book(spark, sf_dir).report(), "ever_accessed")
-    cover = counted("cover", cover_book(spark, sf_dir).state_snapshots(), "snapshot_status")
-    return credit.unionByName(cover)
+    credit = side("credit", credit_book(spark, sf_dir).access_counts())
+    return credit.unionByName(side("cover", cover_book(spark, sf_dir).status_counts()))
 
 
 @query

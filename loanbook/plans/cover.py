@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanbook.functions import classify as cl
-from loanbook.functions.dates import week_end
+from loanbook.functions.dates import civil_date, sundays, week_end
 from loanbook.functions.money import emit, total
 from loanbook.operators.asof import expand, within
 from loanbook.operators.ledger import (
@@ -24,6 +25,7 @@ from loanbook.operators.ledger import (
 )
 from loanbook.operators.salting import ROWS_PER_SALT
 from loanbook.params import ZONE, Calendar, CoverRules
+from loanbook.session import written
 from loanbook.sources.tables import Tables
 
 USER = "user_reference"
@@ -62,19 +64,35 @@ class CoverBook:
         entries = cover_entries(source, self.rules, self.zone, self.strict)
         return with_users(entries, self.tables.accounts, "inner", self.rows_per_salt)
 
+    @cached_property
+    def account_facts(self) -> DataFrame:
+        """First loan day and number of loans and repayments of each account, from one scan.
+
+        It is read several times, so it is written once per book.
+        """
+        loans = F.col("PaymentCode") == self.rules.loan_code
+        day = civil_date(F.col("PostedAt"), self.zone)
+        return written(
+            self.tables.ledger.where(F.col("PaymentCode").isin(self.rules.loan_code, self.rules.repay_code))
+            .groupBy("UserAccount")
+            .agg(F.min(F.when(loans, day)).alias("first_loan_date"), F.count("*").alias("rows"))
+            .where(F.col("UserAccount").isNotNull()),
+            "cover-accounts",
+        )
+
     def since_first_loan(self) -> DataFrame:
         """Loans and repayments from the day of the user's first loan on."""
-        first = (
-            self.entries()
-            .where(is_type(LOAN))
-            .groupBy(USER)
-            .agg(F.min("local_date").alias("first_loan_date"))
-        )
         owners = account_map(self.tables.accounts).withColumnRenamed(
             "account_group_identifier", "UserAccount"
         )
+        owned = owners.where(F.col(USER).isNotNull())
+        first = (
+            self.account_facts.where("first_loan_date is not null").join(owned, "UserAccount")
+            .groupBy(USER).agg(F.min("first_loan_date").alias("first_loan_date"))
+        )
         moves = cover_entries(self.tables.ledger, self.rules, self.zone, self.strict).where(~is_type(FEE))
-        return with_owners(moves, owners.join(first, USER), "inner", self.rows_per_salt).where(
+        counts = self.account_facts.select("UserAccount", "rows")
+        return with_owners(moves, owned.join(first, USER), "inner", self.rows_per_salt, counts).where(
             F.col("local_date") >= F.col("first_loan_date")
         )
 
@@ -280,6 +298,37 @@ class CoverBook:
     def state_snapshots(self) -> DataFrame:
         return self._evaluated(self._spans())
 
+    def status_counts(self) -> DataFrame:
+        """Snapshot rows per bucket, `(value, n)`, counted without making them.
+
+        Within a state the due date changes once, at `lapses_on`, and the limits of the buckets
+        are fixed days after it; so each bucket is a span of days, and its rows are the
+        Sundays of the calendar in it.
+        """
+        opens = F.greatest("week_end", F.lit(self.calendar.first))
+        closes = F.least(F.date_sub("next_week", 7), F.lit(self.calendar.last))
+        paid, lapses = F.col("paid_until"), F.col("lapses_on")
+
+        def rows(after: int | None, until: int | None) -> Column:
+            """Snapshots that are more than `after` and at most `until` days late."""
+
+            def between(due: Column, since: Column, to: Column) -> Column:
+                low = since if after is None else F.greatest(since, F.date_add(due, after + 1))
+                high = to if until is None else F.least(to, F.date_add(due, until))
+                return sundays(low, high)
+
+            while_paid = between(paid, opens, F.least(closes, F.date_sub(lapses, 1)))
+            return while_paid + between(lapses, F.greatest(opens, lapses), closes)
+
+        settled = {cl.COVER_INACTIVE: F.col("OS") == 0, cl.COVER_ISSUE: F.col("OS") < 0}
+        parts = {label: (holds, sundays(opens, closes)) for label, holds in settled.items()}
+        parts |= {label: (F.col("OS") > 0, rows(*ages)) for label, ages in cl.COVER_AGES.items()}
+        counted = self._spans().agg(
+            *[F.coalesce(F.sum(F.when(owes, n)), F.lit(0)).alias(label) for label, (owes, n) in parts.items()]
+        )
+        pairs = F.array(*[F.struct(F.lit(v).alias("value"), F.col(f"`{v}`").alias("n")) for v in parts])
+        return counted.select(F.inline(pairs)).where("n > 0")
+
     def rolled(self, spans: DataFrame | None = None) -> DataFrame:
         """State rows with new-loan, new-default and paid classes."""
         status, before = F.col("snapshot_status"), F.col("prev_status")

@@ -9,12 +9,13 @@ the calendar comes last and needs no shuffle.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanbook.functions import classify as cl
-from loanbook.functions.dates import civil, civil_date, month_end, week_end
+from loanbook.functions.dates import civil, civil_date, month_end, sundays, week_end
 from loanbook.functions.money import emit, total
 from loanbook.operators.asof import expand, within
 from loanbook.operators.ledger import (
@@ -26,9 +27,10 @@ from loanbook.operators.ledger import (
     posted_by,
     with_owners,
 )
-from loanbook.operators.running import next_later, running
+from loanbook.operators.running import ROWS_PER_SLICE, leading, next_later, running
 from loanbook.operators.salting import ROWS_PER_SALT, row_counts, salted_join
 from loanbook.params import ZONE, Calendar, CreditRules
+from loanbook.session import written
 from loanbook.sources.tables import Tables
 
 USER, ACCOUNT = "user_reference", "account_identifier"
@@ -58,30 +60,34 @@ class CreditBook:
     rows_per_salt: int = ROWS_PER_SALT
     # An account's row grows into one per snapshot.
     accounts_per_salt: int = ROWS_PER_SALT // 10
+    # Entries of one user that a task runs along.
+    rows_per_slice: int = ROWS_PER_SLICE
 
     # --- accounts ---------------------------------------------------------
 
-    def first_loans(self) -> DataFrame:
-        """First withdrawal of every account that has one."""
-        return (
-            self.tables.ledger.where(F.col("PaymentCode") == self.rules.borrow_code)
-            .groupBy(F.col("UserAccount").alias(ACCOUNT))
-            .agg(F.min(civil(F.col("PostedAt"), self.zone)).alias("first_loan_date"))
-        )
+    @cached_property
+    def account_facts(self) -> DataFrame:
+        """All that the book asks of each account's ledger rows, from one scan, and its users.
 
-    def activity(self) -> DataFrame:
-        """Per active account: week of its first activity, whether ever accessed."""
-        code, day = F.col("PaymentCode"), civil_date(F.col("PostedAt"), self.zone)
-        return (
-            self.tables.ledger.where(code.isin(*self.rules.activity_codes))
+        First withdrawal, week of the first activity, whether ever accessed, and the number
+        of `entries`. Unmapped accounts have a NULL user. It is read many times, so it is
+        written once per book.
+        """
+        code, posted = F.col("PaymentCode"), F.col("PostedAt")
+        active = code.isin(*self.rules.activity_codes)
+        borrowed, moved = code == self.rules.borrow_code, code.isin(*self.rules.entry_codes)
+        codes = {*self.rules.activity_codes, *self.rules.entry_codes}
+        facts = (
+            self.tables.ledger.where(code.isin(*sorted(codes)))
             .groupBy(F.col("UserAccount").alias(ACCOUNT))
             .agg(
-                week_end(F.min(day)).alias("first_week"),
-                F.max(code == self.rules.borrow_code).alias("_borrowed"),
+                F.min(F.when(borrowed, civil(posted, self.zone))).alias("first_loan_date"),
+                week_end(F.min(F.when(active, civil_date(posted, self.zone)))).alias("first_week"),
+                F.when(F.max(active & borrowed), "Yes").alias("ever_accessed"),
+                F.count(F.when(moved, 1)).alias("entries"),
             )
-            .withColumn("ever_accessed", F.when(F.col("_borrowed"), "Yes"))
-            .drop("_borrowed")
         )
+        return written(facts.join(self.owners(), ACCOUNT, "left"), "credit-accounts")
 
     def owners(self) -> DataFrame:
         return account_map(self.tables.accounts).withColumnRenamed(
@@ -90,7 +96,9 @@ class CreditBook:
 
     def holders(self) -> DataFrame:
         """Active accounts with their users; unmapped ones keep a NULL user."""
-        return self.activity().join(self.owners(), ACCOUNT, "left")
+        return self.account_facts.where("first_week is not null").select(
+            ACCOUNT, "first_week", "ever_accessed", USER
+        )
 
     def facilities(self) -> DataFrame:
         """First opening and latest terms of accounts with a loan of the book.
@@ -98,19 +106,22 @@ class CreditBook:
         The latest row is the one created when the newest loan of the book was;
         its own type is not asked for, and rows created at once are all kept.
         """
-        loans = self.tables.loans
-        newest = (
-            loans.where(F.col("loan_type").isin(*self.rules.loan_types))
-            .groupBy(ACCOUNT)
-            .agg(F.min("created_at").alias("opened"), F.max("created_at").alias("created_at"))
-        )
-        return newest.join(loans, [ACCOUNT, "created_at"]).select(
-            ACCOUNT,
-            civil(F.col("opened"), self.zone).alias("open_date"),
-            "loan_type",
-            F.col("amount").alias("CBLimit"),
-            "status",
-            civil(F.col("updated_at"), self.zone).alias("updated_at"),
+        created, by_account = F.col("created_at"), Window.partitionBy(ACCOUNT)
+        of_book = F.when(F.col("loan_type").isin(*self.rules.loan_types), created)
+        return (
+            self.tables.loans.withColumns(
+                {"opened": F.min(of_book).over(by_account), "newest": F.max(of_book).over(by_account)}
+            )
+            .where(created == F.col("newest"))
+            .where(F.col(ACCOUNT).isNotNull())
+            .select(
+                ACCOUNT,
+                civil(F.col("opened"), self.zone).alias("open_date"),
+                "loan_type",
+                F.col("amount").alias("CBLimit"),
+                "status",
+                civil(F.col("updated_at"), self.zone).alias("updated_at"),
+            )
         )
 
     def accounts(self) -> DataFrame:
@@ -134,66 +145,97 @@ class CreditBook:
             self.live_accounts(), F.col("first_week"), F.col("closes"), self.calendar
         )
 
+    def access_counts(self) -> DataFrame:
+        """Report rows per value of `ever_accessed`, `(value, n)`, counted without making them.
+
+        An account meets one state of its user at each of its snapshots, or none, so
+        its rows are the Sundays of the calendar from its first week until it closes.
+        """
+        opens = F.greatest("first_week", F.lit(self.calendar.first))
+        closes = F.least("closes", F.lit(self.calendar.last))
+        return (
+            self.live_accounts().where("ever_accessed is not null")
+            .groupBy(F.col("ever_accessed").alias("value"))
+            .agg(F.sum(sundays(opens, closes)).alias("n"))
+            .where("n > 0")
+        )
+
     # --- entries ----------------------------------------------------------
 
+    def borrowers(self) -> DataFrame:
+        """Accounts that ever borrowed, with their known users."""
+        borrowed = self.account_facts.where(f"first_loan_date is not null and {USER} is not null")
+        return borrowed.select(F.col(ACCOUNT).alias("UserAccount"), "first_loan_date", USER)
+
     def entries(self, ledger: DataFrame | None = None) -> DataFrame:
         """Entries of known users, repayments before the first loan left out."""
-        known = F.col(USER).isNotNull()
-        borrowers = (
-            self.first_loans()
-            .join(self.owners().where(known), ACCOUNT)
-            .withColumnRenamed(ACCOUNT, "UserAccount")
-        )
         counted = is_borrow() | (F.col("PostedAt") >= F.col("first_loan_date"))
         source = self.tables.ledger if ledger is None else ledger
         entries = credit_entries(source, self.rules, self.zone, self.strict)
-        return with_owners(entries, borrowers, "inner", self.rows_per_salt).where(counted)
+        counts = self.account_facts.where(F.col(ACCOUNT).isNotNull()).select(
+            F.col(ACCOUNT).alias("UserAccount"), F.col("entries").alias("rows")
+        ).distinct()
+        return with_owners(entries, self.borrowers(), "inner", self.rows_per_salt, counts).where(counted)
+
+    def user_entries(self) -> DataFrame:
+        """At least the number of entries of each user, as `rows`."""
+        known = self.account_facts.where(F.col(USER).isNotNull())
+        return known.groupBy(USER).agg(F.sum("entries").alias("rows"))
 
     def running_balance(self) -> DataFrame:
         """Every entry with the user's balance after it."""
-        return running(self.entries(), ENTRY_ORDER, sums={"OS": F.col("Amount")})
+        return running(
+            self.entries(), ENTRY_ORDER, {"OS": F.col("Amount")},
+            counts=self.user_entries(), rows_per_slice=self.rows_per_slice,
+        )
 
     def withdrawals(self) -> DataFrame:
         """Withdrawals with the time of the user's next later one."""
-        return next_later(self.entries().where(is_borrow()), "PostedAt", "next_withdrawal_date")
+        return next_later(
+            self.entries().where(is_borrow()), "PostedAt", "next_withdrawal_date", ENTRY_ORDER,
+            self.user_entries(), self.rows_per_slice,
+        )
 
     def withdrawal_repayments(self) -> DataFrame:
-        """Withdrawals with what was repaid until the next one, both ends included."""
+        """Withdrawals with what was repaid until the next one, both ends included.
+
+        Each entry is placed behind the last withdrawal time up to its own. What was repaid
+        at that very time counts for the withdrawal before it too, which takes
+        it from the group that follows its own.
+        """
         borrowed_at = F.when(is_borrow(), F.col("PostedAt"))
-        placed = running(self.entries(), ENTRY_ORDER, maxima={"withdrawn_at": borrowed_at})
+        counts = self.user_entries()
+        placed = written(
+            running(
+                self.entries(), ENTRY_ORDER, maxima={"withdrawn_at": borrowed_at},
+                counts=counts, rows_per_slice=self.rows_per_slice,
+            ).select(USER, "UserAccount", "TransactionID", "PostedAt", "TR_Desc", "Amount", "withdrawn_at"),
+            "placed",
+        )
+        repaid = F.when(~is_borrow(), F.col("Amount"))
         at_once = F.col("PostedAt") == F.col("withdrawn_at")
         groups = (
-            placed.where(~is_borrow())
+            placed.where("withdrawn_at is not null")
             .groupBy(USER, "withdrawn_at")
             .agg(
-                F.sum("Amount").alias("repaid"),
-                F.max("PostedAt").alias("repaid_at"),
-                F.sum(F.when(at_once, F.col("Amount"))).alias("repaid_at_once"),
+                F.sum(repaid).alias("repaid"),
+                F.max(F.when(~is_borrow(), F.col("PostedAt"))).alias("repaid_at"),
+                F.sum(F.when(at_once, repaid)).alias("repaid_at_once"),
+                F.max(F.when(at_once & ~is_borrow(), F.col("PostedAt"))).alias("closed_at"),
             )
         )
-        own = groups.select(
-            USER, F.col("withdrawn_at").alias("PostedAt"), "repaid", "repaid_at"
-        )
-        closing = groups.where("repaid_at_once is not null").select(
+        taken = {"next_withdrawal_date": "withdrawn_at", "closing": "repaid_at_once", "closing_at": "closed_at"}
+        sessions = leading(groups, "withdrawn_at", taken, counts, self.rows_per_slice)
+        zero, any_repaid = F.lit(0), F.coalesce("repaid", "closing").isNotNull()
+        amount = F.coalesce("repaid", zero) + F.coalesce("closing", zero)
+        summed = sessions.select(
             USER,
-            F.col("withdrawn_at").alias("next_withdrawal_date"),
-            "repaid_at_once",
-            F.col("withdrawn_at").alias("closed_at"),
-        )
-        any_repaid = F.coalesce("repaid", "repaid_at_once").isNotNull()
-        amount = F.coalesce("repaid", F.lit(0)) + F.coalesce("repaid_at_once", F.lit(0))
-        return (
-            self.withdrawals()
-            .join(own, [USER, "PostedAt"], "left")
-            .join(closing, [USER, "next_withdrawal_date"], "left")
-            .withColumns(
-                {
-                    "RepaymentAmount": F.when(any_repaid, amount),
-                    "RepaymentDate": F.greatest("repaid_at", "closed_at"),
-                }
-            )
-            .drop("repaid", "repaid_at", "repaid_at_once", "closed_at")
+            F.col("withdrawn_at").alias("PostedAt"),
+            "next_withdrawal_date",
+            F.when(any_repaid, amount).alias("RepaymentAmount"),
+            F.greatest("repaid_at", "closing_at").alias("RepaymentDate"),
         )
+        return placed.where(is_borrow()).drop("withdrawn_at").join(summed, [USER, "PostedAt"])
 
     def weekly_flows(self) -> DataFrame:
         """Withdrawn and repaid per user and week."""
@@ -212,26 +254,48 @@ class CreditBook:
     def days(self) -> DataFrame:
         """One row per user and day with entries that the calendar can see.
 
-        `repaid_after` is what was repaid at or after the day's last withdrawal.
+        `repaid_after` is what was repaid at or after the day's last withdrawal. Sums and
+        bounds of a day tell it where all repayments lie on one side of that withdrawal;
+        only days that it parts look at their repayments once more.
         """
         amount, posted = F.col("Amount"), F.col("PostedAt")
         day = [USER, "week_end", "local_date"]
-        borrowed_at = F.when(is_borrow(), posted)
-        repaid = F.when(~is_borrow(), -amount)
-        last_borrow = F.max(borrowed_at).over(Window.partitionBy(*day))
-        return (
-            self.entries(posted_by(self.tables.ledger, self.calendar.last))
-            .where(F.col("local_date") <= F.lit(self.calendar.last))
-            .withColumn("last_borrow", last_borrow)
+        seen = posted_by(self.tables.ledger, self.calendar.last)
+        in_calendar = F.expr("local_date is not null") & (F.col("local_date") <= F.lit(self.calendar.last))
+        repaid_at = F.when(~is_borrow(), posted)
+        summed = (
+            self.entries(seen)
+            .where(in_calendar)
             .groupBy(*day)
             .agg(
                 total(F.when(is_borrow(), amount)).alias("withdrawn"),
-                total(repaid).alias("repaid"),
-                total(F.when(posted >= F.col("last_borrow"), repaid)).alias("repaid_after"),
-                F.max(borrowed_at).alias("borrowed_at"),
-                F.max(F.when(~is_borrow(), posted)).alias("repaid_at"),
+                total(F.when(~is_borrow(), -amount)).alias("repaid"),
+                F.max(F.when(is_borrow(), posted)).alias("borrowed_at"),
+                F.min(repaid_at).alias("repaid_from"),
+                F.max(repaid_at).alias("repaid_at"),
             )
         )
+        parted = (F.col("repaid_from") < F.col("borrowed_at")) & (F.col("repaid_at") >= F.col("borrowed_at"))
+        # True of all days, but it asks for both sums: so this branch equals the other up to
+        # the shuffle, which Spark then runs once (as it does not with other null checks above).
+        any_moved = F.expr("withdrawn is not null or repaid is not null or borrowed_at is not null")
+        split = summed.where(parted & any_moved)
+        looked_at = split.select(USER, F.col("local_date").alias("_day"), F.col("borrowed_at").alias("_since")).join(
+            self.borrowers().withColumnRenamed("UserAccount", "_account"), USER
+        )
+        repayments = credit_entries(seen, self.rules, self.zone, self.strict).where(~is_borrow())
+        late = (
+            repayments.join(
+                looked_at,
+                (F.col("UserAccount") == F.col("_account"))
+                & (F.col("local_date") == F.col("_day"))
+                & (posted >= F.greatest("_since", "first_loan_date")),
+            )
+            .groupBy(*day)
+            .agg(total(-amount).alias("repaid_late"))
+        )
+        after = F.when(parted, F.col("repaid_late")).when(F.col("repaid_from") >= F.col("borrowed_at"), F.col("repaid"))
+        return summed.join(late, day, "left").withColumn("repaid_after", after).drop("repaid_from", "repaid_late")
 
     def states(self) -> DataFrame:
         """A user's state at the end of each week with entries.
@@ -360,8 +424,8 @@ class CreditBook:
         overlap = (F.coalesce("since", "first_week") <= F.col("closes")) & (
             F.coalesce("until", "closes") >= F.col("first_week")
         )
-        # A user has at most as many accounts in the report as in the account map.
-        counts = row_counts(self.owners(), USER)
+        # A user has at most as many accounts in the report as have ledger rows.
+        counts = row_counts(self.account_facts, USER)
         return salted_join(
             accounts, seen, USER, ACCOUNT, counts, "left", overlap, self.accounts_per_salt
         )

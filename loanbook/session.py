@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # What the reports rely on. Adaptive execution splits hot join partitions; small
 # compact partitions are kept apart because expansion multiplies their rows.
@@ -57,3 +57,28 @@ def ensure_checkpoints(spark: SparkSession) -> None:
     context = spark.sparkContext
     if not context.getCheckpointDir():
         context.setCheckpointDir(scratch_root(spark))
+
+
+def checkpointed(frame: DataFrame) -> DataFrame:
+    """`frame` written once to the shared folder, for what is read more than once."""
+    ensure_checkpoints(frame.sparkSession)
+    return frame.checkpoint()
+
+
+def written(frame: DataFrame, label: str) -> DataFrame:
+    """`frame` as a table in the shared folder, until the program ends.
+
+    Unlike a checkpoint it is read by column, has a known size, and plans that read it
+    in several places share what they have in common.
+    """
+    spark, path = frame.sparkSession, scratch_folder(frame.sparkSession, label)
+    frame.write.parquet(path)
+    atexit.register(_remove, spark, path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    if spark.sparkContext._jsc is None:  # the session has ended
+        return
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)

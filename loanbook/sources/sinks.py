@@ -1,16 +1,17 @@
 """Writing reports. Every write replaces what the target held.
 
-A folder is replaced only when the new one is complete beside it: a write that fails
-leaves the old report as it was.
+A target is written beside the old one, read back and audited there, and takes its place
+only then. A write or an audit that fails leaves the old report as it was, and
+so does a replacement that fails half way.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loanbook.session import ensure_checkpoints
@@ -28,21 +29,48 @@ def in_order(report: DataFrame) -> DataFrame:
     return report.orderBy(*nulls_last(REPORT_ORDER))
 
 
-def write_parquet(report: DataFrame, path: str, by_snapshot: bool = False) -> None:
-    """Replace the folder `path`.
+# Looks at a report that is written but not published, and raises if it must not be.
+Audit = Callable[[DataFrame], None]
+
+
+def write_parquet(
+    report: DataFrame, path: str, by_snapshot: bool = False, audit: Audit | None = None, ordered: bool = False
+) -> int:
+    """Replace the folder `path`; returns the number of rows.
 
     With `by_snapshot` there is a folder per snapshot. The rows are then brought
     together by snapshot first, so that a task writes few folders; adaptive
-    execution splits large snapshots and merges small ones.
+    execution splits large snapshots and merges small ones. `ordered` sorts the rows
+    as a whole, for reading.
     """
-    with _replaced(report.sparkSession, path) as new:
-        if not by_snapshot:
-            report.write.parquet(new)
-            return
-        gathered = report.hint("rebalance", "snapshot").sortWithinPartitions(
-            "snapshot", *nulls_last(REPORT_ORDER[:1])
-        )
-        gathered.write.partitionBy("snapshot").parquet(new)
+    spark = report.sparkSession
+    counted, rows = _counted(in_order(report) if ordered else report)
+    with _replaced(spark, path) as new:
+        if by_snapshot:
+            gathered = counted.hint("rebalance", "snapshot").sortWithinPartitions(
+                "snapshot", *nulls_last(REPORT_ORDER[:1])
+            )
+            gathered.write.partitionBy("snapshot").parquet(new)
+        else:
+            counted.write.parquet(new)
+        staged = spark.read.schema(report.schema).parquet(new).select(report.columns)
+        return _audited(staged, rows, audit)
+
+
+def _counted(report: DataFrame) -> tuple[DataFrame, Observation]:
+    """The report, and its number of rows once it has been written."""
+    rows = Observation()
+    return report.observe(rows, F.count(F.lit(1)).alias("rows")), rows
+
+
+def _audited(staged: DataFrame, written: Observation, audit: Audit | None) -> int:
+    """Raise unless `staged` holds all rows that were written and passes the audit."""
+    held, rows = staged.count(), written.get["rows"]
+    if held != rows:
+        raise OSError(f"{rows} rows were written, {held} are there")
+    if audit is not None:
+        audit(staged)
+    return rows
 
 
 @contextmanager
@@ -52,33 +80,79 @@ def _replaced(spark: SparkSession, path: str) -> Iterator[str]:
     jvm = spark.sparkContext._jvm
     place = {name: jvm.org.apache.hadoop.fs.Path(name) for name in (path, new, old)}
     files = place[path].getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def move(source: str, target: str) -> None:
+        if not files.rename(place[source], place[target]):
+            raise OSError(f"{source} could not be moved to {target}")
+
+    def drop(name: str) -> None:
+        files.delete(place[name], True)
+
     try:
         yield new
     except BaseException:
-        files.delete(place[new], True)
+        drop(new)
         raise
-    if files.exists(place[path]) and not files.rename(place[path], place[old]):
-        raise OSError(f"{path} could not be moved")
-    if not files.rename(place[new], place[path]):
-        raise OSError(f"{new} could not be moved to {path}")
-    files.delete(place[old], True)
+    _swap(files.exists(place[path]), path, new, old, move, drop)
 
 
-def write_table(report: DataFrame, table: str) -> None:
-    """Replace the catalog table `table`."""
-    report.write.mode("overwrite").saveAsTable(table)
+def _swap(
+    exists: bool, target: str, new: str, old: str, move: Callable[[str, str], None], drop: Callable[[str], None]
+) -> None:
+    """Put `new` in the place of `target`; on a failure `target` is what it was."""
+    moved = False
+    try:
+        if exists:
+            move(target, old)
+            moved = True
+        move(new, target)
+    except BaseException:
+        if moved:
+            move(old, target)
+        drop(new)
+        raise
+    if moved:
+        drop(old)
+
+
+def write_table(report: DataFrame, table: str, audit: Audit | None = None) -> int:
+    """Replace the catalog table `table`; returns the number of rows."""
+    spark = report.sparkSession
+    new, old = (f"{table}_{kind}_{uuid.uuid4().hex}" for kind in ("new", "old"))
+
+    def move(source: str, target: str) -> None:
+        spark.sql(f"alter table {source} rename to {target}")
+
+    def drop(name: str) -> None:
+        spark.sql(f"drop table if exists {name}")
+
+    counted, rows = _counted(report)
+    try:
+        counted.write.saveAsTable(new)
+        held = _audited(spark.table(new), rows, audit)
+    except BaseException:
+        drop(new)
+        raise
+    _swap(spark.catalog.tableExists(table), table, new, old, move, drop)
+    return held
 
 
 def write_csv(
-    report: DataFrame, path: str, index: str | None = None, order: Sequence[str] = ()
-) -> None:
-    """Replace the CSV folder `path`, with a header line.
+    report: DataFrame,
+    path: str,
+    index: str | None = None,
+    order: Sequence[str] = (),
+    audit: Audit | None = None,
+) -> int:
+    """Replace the CSV folder `path`, with a header line; returns the number of rows.
 
     `index` names a leading column with the row's place in `order`.
     """
-    rows = report if index is None else with_index(report, index, order)
+    placed = report if index is None else with_index(report, index, order)
+    counted, rows = _counted(placed)
     with _replaced(report.sparkSession, path) as new:
-        rows.write.option("header", True).csv(new)
+        counted.write.option("header", True).csv(new)
+        return _audited(read_csv(report.sparkSession, new, placed.schema), rows, audit)
 
 
 def check_grain(report: DataFrame, key: Sequence[str]) -> None:

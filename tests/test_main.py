@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import shutil
+import subprocess
+import sys
 from datetime import date
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from loanbook.main import run
+from loanbook.plans.catalog import QUERIES
+from loanbook.plans.cover import CoverBook
 from loanbook.session import scratch_root
 from loanbook.sources import sinks
 from loanbook.sources.tables import LEDGER_LINES, catalog_tables, conform, write_tables
+from oracle.sql import ORACLES
 from tests.helpers import make_tables, rows_of, ts
 
 LEDGER = [
@@ -102,6 +109,87 @@ def test_a_failed_write_leaves_the_report(spark, tmp_path):
     assert [p.name for p in tmp_path.iterdir()] == ["out"]
 
 
+def test_a_repeated_row_leaves_the_old_targets(spark, tmp_path, monkeypatch):
+    """The report is checked before it takes the place of the old one."""
+    source, folder, text = (str(tmp_path / n) for n in ("in", "out", "csv"))
+    write_tables(inputs(spark), source)
+    given = ["cover", "--inputs", source, "--today", "2022-07-20"]
+    spark.sql("drop table if exists checked_cover")
+    targets = [["--parquet", folder], ["--parquet", folder, "--by-snapshot"], ["--save-as", "checked_cover"], ["--csv", text]]
+    try:
+        for target in targets:
+            run(spark, [*given, *target, "--check"])
+        before = spark.read.parquet(folder).count(), spark.table("checked_cover").count()
+        build = CoverBook.report
+        monkeypatch.setattr(CoverBook, "report", lambda book: build(book).union(build(book).limit(1)))
+        for target in targets:
+            with pytest.raises(ValueError, match="2 rows"):
+                run(spark, [*given, *target, "--check"])
+        assert (spark.read.parquet(folder).count(), spark.table("checked_cover").count()) == before
+        assert spark.read.option("header", True).csv(text).count() == before[0]
+        assert sorted(p.name for p in tmp_path.iterdir()) == ["csv", "in", "out"]
+        assert [t.name for t in spark.catalog.listTables() if t.name.startswith("checked_cover")] == ["checked_cover"]
+        run(spark, [*given, "--parquet", folder])
+        assert spark.read.parquet(folder).count() == before[0] + 1
+    finally:
+        spark.sql("drop table if exists checked_cover")
+
+
+def test_a_failed_table_write_leaves_the_table(spark):
+    name = "kept_test"
+    spark.sql(f"drop table if exists {name}")
+    try:
+        assert sinks.write_table(spark.range(3), name) == 3
+        with pytest.raises(Exception):
+            sinks.write_table(spark.range(3).select(F.raise_error(F.lit("no")).alias("x")), name)
+        assert spark.table(name).count() == 3
+        assert sinks.write_table(spark.range(5).toDF("other"), name) == 5
+        assert spark.table(name).columns == ["other"]
+        assert [t.name for t in spark.catalog.listTables() if t.name.startswith(name)] == [name]
+    finally:
+        spark.sql(f"drop table if exists {name}")
+
+
+@pytest.mark.parametrize("failing", [1, 2])
+def test_a_failed_replacement_is_undone(failing):
+    held = {"target": "before", "new": "after"}
+
+    def move(source, target):
+        nonlocal failing
+        failing -= 1
+        if not failing:
+            raise OSError("no")
+        held[target] = held.pop(source)
+
+    with pytest.raises(OSError):
+        sinks._swap(True, "target", "new", "old", move, held.pop)
+    assert held == {"target": "before"}
+
+
+def test_unknown_amounts_are_counted(spark, tmp_path, capsys):
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    ledger = [*LEDGER, ("a2", "2022-06-21 12:00:00", "ODR-DR-A-E-001", "five")]
+    write_tables(make_tables(spark, ledger, ACCOUNTS, LOANS), source)
+    run(spark, ["cover", "--inputs", source, "--today", "2022-07-20", "--parquet", target, "--lenient", "--sorted"])
+    assert "1 ledger rows with unknown amounts" in capsys.readouterr().out
+    rows = spark.read.parquet(target).select("user_reference", "snapshot").collect()
+    assert rows == sorted(rows)
+    with pytest.raises(SystemExit):
+        run(spark, ["cover", "--inputs", source, "--parquet", target, "--sorted", "--by-snapshot"])
+
+
+def test_without_the_document_operators(tmp_path):
+    """The rest imports where the operators on documents are gone, or left as empty folders."""
+    root = Path(__file__).resolve().parents[1]
+    copy = tmp_path / "copy"
+    shutil.copytree(root, copy, ignore=shutil.ignore_patterns(".git", "llm", "__pycache__"))
+    count = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    for change in (lambda: None, (copy / "loanbook" / "llm").mkdir, (copy / "corpus_pipeline.py").unlink):
+        change()
+        done = subprocess.run([sys.executable, "-c", count], cwd=copy, capture_output=True, text=True, check=True)
+        assert done.stdout.split()[-2:] == [str(len(QUERIES)), str(len(ORACLES))]
+
+
 def test_a_cluster_must_name_a_shared_folder():
     conf = SimpleNamespace(get=lambda name, default=None: default)
     cluster = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="spark://host:7077"))

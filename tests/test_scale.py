@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from loanbook.functions.dates import sundays
 from loanbook.operators.asof import expand, week_span
 from loanbook.operators.ledger import with_users
-from loanbook.operators.running import next_later, running
+from loanbook.operators.running import leading, next_later, running, sliced
 from loanbook.operators.salting import row_counts, salted_join
 from loanbook.params import Calendar
 from loanbook.plans.cover import CoverBook
@@ -142,6 +144,101 @@ def test_next_later_across_days(spark):
         assert row.later == min(after, default=None)
 
 
+def test_hot_users_are_cut(spark):
+    """Slices of a hot user hold few rows each, equal times included, and others have one."""
+    entries = hot_user_entries(spark)
+    cut = sliced(entries, ["PostedAt", "id"], rows_per_slice=400)
+    sizes = {(r.user_reference, r._slice): r["count"] for r in cut.rows.groupBy(*cut.keys).count().collect()}
+    assert cut.hot and sizes.pop(("cold", 0)) == 300
+    assert len(sizes) == 7 and max(sizes.values()) < 800 and sum(sizes.values()) == 2700
+    ends = cut.rows.where("_is_hot").groupBy("_slice").agg(
+        F.min(F.struct("PostedAt", "id")).alias("low"), F.max(F.struct("PostedAt", "id")).alias("high")
+    )
+    ordered = [(tuple(r.low), tuple(r.high)) for r in ends.orderBy("_slice").collect()]
+    assert all(high < low for (_, high), (low, _) in zip(ordered, ordered[1:]))
+    assert not sliced(entries, ["PostedAt"], rows_per_slice=10_000).hot
+
+
+@pytest.mark.parametrize("limit", [40, 700])
+def test_slices_do_not_change_running_values(spark, limit):
+    entries = hot_user_entries(spark)
+    cases = [
+        lambda **more: running(
+            entries, ["PostedAt", "id"], {"total": F.col("v")}, {"top": F.when(F.col("v") < 4, F.col("id"))}, **more
+        ),
+        lambda **more: next_later(entries, "PostedAt", "later", ["PostedAt", "id"], **more),
+        lambda **more: next_later(entries, "PostedAt", "later", **more),
+        lambda **more: leading(entries, "id", {"after": "v", "at": "PostedAt"}, **more),
+    ]
+    for case in cases:
+        plain, cut = case(), case(rows_per_slice=limit)
+        assert cut.columns == plain.columns
+        assert plain.exceptAll(cut).count() == 0 == cut.exceptAll(plain).count()
+
+
+def test_slices_where_all_times_are_equal(spark):
+    """Ties cross slices: what follows is the first later time, wherever it is."""
+    entries = spark.range(200).selectExpr(
+        "'hot' as user_reference", "id",
+        "timestampadd(DAY, cast(if(id < 150, 0, if(id < 160, 1, 2)) as int), timestamp_ntz'2022-01-01 00:00:00') as PostedAt",
+    )
+    found = next_later(entries, "PostedAt", "later", ["PostedAt", "id"], rows_per_slice=20)
+    days = [(r.PostedAt.day, r.later and r.later.day, r["count"]) for r in found.groupBy("PostedAt", "later").count().collect()]
+    assert sorted(days, key=str) == [(1, 2, 150), (2, 3, 10), (3, None, 40)]
+
+
+def test_slices_do_not_change_the_book(tables):
+    book = {limit: CreditBook(tables, CALENDAR, CREDIT_RULES, rows_per_slice=limit) for limit in (5, 10**6)}
+    for name in ("running_balance", "withdrawals", "withdrawal_repayments"):
+        cut, plain = (getattr(book[limit], name)() for limit in (5, 10**6))
+        columns = plain.columns
+        assert plain.exceptAll(cut.select(columns)).count() == 0 == cut.select(columns).exceptAll(plain).count()
+
+
+def test_scans_and_shuffles(static_plans, tables):
+    """Each query reads the ledger once besides the account facts; days parted twice."""
+    book, cover = CreditBook(tables, CALENDAR, CREDIT_RULES), CoverBook(tables, CALENDAR, COVER_RULES)
+    wanted = {
+        "running": (book.running_balance(), 1, 5),
+        "next": (book.withdrawals(), 1, 5),
+        "repayments": (book.withdrawal_repayments(), 0, 4),
+        "accounts": (book.accounts(), 0, 2),
+        "states": (book.state_snapshots(), 2, 12),
+        "roll": (book.roll(), 2, 17),
+        "access": (book.access_counts(), 0, 3),
+        "since": (cover.since_first_loan(), 1, 8),
+        "status": (cover.status_counts(), 1, 6),
+    }
+    for name, (frame, scans, shuffles) in wanted.items():
+        plan = plan_text(frame)
+        assert len(re.findall(r"FileScan parquet \[[^\]]*PaymentCode", plan)) == scans, name
+        assert len(re.findall(r"FileScan parquet \[[^\]]*loan_type", plan)) <= 1, name
+        assert len(re.findall(r"(?<!Reused)Exchange hashpartitioning", plan)) <= shuffles, name
+    # Nothing runs along the raw entries of a day.
+    assert "TransactionID" not in plan_text(book.days()).split("HashAggregate")[0]
+    assert "Window" not in plan_text(book.days())
+    assert "explode" not in plan_text(cover.status_counts())
+
+
+def test_sundays(spark):
+    days = [date(2022, 1, 1) + timedelta(days=i) for i in range(30)]
+    pairs = spark.createDataFrame([(a, b) for a in days for b in days], "a date, b date")
+    for a, b, n in pairs.select("a", "b", sundays(F.col("a"), F.col("b"))).collect():
+        assert n == sum(d.weekday() == 6 for d in days if a <= d <= b)
+
+
+def test_counts_equal_the_rows(tables):
+    """Counted from spans or from the rows themselves, in calendars that cut the spans."""
+    for calendar in (CALENDAR, Calendar(CALENDAR.end - timedelta(weeks=9), CALENDAR.end), weeks("1900-01-01", "1900-02-01")):
+        cover, credit = CoverBook(tables, calendar, COVER_RULES), CreditBook(tables, calendar, CREDIT_RULES)
+        for counts, rows, name in (
+            (cover.status_counts(), cover.state_snapshots(), "snapshot_status"),
+            (credit.access_counts(), credit.report().where("ever_accessed is not null"), "ever_accessed"),
+        ):
+            wanted = rows.groupBy(F.col(name).alias("value")).agg(F.count("*").alias("n"))
+            assert rows_of(counts, "value", "n") == rows_of(wanted, "value", "n")
+
+
 def test_expand_clamps_to_the_calendar(spark):
     calendar = weeks("2022-01-09", "2022-01-30")
     spans = spark.createDataFrame(
