@@ -114,6 +114,18 @@ def rows(schema: pa.Schema, **columns) -> pa.RecordBatch:
     )
 
 
+def whole_rows(documents: DataFrame, *more: Column) -> DataFrame:
+    """Each row as one column `row`, and `more`; no column of a user meets a name of ours."""
+    return documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), *more)
+
+
+def unused(name: str, columns: list[str]) -> str:
+    """`name`, with underscores after it where `columns` have it."""
+    while name.lower() in {c.lower() for c in columns}:
+        name += "_"
+    return name
+
+
 def document_key() -> list[Column]:
     """Rows with the same id and text are one document."""
     return [F.col("doc_id"), F.xxhash64("text").alias("text_hash")]

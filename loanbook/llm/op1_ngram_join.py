@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanbook.llm.common import WordHashes, checkpointed, column, mixed, rows, shingles, signed, small_batches, words
+from loanbook.llm.common import WordHashes, checkpointed, column, document_key, mixed, rows, shingles, signed, small_batches, whole_rows, words
 from loanbook.llm.links import bits, connected, known, nodes_of, place_of, stored
 
 #: Counters of n-grams: 2 MB when sent to all tasks.
@@ -287,7 +287,7 @@ def first_of_groups(documents: DataFrame, size: int = 3, percent: int = 90) -> D
     first = placed.groupBy("component").agg(F.min("spot").alias("first"), F.max("spot").alias("last")).where("first < last")
     gone = (
         placed.join(first, "component").where(~F.col("spot").eqNullSafe(F.col("first")))
-        .select(F.col("doc_id").alias("_gone_id"), F.col("text_hash").alias("_gone_hash")).distinct()
+        .select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct()
     )
-    same = F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (F.xxhash64("text") == F.col("_gone_hash"))
-    return documents.join(gone, same, "left_anti").select(*documents.columns)
+    same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("text_hash") == F.col("gone_hash"))
+    return whole_rows(documents, *document_key()).join(gone, same, "left_anti").select("row.*")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loanbook.llm.common import each, remainder, rows, small_batches, utf8
+from loanbook.llm.common import each, remainder, rows, small_batches, utf8, whole_rows
 from loanbook.llm.sample import labelled
 
 #: Labelled documents the model is fitted on, at most, and lines of such a document.
@@ -198,6 +198,5 @@ def score(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 def accepted(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents whose score is at least `THRESHOLD`, with all their columns."""
-    names = documents.columns
-    kept = scored(documents, labels, names).where(F.col("_score") >= THRESHOLD)
-    return kept.select(*names)
+    given = whole_rows(documents, F.col("doc_id"), F.col("text"))
+    return scored(given, labels, ["row"]).where(F.col("_score") >= THRESHOLD).select("row.*")

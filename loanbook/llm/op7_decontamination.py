@@ -20,7 +20,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanbook.llm.common import WordHashes, each, rolled, rows, shingles, signed, small_batches, words
+from loanbook.llm.common import (
+    WordHashes, document_key, each, rolled, rows, shingles, signed, small_batches, whole_rows, words,
+)
 from loanbook.llm.links import BITS, bits, stored
 
 SHINGLE = 5
@@ -105,10 +107,9 @@ def contained(documents: DataFrame, items: DataFrame, percent: int = SHARE_PERCE
 
 def decontaminate(documents: DataFrame, items: DataFrame, percent: int = SHARE_PERCENT) -> DataFrame:
     """The documents that contain no item, with all their columns."""
-    keyed = documents.withColumn("_text_hash", F.xxhash64("text"))
-    slim = keyed.select("doc_id", F.col("_text_hash").alias("text_hash"), "text")
+    slim = documents.select(*document_key(), "text")
     found = contained(slim, items, percent).select(
-        F.col("doc_id").alias("_found_id"), F.col("text_hash").alias("_found_hash")
+        F.col("doc_id").alias("found_id"), F.col("text_hash").alias("found_hash")
     ).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_found_id")) & (F.col("_text_hash") == F.col("_found_hash"))
-    return keyed.join(found, same, "left_anti").select(*documents.columns)
+    same = F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("text_hash") == F.col("found_hash"))
+    return whole_rows(documents, *document_key()).join(found, same, "left_anti").select("row.*")
