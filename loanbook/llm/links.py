@@ -116,13 +116,15 @@ def connected(
     prepare: Callable[[DataFrame], DataFrame | None] | None = None,
     marks: DataFrame | None = None,
     marks_may_link: Callable[[Callable[[str], Column], Callable[[str], Column]], Column] | None = None,
+    once: bool = False,
 ) -> DataFrame:
     """`(node, component)` of all nodes that are linked with any other.
 
     `buckets` has `key`, `node` and what `may_link` looks at to rule a pair out. It
     may repeat rows. `verified` keeps the pairs (`a`, `b`) that are links. `prepare` first gets all nodes that share a
     bucket with another, and may return `marks`. `marks` has more of each `node` for `marks_may_link` to look at
-    before members of a bucket are paired with others than the hub.
+    before members of a bucket are paired with others than the hub. With `once`, for nodes of few
+    keys, a pair comes from the least of the buckets that both are in, not from each of them.
     """
     extra = [c for c in buckets.columns if c not in ("key", "node")]
     bucket = Window.partitionBy("key").orderBy("node")
@@ -159,12 +161,18 @@ def connected(
         .where("lo < hi").select("key")
     )
     rest = labelled.join(mixed, "key")
+    if once:
+        # Written first, as it is read twice.
+        rest = checkpointed(rest)
+        rest = rest.join(rest.groupBy("node").agg(F.collect_set("key").alias("keys")), "node")
     rest = checkpointed(rest if marks is None else rest.join(marks, "node"))
     x, y = rest.alias("x"), rest.alias("y")
     left, right = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
     fit = possible(left, right)
     if marks_may_link:
         fit = fit & marks_may_link(left, right)
+    if once:
+        fit = fit & (F.array_min(F.array_intersect(left("keys"), right("keys"))) == left("key"))
     others = (
         x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node"))
                & (F.col("x.component") != F.col("y.component"))
