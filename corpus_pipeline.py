@@ -10,7 +10,6 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from loanbook.llm import (
     op1_ngram_join,
@@ -33,12 +32,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated lines; those that had nothing else go."""
-    kept = op2_line_dedup.dedup_lines(docs)
-    left = (F.col("_removed") == 0) | (F.length(F.trim(F.regexp_replace("text", r"\s+", " "))) > 0)
-    out = kept.where(left)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    return op2_line_dedup.keep_first_lines(docs)
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
