@@ -184,7 +184,12 @@ def test_without_the_document_operators(tmp_path):
     copy = tmp_path / "copy"
     shutil.copytree(root, copy, ignore=shutil.ignore_patterns(".git", "llm", "__pycache__"))
     count = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
-    for change in (lambda: None, (copy / "loanbook" / "llm").mkdir, (copy / "corpus_pipeline.py").unlink):
+    changes = [
+        lambda: None,
+        lambda: (copy / "loanbook" / "llm").mkdir(),
+        lambda: (copy / "corpus_pipeline.py").unlink(missing_ok=True),
+    ]
+    for change in changes:
         change()
         done = subprocess.run([sys.executable, "-c", count], cwd=copy, capture_output=True, text=True, check=True)
         assert done.stdout.split()[-2:] == [str(len(QUERIES)), str(len(ORACLES))]
