@@ -1,9 +1,11 @@
 """Connected groups of a similarity join that never lists all pairs of a group.
 
 Candidates share a bucket. Every member of a bucket is first compared with one
-hub. Buckets whose members are all connected by then are done, and only members
-that are not yet connected are paired with others of their bucket. Pairs inside a
-connected group would not change the groups, so no group is lost by leaving them out.
+hub. Buckets whose members are all connected by then are done. In each further round the other buckets elect a new hub,
+the member that shares buckets with the most others, for copies meet their original more
+often than each other. What is not connected by then is paired with others of its
+bucket. Pairs inside a connected group would not change the groups, so no group is lost
+by leaving them out.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from loanbook.session import scratch_folder
 #: Bits of a set of ids that is sent to all tasks, in blocks of 32,768: 1 MB at most.
 BITS = 2**23
 _BLOCK = 2**15
+_CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Links of one partition while groups are worked out.
 LINKS_PER_PARTITION = 100_000
 
@@ -29,11 +32,17 @@ LINKS_PER_PARTITION = 100_000
 def stored(frame: DataFrame, label: str) -> DataFrame:
     """`frame` as a table in the shared scratch folder, for what is read repeatedly.
 
-    The table goes when the program ends, or with `discard`.
+    The table goes when the program ends, or with `discard`; shuffle files that its
+    rows came from go as soon as it is written.
     """
     spark = frame.sparkSession
     path = scratch_folder(spark, label)
-    frame.write.parquet(path)
+    before = spark.conf.get(_CLEAN_SHUFFLES, "false")
+    spark.conf.set(_CLEAN_SHUFFLES, "true")
+    try:
+        frame.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN_SHUFFLES, before)
     atexit.register(_remove, spark, path)
     table = spark.read.parquet(path)
     table.scratch_path = path
@@ -117,6 +126,7 @@ def connected(
     marks: DataFrame | None = None,
     marks_may_link: Callable[[Callable[[str], Column], Callable[[str], Column]], Column] | None = None,
     once: bool = False,
+    rounds: int = 0,
 ) -> DataFrame:
     """`(node, component)` of all nodes that are linked with any other.
 
@@ -125,6 +135,8 @@ def connected(
     bucket with another, and may return `marks`. `marks` has more of each `node` for `marks_may_link` to look at
     before members of a bucket are paired with others than the hub. With `once`, for nodes of few
     keys, a pair comes from the least of the buckets that both are in, not from each of them.
+    Hubs are elected anew at most `rounds` times, and no more after a round without links; `marks` are
+    needed for that.
     """
     extra = [c for c in buckets.columns if c not in ("key", "node")]
     bucket = Window.partitionBy("key").orderBy("node")
@@ -145,32 +157,52 @@ def connected(
     def possible(x: Callable[[str], Column], y: Callable[[str], Column]) -> Column:
         return may_link(x, y) if may_link else F.lit(True)
 
-    near_hub = checkpointed(
+    def fits(x: Callable[[str], Column], y: Callable[[str], Column]) -> Column:
+        return possible(x, y) & marks_may_link(x, y) if marks_may_link else possible(x, y)
+
+    near_hub = stored(
         shared.where((F.col("node") != F.col("hub.node")) & possible(lambda c: F.col(f"hub.{c}"), F.col))
         .select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
-        .distinct()
+        .distinct(),
+        "near_hub",
     )
+    met = [near_hub]
     links = links_among(near_hub)
     groups = components(links)
-
-    labelled = shared.drop("hub").join(groups, "node", "left").withColumn(
-        "component", F.coalesce("component", "node")
-    )
-    mixed = (
-        labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        .where("lo < hi").select("key")
-    )
-    rest = labelled.join(mixed, "key")
+    members = shared.drop("hub")
+
+    hubs = None
+    for _ in range(rounds):
+        rest = stored(_unconnected(members, groups).join(marks, "node"), "rest")
+        hubs = _elected(rest, hubs)
+        x, y = rest.join(hubs, ["key", "node"], "left_semi").alias("x"), rest.alias("y")
+        left, right = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
+        near = (
+            x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component")) & fits(left, right))
+            .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+        )
+        for pairs in met:
+            near = near.join(pairs, ["a", "b"], "left_anti")
+        met.append(stored(near, "near_hub"))
+        discard(rest)
+        new = links_among(met[-1])
+        if new.isEmpty():
+            break
+        links = links.union(new)
+        groups = components(links)
+
+    rest = _unconnected(members, groups)
     if once:
         # Written first, as it is read twice.
-        rest = checkpointed(rest)
-        rest = rest.join(rest.groupBy("node").agg(F.collect_set("key").alias("keys")), "node")
-    rest = checkpointed(rest if marks is None else rest.join(marks, "node"))
+        mixed = stored(rest, "mixed")
+        rest = mixed.join(mixed.groupBy("node").agg(F.collect_set("key").alias("keys")), "node")
+    rest = stored(rest if marks is None else rest.join(marks, "node"), "rest")
+    discard(shared)
+    if once:
+        discard(mixed)
     x, y = rest.alias("x"), rest.alias("y")
     left, right = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
-    fit = possible(left, right)
-    if marks_may_link:
-        fit = fit & marks_may_link(left, right)
+    fit = fits(left, right)
     if once:
         fit = fit & (F.array_min(F.array_intersect(left("keys"), right("keys"))) == left("key"))
     others = (
@@ -179,10 +211,36 @@ def connected(
                & fit)
         .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
         .distinct()
-        .join(near_hub, ["a", "b"], "left_anti")
     )
-    others = checkpointed(others)
-    discard(shared)
-    if others.isEmpty():
-        return groups
-    return components(links.union(links_among(others)))
+    for pairs in met:
+        others = others.join(pairs, ["a", "b"], "left_anti")
+    others = stored(others, "others")
+    for table in [rest, *met]:
+        discard(table)
+    if not others.isEmpty():
+        groups = components(links.union(links_among(others)))
+    discard(others)
+    return groups
+
+
+def _unconnected(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """`members`, with `component`, of the buckets that are in several components."""
+    labelled = members.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = (
+        labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+        .where("lo < hi").select("key")
+    )
+    return labelled.join(mixed, "key")
+
+
+def _elected(rest: DataFrame, before: DataFrame | None) -> DataFrame:
+    """`(key, node)`: of each bucket the member that shares buckets with the most others, and was no hub `before`."""
+    crowds = rest.groupBy("key").agg(F.count(F.lit(1)).alias("crowd"))
+    free = rest.select("key", "node")
+    if before is not None:
+        free = free.join(before, ["key", "node"], "left_anti")
+    free = checkpointed(free.join(crowds, "key"))
+    weights = free.groupBy("node").agg(F.sum("crowd").alias("weight"))
+    best = F.max_by("node", F.struct("weight", "node"))
+    chosen = free.join(weights, "node").groupBy("key").agg(best.alias("node"))
+    return checkpointed(chosen if before is None else chosen.union(before))

@@ -65,4 +65,6 @@ def beside(frame: DataFrame, keys: list[str], circular: bool = False, cut_by: Da
 
     dealt = frame.withColumn("_place", F.explode(places(F.struct(*keys))))
     dealt = dealt.withColumn("_range", F.floor(F.col("_place") / 3)).withColumn("_side", F.col("_place") % 3 - 1)
-    return dealt.drop("_place").repartition(ranges, "_range").sortWithinPartitions("_range", "_side", *keys)
+    # A range is a partition; by hash, several would share a task and others have none.
+    dealt = dealt.drop("_place").repartitionById(max(1, len(cuts)), F.col("_range").cast("int"))
+    return dealt.sortWithinPartitions("_range", "_side", *keys)

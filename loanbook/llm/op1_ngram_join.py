@@ -91,7 +91,7 @@ def _sets(documents: DataFrame, size: int) -> DataFrame:
     )
 
 
-def _near_parities(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def near_parities(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs that can be similar by their parities.
 
     A parity has a bit for each bucket of n-grams that holds an odd number of them, so
@@ -238,7 +238,7 @@ def _linked(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, D
         return enough & (most * (100 + percent) >= (n_x + n_y) * percent)
 
     def verified(pairs: DataFrame) -> DataFrame:
-        pairs = checkpointed(_near_parities(pairs, sets, percent))
+        pairs = checkpointed(near_parities(pairs, sets, percent))
         chosen = bits(nodes_of(pairs).join(sets, "node"), "least_id")
         parts = segments(documents, lambda text, cache: shingles(words(text), size, cache), chosen)
         return overlaps(pairs, parts).where(

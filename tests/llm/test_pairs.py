@@ -86,7 +86,7 @@ def test_parities_rule_out_no_similar_pair(spark):
                 node += 1
             pairs += [(node - 3, node - 2), (node - 3, node - 1)]
     schema = "node long, n long, " + "".join(f"{p} long, " for p in op1._PARITIES) + "parity array<bigint>"
-    kept = op1._near_parities(spark.createDataFrame(pairs, "a long, b long"), spark.createDataFrame(rows, schema), 90)
+    kept = op1.near_parities(spark.createDataFrame(pairs, "a long, b long"), spark.createDataFrame(rows, schema), 90)
     found = {tuple(r) for r in kept.collect()}
     assert set(pairs[::2]) <= found
     assert len(found & set(pairs[1::2])) == 0
