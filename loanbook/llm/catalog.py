@@ -125,24 +125,28 @@ def _one_byte(name: str) -> str:
     return f"translate({name}, '{letters}', '{spare[: len(letters)]}')"
 
 
-def _shingles(name: str, id_name: str) -> str:
-    """Distinct five-word shingles of every text, as SQL; a short text is one shingle."""
+def _words(name: str, id_name: str) -> str:
+    """Words of every text that has any, as SQL."""
     return f"""
-    select {id_name}, list_distinct(case when len(w) < 5 then [array_to_string(w, ' ')]
-        else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as s
+    select {id_name}, w
     from (select {id_name}, regexp_extract_all(translate(text, '{_UPPER}', '{_UPPER.lower()}'), '[^\x20\x09-\x0D]+') as w
           from {name}) where len(w) > 0"""
 
 
+#: Distinct runs of k of the words w, as SQL.
+_RUNS = "list_distinct(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' ')))"
+
 ORACLES: dict[str, str] = {
     "op7_decontamination": f"""
-with items as ({_shingles("benchmark", "item_id")}),
-docs as ({_shingles("documents", "doc_id")}),
-item_shingles as (select item_id, len(s) as n_item, unnest(s) as h from items),
-doc_shingles as (select doc_id, unnest(s) as h from docs),
+with item_words as (select *, least(5, len(w)) as k from ({_words("benchmark", "item_id")})),
+items as (select item_id, k, {_RUNS} as s from item_words),
+doc_words as ({_words("documents", "doc_id")}),
+docs as (select doc_id, k, {_RUNS} as s from doc_words join (select distinct k from items) on len(w) >= k),
+item_shingles as (select item_id, k, len(s) as n_item, unnest(s) as h from items),
+doc_shingles as (select doc_id, k, unnest(s) as h from docs),
 shared as (
     select doc_id, item_id, n_item, count(*) as n_shared
-    from doc_shingles join item_shingles using (h) group by all)
+    from doc_shingles join item_shingles using (k, h) group by all)
 select doc_id, item_id, n_shared, n_item, n_shared / n_item as containment
 from shared where n_shared * 100 >= n_item * 80""",
     "op11_spelling": f"""

@@ -7,6 +7,9 @@ share of an item must hold one hash of its sketch; no item is missed. Documents
 small to contain the share are left out per partition. Candidates are verified by
 counting the item's shingles that the document holds.
 
+An item of fewer than five words is one shingle of all its words, so documents are cut
+into runs of each such length that some item has, besides those of five.
+
 Documents meet the index in a join on hashes. Before it, a task drops what is in no
 item, by a filter of fixed size.
 """
@@ -36,28 +39,34 @@ def sketch_length(size: int, percent: int = SHARE_PERCENT) -> int:
 
 
 def index(items: DataFrame, percent: int = SHARE_PERCENT) -> DataFrame:
-    """`(item_id, hash, size, sketched)` of each distinct shingle of each item.
+    """`(item_id, hash, size, sketched, n_words)` of each distinct shingle of each item.
 
-    Items without words (or null) have none, and are found nowhere.
+    `n_words` tells the words of a shingle: five, or all of a shorter item. Items without words (or null) have none, and are found nowhere.
     """
-    schema = pa.schema([("item_id", pa.int64()), ("hash", pa.int64()), ("size", pa.int64()), ("sketched", pa.bool_())])
+    schema = pa.schema([
+        ("item_id", pa.int64()), ("hash", pa.int64()), ("size", pa.int64()), ("sketched", pa.bool_()),
+        ("n_words", pa.int32()),
+    ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         for item_id, text in each(batches, "item_id", "text"):
-            values = shingles(words(text), SHINGLE, cache)
+            own = words(text)
+            values = shingles(own, SHINGLE, cache)
             n = len(values)
             if n:
                 yield rows(
                     schema, item_id=[item_id] * n, hash=signed(values), size=[n] * n,
-                    sketched=np.arange(n) < sketch_length(n, percent),
+                    sketched=np.arange(n) < sketch_length(n, percent), n_words=[min(SHINGLE, len(own))] * n,
                 )
 
-    found = items.select("item_id", "text").mapInArrow(run, "item_id long, hash long, size long, sketched boolean")
+    found = items.select("item_id", "text").mapInArrow(run, "item_id long, hash long, size long, sketched boolean, n_words int")
     return found.distinct()
 
 
-def _hits(documents: DataFrame, flags: np.ndarray) -> DataFrame:
+def _hits(documents: DataFrame, flags: np.ndarray, lengths: list[int]) -> DataFrame:
+    """`(doc_id, text_hash, hash, n)`: runs of `lengths` words that may be in an item, and the
+    number of distinct runs of that length in the document."""
     schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("hash", pa.int64()), ("n", pa.int64())])
     shared = documents.sparkSession.sparkContext.broadcast(flags)
 
@@ -66,12 +75,16 @@ def _hits(documents: DataFrame, flags: np.ndarray) -> DataFrame:
         for batch in batches:
             out = []
             for doc_id, text_hash, text in each([batch], "doc_id", "text_hash", "text"):
-                values = rolled(cache.of(words(text)), SHINGLE)
-                place = (values & np.uint64(BITS - 1)).astype(np.int64)
-                held = np.unique(values[(flags[place >> 3] & (128 >> (place & 7)).astype(np.uint8)) != 0])
-                if len(held):
-                    n = len(np.unique(values))
-                    out += [(doc_id, text_hash, int(h), n) for h in signed(held)]
+                hashes = cache.of(words(text))
+                for length in lengths:
+                    if len(hashes) < length:
+                        continue
+                    values = rolled(hashes, length)
+                    place = (values & np.uint64(BITS - 1)).astype(np.int64)
+                    held = np.unique(values[(flags[place >> 3] & (128 >> (place & 7)).astype(np.uint8)) != 0])
+                    if len(held):
+                        n = len(np.unique(values))
+                        out += [(doc_id, text_hash, int(h), n) for h in signed(held)]
             if out:
                 yield rows(schema, **dict(zip(schema.names, zip(*out))))
 
@@ -82,20 +95,22 @@ def contained(documents: DataFrame, items: DataFrame, percent: int = SHARE_PERCE
     """`(doc_id, text_hash, item_id, shared, size)`: items of which a document holds `percent`.
 
     `documents` has `doc_id`, `text_hash` and `text`. The share is of the distinct
-    five-word shingles of the item; a text of fewer words is one shingle. Rows with
+    five-word shingles of the item; an item of fewer words is one shingle, which a
+    document holds where all its words follow each other. Rows with
     the same id and text are one document. Null ids are kept and match like others;
     null texts hold nothing. Empty tables give an empty result.
     """
     small_batches(documents.sparkSession)
     known = stored(index(items, percent), "items")
-    hits = stored(_hits(documents, bits(known, "hash", hashed=True)), "hits")
+    lengths = sorted(r.n_words for r in known.select("n_words").distinct().collect())
+    hits = stored(_hits(documents, bits(known, "hash", hashed=True), lengths), "hits")
     document = ["doc_id", "text_hash"]
     candidates = (
         hits.join(known.where("sketched"), "hash")
         .where(F.col("n") * 100 >= F.col("size") * percent)
         .select(*(F.col(c).alias(f"_{c}") for c in [*document, "item_id"])).distinct()
     )
-    pairs = hits.join(known, "hash")
+    pairs = hits.join(known.drop("n_words"), "hash")
     among = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in [*document, "item_id"]]
     return (
         pairs.join(candidates, among, "left_semi")

@@ -234,7 +234,7 @@ def test_near_duplicates(sample, sample_rows):
 
 def test_contained_items(spark, sample, sample_rows):
     rng = random.Random(8)
-    items = [(k, prose(rng, n)) for k, n in enumerate([15, 20, 33, 57, 5, 3])] + [(90, None), (91, ""), (None, "null id item of six words")]
+    items = [(k, prose(rng, n)) for k, n in enumerate([15, 20, 33, 57, 5, 3, 4, 2, 1])] + [(90, None), (91, ""), (None, "null id item of six words")]
     rows = list(sample_rows)
     for k, (_, text) in enumerate(items[:4]):
         rows.append((1000 + k, prose(rng, 200) + " " + text.upper() + " " + prose(rng, 200), None, None, None))
@@ -242,22 +242,27 @@ def test_contained_items(spark, sample, sample_rows):
         rows.append((1100 + k, prose(rng, 90) + " " + " ".join(own[: len(own) * 9 // 10]), None, None, None))
         rows.append((1200 + k, " ".join(own[: len(own) // 2]), None, None, None))
     rows += [(1300, items[5][1], None, None, None), (1301, "x " + items[5][1], None, None, None)]
+    # Short items inside long documents, and words of one that do not follow each other.
+    rows += [(1310 + k, f"{prose(rng, 300)} {items[k][1]} {prose(rng, 300)}", None, None, None) for k in (5, 6, 7, 8)]
+    rows.append((1320, " between ".join(items[6][1].split()), None, None, None))
     documents = spark.createDataFrame(rows, DOCUMENTS)
     keyed = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     table = spark.createDataFrame(items, "item_id long, text string")
     found = op7.contained(keyed, table).select("doc_id", "item_id", "shared", "size").collect()
-    wanted = set()
+    wanted, leaked = set(), set()
     for i, text, *_ in rows:
-        own = shingle_set(text, 5)
         for k, item in items:
-            asked = shingle_set(item, 5)
+            asked, length = shingle_set(item, 5), min(5, len((item or "").split()))
+            # A text of fewer words is one shingle, shorter than any of such an item.
+            own = shingle_set(text, length) if length else set()
             if asked and 100 * len(own & asked) >= 80 * len(asked):
                 wanted.add((i, k, len(own & asked), len(asked)))
+                leaked.add((i, text))
     assert Counter(map(tuple, found)) == Counter(wanted)
-    leaked = {i for i, *_ in wanted}
+    assert {(1310 + k, k) for k in (5, 6, 7, 8)} <= {w[:2] for w in wanted}
     kept = op7.decontaminate(documents, table)
     assert kept.columns == documents.columns
-    assert Counter(r.doc_id for r in kept.collect()) == Counter(r[0] for r in rows if r[0] not in leaked)
+    assert Counter(r.doc_id for r in kept.collect()) == Counter(r[0] for r in rows if r[:2] not in leaked)
 
 
 @pytest.mark.parametrize("size", range(1, 70))

@@ -36,6 +36,24 @@ def test_decontamination_equals_its_statement(spark):
     assert found.sort_values(keys).reset_index(drop=True).equals(wanted.sort_values(keys).reset_index(drop=True))
 
 
+def test_short_items_equal_their_statement(spark, tmp_path):
+    """Items of one to six words, in documents of one word and more."""
+    texts = ["alpha the secret answer forty two beta gamma", "secret answer", "Answer", "", None, "the  SECRET\tanswer",
+             "forty two", "the secret", "answer the secret", "alpha the secret answer forty two"]
+    items = ["the secret answer", "secret answer forty two", "answer", "forty two", "alpha the secret answer forty",
+             "alpha the secret answer forty two", "", None, "two forty", "the secret answer"]
+    for name, id_name, rows in (("documents", "doc_id", texts), ("benchmark", "item_id", items)):
+        spark.createDataFrame(list(enumerate(rows)), f"{id_name} long, text string").write.parquet(f"{tmp_path}/{name}.parquet")
+    duck = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        duck.execute(f"create view {name} as select * from '{tmp_path}/{name}.parquet/*.parquet'")
+    wanted = duck.execute(catalog.ORACLES["op7_decontamination"]).df()
+    found = catalog.QUERIES["op7_decontamination"](spark, str(tmp_path)).toPandas()[list(wanted.columns)]
+    keys = ["doc_id", "item_id"]
+    assert {(0, 0), (0, 1), (0, 2), (0, 3), (0, 4), (5, 0), (2, 2)} <= set(zip(found.doc_id, found.item_id))
+    assert found.sort_values(keys).reset_index(drop=True).equals(wanted.sort_values(keys).reset_index(drop=True))
+
+
 @pytest.fixture
 def folder(spark, tmp_path):
     rng = random.Random(11)
