@@ -15,6 +15,7 @@ tables have a fixed size. Every text is scored whole.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from operator import eq
@@ -25,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanbook.llm.common import CACHED_WORDS, each, remainder, rows, small_batches, words
+from loanbook.llm.common import CACHED_WORDS, each, remainder, rows, small_batches, utf8, words
 from loanbook.llm.sample import labelled, logistic, logit
 
 #: Labelled documents the model is fitted on, at most.
@@ -42,6 +43,7 @@ PRIOR = 3.0
 DRIFT = 1.0
 #: A segment is significant when chance reaches it in this share of texts.
 CHANCE = 0.05
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _EDGES = b".,;:!?*#$%&|\"'()[]{}<>-_~`^+=/\\"
 
 
@@ -58,6 +60,12 @@ def tokens(text: str | None) -> list[bytes]:
     return [w for w in (w.strip(_EDGES) for w in words(text)) if w]
 
 
+def places(text: str | None) -> tuple[bytes, list[tuple[int, int]]]:
+    """The text as UTF-8, and where in it the word of each of its `tokens` begins and ends."""
+    whole = utf8(text)
+    return whole, [m.span() for m in _WORD.finditer(whole) if m.group().strip(_EDGES)]
+
+
 class Odds(dict):
     """Score of each word, worked out once while it is remembered.
 
@@ -124,13 +132,22 @@ def decay(scores: np.ndarray) -> float:
     return (low + high) / 2
 
 
+def reaching(own: list[bytes], odds: Odds, rate: float) -> list[tuple[float, int, int]]:
+    """Every maximal segment as (how far it is above chance, first token, token after the last)."""
+    chance = np.log(len(own) + 1.0)
+    return [(rate * s - chance, start, end) for s, start, end in segments(odds.of(own))]
+
+
+def significant(found: list[tuple[float, int, int]]) -> list[tuple[float, int, int]]:
+    return [segment for segment in found if segment[0] > -np.log(CHANCE)]
+
+
 def measured(own: list[bytes], odds: Odds, rate: float) -> tuple[float, float, float, int]:
     """The best segment above chance, the sum of significant ones, the log length, and their number."""
-    found = segments(odds.of(own))
+    found = reaching(own, odds, rate)
     chance = np.log(len(own) + 1.0)
-    above = [rate * s - chance for s, _, _ in found]
-    significant = [a for a in above if a > -np.log(CHANCE)]
-    return max(above, default=-chance), float(np.log1p(sum(significant))), float(chance), len(significant)
+    high = [above for above, _, _ in significant(found)]
+    return max((above for above, _, _ in found), default=-chance), float(np.log1p(sum(high))), float(chance), len(high)
 
 
 _COUNTS = pa.schema([("half", pa.int32()), ("bucket", pa.int64()), ("seen", pa.int64()), ("toxic", pa.int64())])
@@ -235,3 +252,40 @@ def score(documents: DataFrame, labels: DataFrame) -> DataFrame:
     return scored.select(
         "doc_id", "held_out", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "n_segments"
     )
+
+
+def passages(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """`doc_id, start, end, above, text` of every significant toxic passage.
+
+    `start` and `end` count code points of the document's text from 0, `end` behind the
+    last; `above` is how far the passage is above what chance reaches in a text of that
+    length. A document has as many rows as `score` gives it `n_segments`; null and
+    empty texts have none. Repeated rows and null ids give rows like any others. An empty
+    table gives an empty result.
+    """
+    small_batches(documents.sparkSession)
+    shared = documents.sparkSession.sparkContext.broadcast(fit(documents, labels))
+    schema = pa.schema([
+        ("doc_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("above", pa.float64()), ("text", pa.string()),
+    ])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        odds = Odds(m["counts"])
+        for doc_id, text in each(batches, "doc_id", "text"):
+            found = sorted(significant(reaching(tokens(text), odds, m["rate"])), key=lambda segment: segment[1])
+            if not found:
+                continue
+            whole, spans = places(text)
+            out, at, chars = [], 0, 0
+            for above, first, behind in found:
+                start, end = spans[first][0], spans[behind - 1][1]
+                chars += len(whole[at:start].decode())
+                passage = whole[start:end].decode()
+                out.append((doc_id, chars, chars + len(passage), above, passage))
+                at, chars = end, chars + len(passage)
+            yield rows(schema, **dict(zip(schema.names, zip(*out))))
+
+    return documents.select("doc_id", "text").mapInArrow(
+        run, "doc_id long, start long, end long, above double, text string"
+    )

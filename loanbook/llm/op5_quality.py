@@ -5,9 +5,9 @@ to it look like, are its features; the labels of neighbouring lines are tied by
 chain. The forward-backward marginals of a document's lines, weighted by their
 lengths, are its score.
 
-Weights are fitted on a bounded sample of labelled documents (`SAMPLE` documents
-of at most `SAMPLE_LINES` lines), where each line takes the label of its document.
-Every text is scored whole.
+Weights are fitted on a bounded sample of labelled documents (`SAMPLE` documents, and
+of a longer one `SAMPLE_LINES` lines in a row, drawn by a hash of the text), where each
+line takes the label of its document. Every text is scored whole.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,7 +26,7 @@ from pyspark.sql import types as T
 from loanbook.llm.common import each, remainder, rows, small_batches, utf8, whole_rows
 from loanbook.llm.sample import labelled
 
-#: Labelled documents the model is fitted on, at most, and lines of such a document.
+#: Labelled documents the model is fitted on, and lines of each, at most.
 SAMPLE = 6_000
 SAMPLE_LINES = 64
 MODULUS, HELD_OUT = 3, 1
@@ -65,14 +66,22 @@ def observed(lines: list[bytes]) -> np.ndarray:
     """`(lines, WIDTH)`: looks of each line and its neighbours, two edges and a constant."""
     n = len(lines)
     out = np.zeros((n, WIDTH))
-    out[:, :LOOKS] = [looks(line) for line in lines]
+    out[:, :LOOKS] = np.array([looks(line) for line in lines]).reshape(n, LOOKS)
     out[1:, LOOKS : 2 * LOOKS] = out[:-1, :LOOKS]
     out[:-1, 2 * LOOKS : 3 * LOOKS] = out[1:, :LOOKS]
-    out[0, -3] = out[-1, -2] = 1.0
+    out[:1, -3] = out[-1:, -2] = 1.0
     out[:, -1] = 1.0
     return out
 
 
+def drawn(text: str | None) -> np.ndarray:
+    """What the field learns from in a text: all its lines, or `SAMPLE_LINES` in a row of a longer one."""
+    lines = lines_of(text)
+    start = xxhash.xxh64_intdigest(utf8(text)) % max(1, len(lines) - SAMPLE_LINES + 1)
+    first = max(0, start - 1)  # a line more at both ends, whose looks the lines beside them have
+    return observed(lines[first : start + SAMPLE_LINES + 1])[start - first :][:SAMPLE_LINES]
+
+
 def marginals(good: np.ndarray, ties: np.ndarray) -> np.ndarray:
     """P(line is good) for `(documents, lines)` log-odds that all have the same length.
 
@@ -135,9 +144,9 @@ def _fitted(documents: DataFrame, labels: DataFrame) -> dict:
         for batch in batches:
             out = []
             for text, label in each([batch], "text", "label"):
-                lines = lines_of(text)
-                if 0 < len(lines) <= SAMPLE_LINES:
-                    out.append((observed(lines).astype(np.float32).tobytes(), label))
+                seen = drawn(text)
+                if len(seen):
+                    out.append((seen.astype(np.float32).tobytes(), label))
             if out:
                 yield rows(schema, looks=[o[0] for o in out], label=[o[1] for o in out])
 
@@ -180,6 +189,31 @@ def scored(documents: DataFrame, labels: DataFrame, carry: list[str]) -> DataFra
     return given.mapInArrow(run, schema)
 
 
+def line_labels(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """`doc_id, line, text, p_good, good` of every line that is not blank.
+
+    `line` counts the lines of the text from 0, blank ones too; `p_good` is the marginal
+    probability that the line is good, and `good` whether it is at least a half. A null
+    text has no lines. Repeated rows and null ids give rows like any others; without
+    labels every `p_good` is 0.5. An empty table gives an empty result.
+    """
+    small_batches(documents.sparkSession)
+    shared = documents.sparkSession.sparkContext.broadcast(_fitted(documents, labels))
+    schema = pa.schema([("doc_id", pa.int64()), ("line", pa.int32()), ("text", pa.string()), ("p_good", pa.float64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for doc_id, text in each(batches, "doc_id", "text"):
+            own = [(i, line) for i, line in enumerate((text or "").split("\n")) if utf8(line).strip()]
+            if own:
+                numbers, lines = zip(*own)
+                p = marginals((observed([utf8(line) for line in lines]) @ m["weights"])[None], m["ties"])[0]
+                yield rows(schema, doc_id=[doc_id] * len(p), line=numbers, text=lines, p_good=p)
+
+    found = documents.select("doc_id", "text").mapInArrow(run, "doc_id long, line int, text string, p_good double")
+    return found.withColumn("good", F.col("p_good") >= 0.5)
+
+
 def score(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """`doc_id, held_out, score, predicted, n_lines, n_bad` of every document.
 

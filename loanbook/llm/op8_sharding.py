@@ -163,7 +163,8 @@ def matrix(cells: DataFrame, depth: int, takes: list[int], seed: int) -> DataFra
 def shard(documents: DataFrame, shards: int = 24, seed: int = 20, carry: tuple[str, ...] = ()) -> DataFrame:
     """Every row with its shard and its place in the shard, a uniform shuffle.
 
-    Returns `doc_id, size, text_crc32, shard, slot` and the columns in `carry`.
+    Returns `doc_id, size, text_crc32, shard, slot` and the columns in `carry`, which keep
+    their names, also where these are among the five.
     `size` is the UTF-8 bytes of the text plus 8; a null text counts as empty, with
     crc32 0. Shards differ by one row at most, and slots run from 0 without gaps.
     Rows are told apart by their place in the table, so null and repeated ids,
@@ -171,13 +172,16 @@ def shard(documents: DataFrame, shards: int = 24, seed: int = 20, carry: tuple[s
     gives an empty result.
     """
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    # The columns in `carry` travel as one, so that none meets a name of ours.
+    carried = [F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)]).alias("row")] if carry else []
+    kept = ["row"] if carry else []
     base = checkpointed(
         documents.select(
             "doc_id",
             (F.octet_length(text) + 8).cast("bigint").alias("size"),
             F.crc32(text).alias("text_crc32"),
             F.monotonically_increasing_id().alias("_place"),
-            *carry,
+            *carried,
         )
     )
     n = base.count()
@@ -205,7 +209,7 @@ def shard(documents: DataFrame, shards: int = 24, seed: int = 20, carry: tuple[s
         .join(matrix(cells, depth, takes, seed + 2), "cell")
         .select(
             "doc_id", "size", "text_crc32", first_beyond.alias("shard"), "_place",
-            uniform(F.lit(seed + 3), F.col("_place")).alias("_order"), *carry,
+            uniform(F.lit(seed + 3), F.col("_place")).alias("_order"), *kept,
         )
         .withColumn("_stretch", F.floor(F.col("_order") * stretches))
     )
@@ -219,6 +223,7 @@ def shard(documents: DataFrame, shards: int = 24, seed: int = 20, carry: tuple[s
         placed.withColumn("_within", within)
         .join(before, ["shard", "_stretch"])
         .select(
-            "doc_id", "size", "text_crc32", "shard", (F.col("_before") + F.col("_within") - 1).cast("bigint").alias("slot"), *carry
+            "doc_id", "size", "text_crc32", "shard", (F.col("_before") + F.col("_within") - 1).cast("bigint").alias("slot"),
+            *[F.col(f"row.c{i}").alias(c) for i, c in enumerate(carry)],
         )
     )

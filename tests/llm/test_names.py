@@ -11,6 +11,7 @@ from loanbook.llm import op1_ngram_join as op1
 from loanbook.llm import op2_line_dedup as op2
 from loanbook.llm import op5_quality as op5
 from loanbook.llm import op7_decontamination as op7
+from loanbook.llm import op8_sharding as op8
 from loanbook.llm import op11_spelling as op11
 from loanbook.llm import op12_fim as op12
 from loanbook.llm import op13_packing as op13
@@ -56,6 +57,17 @@ def test_rows_come_back_as_they_were(spark, documents):
     assert untouched(op7.decontaminate(documents, items), documents) == [i for i in range(17) if i != 14]
 
 
+def test_sharded_rows_keep_their_columns(spark):
+    names = ["size", "shard", "slot", "_place", "_order", "_rank", "cell", "takes", "row", "_within", "a dotted.name"]
+    given = spark.createDataFrame([(i, f"text {i}", *[f"{n}{i}" for n in names]) for i in range(50)],
+                                  "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    found = op8.shard(given, 5, carry=tuple(names))
+    assert found.columns == ["doc_id", "size", "text_crc32", "shard", "slot", *names]
+    rows = [tuple(r) for r in found.collect()]
+    assert all(r[5:] == tuple(f"{n}{r[0]}" for n in names) for r in rows)
+    assert sorted((r[3], r[4]) for r in rows) == [(s, k) for s in range(5) for k in range(10)]
+
+
 def test_names_do_not_matter_where_columns_are_not_kept(documents):
     plain = documents.select("doc_id", "text")
     for made in (

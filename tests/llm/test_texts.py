@@ -108,6 +108,41 @@ def test_marginals_by_enumeration():
     assert np.allclose(op5.marginals(good, ties)[0], total / weight)
 
 
+def test_scores_of_texts_by_brute_force(spark):
+    """Scores and labels of lines from all labellings of a short text, with the fitted weights."""
+    rows, labels = line_documents(random.Random(8), 200)
+    texts = ["One line.", "Some line here.\n\n SHOUT SHOUT!!\nand a | last | one", "a\nb b\n*** ***\nWords of prose, again.\nmore"]
+    documents = spark.createDataFrame(rows + [(1000 + i, t, None, None, None) for i, t in enumerate(texts)], DOCUMENTS)
+    table = spark.createDataFrame(labels, LABELS)
+    fitted = op5._fitted(documents, table)
+    scores = {r.doc_id: r for r in op5.score(documents, table).collect()}
+    lines = {(r.doc_id, r.line): r for r in op5.line_labels(documents, table).where("doc_id >= 1000").collect()}
+    assert len(lines) == 9
+    for i, text in enumerate(texts):
+        own = [(k, line) for k, line in enumerate(text.split("\n")) if line.strip()]
+        good = op5.observed([line.encode() for _, line in own]) @ fitted["weights"]
+        weights = {}
+        for labelling in np.ndindex(*[2] * len(own)):
+            tied = sum(fitted["ties"][a, b] for a, b in zip(labelling, labelling[1:]))
+            weights[labelling] = math.exp(sum(g * x for g, x in zip(good, labelling)) + tied)
+        p = [sum(w for x, w in weights.items() if x[k]) / sum(weights.values()) for k in range(len(own))]
+        wanted = sum(q * len(line) for q, (_, line) in zip(p, own)) / sum(len(line) for _, line in own)
+        assert scores[1000 + i].score == pytest.approx(wanted, abs=1e-9)
+        assert scores[1000 + i].n_bad == sum(q < 0.5 for q in p)
+        for q, (k, line) in zip(p, own):
+            found = lines[1000 + i, k]
+            assert found.text == line and found.p_good == pytest.approx(q, abs=1e-9) and found.good == (q >= 0.5)
+
+
+def test_long_documents_are_learned_from():
+    lines = [f"line {i} {'!' * (i % 7)}" for i in range(200)]
+    seen, whole = op5.drawn("\n".join(lines)), op5.observed([line.encode() for line in lines])
+    assert len(seen) == op5.SAMPLE_LINES
+    assert any(np.array_equal(seen, whole[i : i + len(seen)]) for i in range(len(whole) - len(seen) + 1))
+    assert np.array_equal(op5.drawn("\n".join(lines[:64])), op5.observed([line.encode() for line in lines[:64]]))
+    assert len(op5.drawn(None)) == 0 == len(op5.drawn(" \n "))
+
+
 def test_scores_without_labels_or_documents(spark, sample, nothing):
     none = spark.createDataFrame([], LABELS)
     assert {r.score for r in op5.score(sample, none).collect()} <= {0.5}
@@ -261,3 +296,26 @@ def test_toxicity_is_learned(spark):
     false = [r.predicted for r in held if not marks[r.doc_id]]
     assert np.mean(hits) > 0.9 and np.mean(false) < 0.05
     assert not any(r.predicted for r in found if r.doc_id in (900, 901, 902))
+
+
+def test_passages_are_where_they_say(spark):
+    rng = random.Random(6)
+    rows, labels = [], []
+    for i in range(400):
+        own, toxic = prose(rng, rng.choice([20, 60, 150])).split(" "), i % 4 == 0
+        if toxic:
+            at = rng.randrange(len(own))
+            own[at:at] = [f"vile{rng.randrange(99)}" for _ in range(5)]
+        rows.append((i, "Ünï 🙂 " + " -- ".join(own), None, None, None))
+        labels.append((i, 1, int(toxic), None))
+    rows += [(900, None, None, None, None), (901, "", None, None, None), rows[0], (None, rows[0][1], None, None, None)]
+    documents, table = spark.createDataFrame(rows, DOCUMENTS).repartition(3), spark.createDataFrame(labels, LABELS)
+    found = op10.passages(documents, table).collect()
+    texts = {i: t for i, t, *_ in rows}
+    assert Counter(r.doc_id for r in found) == Counter(
+        r.doc_id for r in op10.score(documents, table).collect() for _ in range(r.n_segments)
+    )
+    assert all(texts[r.doc_id][r.start : r.end] == r.text and r.above > -math.log(op10.CHANCE) for r in found)
+    vile = {i for i in range(0, 400, 4)}
+    assert len(vile & {r.doc_id for r in found if "vile" in r.text}) > 90
+    assert op10.passages(documents.limit(0), table).count() == 0
