@@ -1,25 +1,30 @@
 """Main text of web pages, by nearest-URL page differencing.
 
-Pages are sorted by host and URL path, and each is paired with the page beside it on
-its host whose path it shares most of. Their text lines are aligned by a longest
-common subsequence, and lines of both are the site's template. A page's article is
+Pages are sorted by host and URL path, and each is paired with the nearest pages on
+its host, before and after it, that are no copies of it. Their text lines are aligned by a
+longest common subsequence, and lines of all are the site's template. A page's article is
 what stands in its `article` or `main` element; in a page without one, it is every
 line that is not in the template.
 
 Differencing alone gives wrong results on pages whose menus differ, and deletes
 passages that two articles share. So elements that say what they are (menus, adverts,
 forms and so on) go by that, and shared lines inside an `article` or `main` stay.
-Pages that share most of their text are copies: they say nothing about a template.
+Pages next to each other that share nine tenths of their text are copies: they say nothing
+about a template, and share the partners of their run. Copies that fill a whole range
+of the order (`neighbours.py`) have none, and keep their lines.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from bisect import bisect_left
+from collections import deque
 from collections.abc import Iterator
+from functools import lru_cache
 from html import unescape
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -60,6 +65,8 @@ _REPLIES = "#replies"
 #: Elements in which an `article` is not the page's.
 _HOSTILE = {"aside", _REPLIES}
 
+#: Bits of a table of two pages' lines that are kept at once.
+TABLE = 2**28
 #: Zones of a line: in an article, anywhere else, in an element that is no article.
 ARTICLE, PLAIN, OTHER = 2, 1, 0
 
@@ -138,60 +145,105 @@ def lines_of(html: str | None) -> list[tuple[int, str]]:
     return found
 
 
+def _grown(a: list[str], b: list[str]) -> Iterator[int]:
+    """For each beginning of `a`: bits of the places in `b` where the subsequence does not grow."""
+    places: dict[str, list[int]] = {}
+    for j, line in enumerate(b):
+        places.setdefault(line, []).append(j)
+
+    @lru_cache(maxsize=256)
+    def bits(line: str) -> int:
+        at = places.get(line, ())
+        if len(at) < 2:
+            return 1 << at[0] if at else 0
+        marked = np.zeros(len(b), dtype=np.uint8)
+        marked[at] = 1
+        return int.from_bytes(np.packbits(marked, bitorder="little").tobytes(), "little")
+
+    full = still = (1 << len(b)) - 1
+    for line in a:
+        met = still & bits(line)
+        still = ((still + met) | (still - met)) & full
+        yield still
+
+
+def _lengths(a: list[str], b: list[str]) -> np.ndarray:
+    """Length of the longest common subsequence of `a` and each beginning of `b`."""
+    still = deque(_grown(a, b), maxlen=1)[0]
+    stays = np.frombuffer(still.to_bytes(len(b) // 8 + 1, "little"), dtype=np.uint8)
+    grows = 1 - np.unpackbits(stays, bitorder="little")[: len(b)].astype(np.int64)
+    return np.concatenate([[0], np.cumsum(grows)])
+
+
 def common_lines(a: list[str], b: list[str]) -> set[int]:
     """Places in `a` of a longest common subsequence with `b`.
 
-    The k-th time a line occurs is aligned with the k-th time only, so the work
-    stays near the number of lines.
+    Rows of the usual table are kept as bits, one for each line of `b`. Where they would
+    take more than `TABLE` bits, `a` is halved and `b` cut where both halves together
+    reach the whole length, so memory stays bounded for pages of any length.
     """
-    seen: dict[str, int] = {}
-    places: dict[tuple[str, int], int] = {}
-    for j, line in enumerate(b):
-        seen[line] = seen.get(line, 0) + 1
-        places[line, seen[line]] = j
-    seen, ends, tails, links = {}, [], [], {}
-    for i, line in enumerate(a):
-        seen[line] = seen.get(line, 0) + 1
-        j = places.get((line, seen[line]))
-        if j is None:
-            continue
-        k = bisect_left(ends, j)
-        links[i] = tails[k - 1] if k else None
-        if k == len(ends):
-            ends.append(j)
-            tails.append(i)
+    first = 0
+    while first < len(a) and first < len(b) and a[first] == b[first]:
+        first += 1
+    last = 0
+    while last < min(len(a), len(b)) - first and a[-1 - last] == b[-1 - last]:
+        last += 1
+    out = {*range(first), *range(len(a) - last, len(a))}
+    b = b[first : len(b) - last]
+    there = set(b)
+    kept = [i for i in range(first, len(a) - last) if a[i] in there]
+    own = [a[i] for i in kept]
+    there = set(own)
+    b = [line for line in b if line in there]
+    if not own:
+        return out
+    if len(own) * len(b) > TABLE and len(own) > 1:
+        half = len(own) // 2
+        cut = int(np.argmax(_lengths(own[:half], b) + _lengths(own[half:][::-1], b[::-1])[::-1]))
+        out |= {kept[i] for i in common_lines(own[:half], b[:cut])}
+        return out | {kept[half + i] for i in common_lines(own[half:], b[cut:])}
+    table, j = [(1 << len(b)) - 1, *_grown(own, b)], len(b)
+    i = len(own)
+    while i and j:
+        if table[i] >> (j - 1) & 1:
+            j -= 1
         else:
-            ends[k], tails[k] = j, i
-    out, i = set(), tails[-1] if tails else None
-    while i is not None:
-        out.add(i)
-        i = links[i]
+            i -= 1
+            if table[i] >> (j - 1) & 1:
+                out.add(kept[i])
+                j -= 1
     return out
 
 
-def shared_path(a: str, b: str) -> int:
-    """Characters two paths begin with alike."""
-    n = 0
-    for x, y in zip(a, b):
-        if x != y:
-            break
-        n += 1
-    return n
+def main_lines(lines: list[tuple[int, str]]) -> list[str]:
+    """Lines in an article; without one, those not known to be boilerplate."""
+    return [text for zone, text in lines if zone == ARTICLE] or [text for zone, text in lines if zone == PLAIN]
+
+
+def are_copies(a: list[str], b: list[str]) -> bool:
+    """Whether at least nine tenths of the text of each are lines of the other."""
+
+    def within(x: list[str], y: list[str]) -> bool:
+        known = set(y)
+        return 10 * sum(len(line) for line in x if line in known) >= 9 * sum(map(len, x))
+
+    return within(a, b) and within(b, a)
 
 
 def article(lines: list[tuple[int, str]], partners: list[list[tuple[int, str]]]) -> str:
-    """The article in a page's lines, given the pages beside it, nearest first."""
-    own = [text for _, text in lines]
-    template: set[int] = set()
-    for partner in partners:
-        shared = common_lines(own, [text for _, text in partner])
-        if 2 * sum(len(own[i]) for i in shared) < sum(map(len, own)):  # else a copy
-            template = shared
-            break
-    zones = {zone for zone, _ in lines}
-    if ARTICLE in zones:
-        return "\n".join(text for zone, text in lines if zone == ARTICLE)
-    return "\n".join(text for i, (zone, text) in enumerate(lines) if zone == PLAIN and i not in template)
+    """The article in a page's lines, given other pages of its site that are no copies.
+
+    Lines shared with all partners are the template, as one page may have a passage
+    of the article too. With one partner, a page that shares half of its text or more may
+    be an edited copy of it, so nothing is deleted.
+    """
+    own = main_lines(lines)
+    if any(zone == ARTICLE for zone, _ in lines) or not partners:
+        return "\n".join(own)
+    template = set.intersection(*[common_lines(own, [text for _, text in partner]) for partner in partners])
+    if len(partners) == 1 and 2 * sum(len(own[i]) for i in template) >= sum(map(len, own)):
+        template = set()
+    return "\n".join(text for i, text in enumerate(own) if i not in template)
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -200,8 +252,8 @@ def extract(pages: DataFrame) -> DataFrame:
     White space inside a block becomes one space, blocks are joined by one `\\n`, and
     character references are decoded. A null or empty html, or one without an article,
     has the empty text. A page whose url is null or names no host, or that is alone on
-    its host, is paired with none. Repeated rows give a row each and are copies of each
-    other. An empty table gives an empty result.
+    its host but for copies, is paired with none. Repeated rows give a row each and are
+    copies of each other. An empty table gives an empty result.
     """
     small_batches(pages.sparkSession)
     address = r"^\s*[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)([^?#]*)"
@@ -230,27 +282,51 @@ def extract(pages: DataFrame) -> DataFrame:
     def difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdDecompressor()
 
-        def unpacked() -> Iterator[tuple]:
-            for place, side, page_id, url, host, path, packed in each(
-                batches, "_range", "_side", "page_id", "url", "_host", "_path", "packed"
+        def unpacked(packed: bytes) -> list[tuple[int, str]]:
+            return json.loads(packer.decompress(packed))
+
+        def runs() -> Iterator[tuple]:
+            """Pages of a range and host next to each other that are copies, with their main lines."""
+            run, site, head = [], None, []
+            for place, side, page_id, url, host, packed in each(
+                batches, "_range", "_side", "page_id", "url", "_host", "packed"
             ):
-                yield place, side, page_id, url, host, path, json.loads(packer.decompress(packed))
+                own = main_lines(unpacked(packed))
+                if not own:  # says nothing about a template
+                    yield None, [(side, page_id, url, packed)]
+                    continue
+                if run and (host == "" or (place, host) != site or not are_copies(head, own)):
+                    yield site, run
+                    run = []
+                if not run:
+                    site, head = (place, host), own
+                if run and run[-1][-1] == packed:
+                    packed = run[-1][-1]  # equal pages are kept once
+                run.append((side, page_id, url, packed))
+            if run:
+                yield site, run
 
         def texts() -> Iterator[tuple]:
             before, now = None, None
-            for after in unpacked():
-                if now is not None and now[1] == OWN:
-                    yield own(before, now, after)
+            for after in chain(runs(), (None,)):
+                if after is not None and after[0] is None:
+                    yield from resolved(None, after, None)
+                    continue
+                if now is not None:
+                    yield from resolved(before, now, after)
                 before, now = now, after
-            if now is not None and now[1] == OWN:
-                yield own(before, now, None)
-
-        def own(before, now, after) -> tuple:
-            place, _, page_id, url, host, path, lines = now
-            near = [p for p in (before, after) if p is not None and p[0] == place and p[4] == host != ""]
-            near.sort(key=lambda p: -shared_path(path, p[5]))
-            text = article(lines, [p[6] for p in near])
-            return page_id, url, text, len(text)
+
+        def resolved(before, now, after) -> Iterator[tuple]:
+            site, run = now
+            partners = [
+                unpacked(beside_it[1][at][-1])
+                for beside_it, at in ((before, -1), (after, 0))
+                if beside_it is not None and beside_it[0] == site and site[1]
+            ]
+            for side, page_id, url, packed in run:
+                if side == OWN:
+                    text = article(unpacked(packed), partners)
+                    yield page_id, url, text, len(text)
 
         out = []
         for row in texts():
