@@ -91,16 +91,14 @@ def _sets(documents: DataFrame, size: int) -> DataFrame:
     )
 
 
-def near_parities(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs that can be similar by their parities.
+def parities_near(x: Callable[[str], Column], y: Callable[[str], Column], percent: int) -> Column:
+    """Whether two sets, by their `n` and `parity`, can be similar.
 
     A parity has a bit for each bucket of n-grams that holds an odd number of them, so
     every bit in which two parities differ stands for an n-gram that is in one set only.
     """
-    x, y = sets.alias("x"), sets.alias("y")
-    both = pairs.join(x, F.col("a") == F.col("x.node")).join(y, F.col("b") == F.col("y.node"))
     # Parities have a power of two words; that of the larger set is folded to the other's.
-    words_x, words_y = F.col("x.parity"), F.col("y.parity")
+    words_x, words_y = x("parity"), y("parity")
     least = F.least(F.size(words_x), F.size(words_y))
 
     def folded(words: Column) -> Column:
@@ -113,8 +111,15 @@ def near_parities(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
     # Sizes within a factor of two, as all candidates', give words within a factor of two.
     comparable = F.greatest(F.size(words_x), F.size(words_y)) <= 2 * least
-    near = apart * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent)
-    return both.where(~comparable | near).select("a", "b")
+    return ~comparable | (apart * (100 + percent) <= (x("n") + y("n")) * (100 - percent))
+
+
+def near_parities(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that can be similar by their parities."""
+    x, y = sets.alias("x"), sets.alias("y")
+    both = pairs.join(x, F.col("a") == F.col("x.node")).join(y, F.col("b") == F.col("y.node"))
+    left, right = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
+    return both.where(parities_near(left, right, percent)).select("a", "b")
 
 
 def _parities_near(x: Callable[[str], Column], y: Callable[[str], Column], percent: int) -> Column:

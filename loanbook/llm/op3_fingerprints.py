@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from loanbook.llm.common import WordHashes, checkpointed, column, each, mixed, rolled, rows, signed, small_batches, utf8, words
 from loanbook.llm.links import bits, connected, discard, nodes_of, stored
 from loanbook.llm.neighbours import OWN, beside
-from loanbook.llm.op1_ngram_join import near_parities, overlaps, parity, parity_words, segments, set_hash
+from loanbook.llm.op1_ngram_join import near_parities, overlaps, parities_near, parity, parity_words, segments, set_hash
 
 SHINGLE = 5
 PERMUTATIONS = 128
@@ -264,8 +264,9 @@ def _group_ids(documents: DataFrame, found: DataFrame, percent: int) -> DataFram
     def alike(x: Callable[[str], Column], y: Callable[[str], Column]) -> Column:
         return F.least(x("n"), y("n")) * 100 >= F.greatest(x("n"), y("n")) * percent
 
-    def planes_alike(x: Callable[[str], Column], y: Callable[[str], Column]) -> Column:
-        return agreeing(x("planes"), y("planes")) >= least
+    def marks_alike(x: Callable[[str], Column], y: Callable[[str], Column]) -> Column:
+        """Copies alike to every degree share bands: what the parities rule out is no row of the join."""
+        return (agreeing(x("planes"), y("planes")) >= least) & parities_near(x, y, percent)
 
     def verified(pairs: DataFrame) -> DataFrame:
         for name in ("a", "b"):
@@ -286,7 +287,7 @@ def _group_ids(documents: DataFrame, found: DataFrame, percent: int) -> DataFram
         return reduce(DataFrame.union, links)
 
     groups = connected(
-        buckets, verified, alike, marks=sketches.select("node", "planes"), marks_may_link=planes_alike, rounds=HUB_ROUNDS,
+        buckets, verified, alike, marks=sets.select("node", "planes", "parity"), marks_may_link=marks_alike, rounds=HUB_ROUNDS,
     )
     named = sets.select("node", "least_id").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = named.groupBy("component").agg(F.min("least_id").alias("group_id"))

@@ -324,3 +324,31 @@ def test_fingerprint_query_groups_near_duplicates(spark, sample, sample_rows, tm
     wanted = op3.near_duplicates(sample).collect()
     assert Counter((r.doc_id, r.group_id) for r in found) == Counter(map(tuple, wanted))
     assert len({r.group_id for r in found}) < len({r.doc_id for r in found})
+
+
+def test_unlike_texts_of_a_bucket_are_no_pairs(spark, monkeypatch):
+    """Copies alike to every degree share bands; what reaches the verification does not grow with their square."""
+    rng, rows, counts = random.Random(14), [], []
+    base = prose(rng, 60, 10**6)
+    for i in range(240):
+        rows.append((i, edited(rng, base, 1 + i % 3), None, None, None))
+    near = op3.near_parities
+
+    def counted(pairs, *more):
+        counts.append(pairs.count())
+        return near(pairs, *more)
+
+    monkeypatch.setattr(op3, "near_parities", counted)
+    sample = spark.createDataFrame(rows, DOCUMENTS)
+    found = {r.doc_id: r.group_id for r in op3.near_duplicates(sample).collect()}
+    cache, groups = WordHashes(), Groups()
+    sets = {i: frozenset(op3.shingle_hashes(t, cache).tolist()) for i, t, *_ in rows}
+    for a in sets:
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                groups.join(a, b)
+    wanted: dict = {}
+    for i in sets:
+        wanted[groups.find(i)] = min(i, wanted.get(groups.find(i), i))
+    assert found == {i: wanted[groups.find(i)] for i in sets}
+    assert sum(counts) <= 8 * len(rows)
