@@ -381,7 +381,8 @@ def sink_csv(spark, sf_dir):
     """The accessed accounts of the credit book, numbered in reading order."""
     path = scratch_folder(spark, "accessed")
     accessed = credit_book(spark, sf_dir).report().where("ever_accessed = 'Yes'")
-    sinks.write_csv(accessed, path, "row", (*sinks.REPORT_ORDER, "account_identifier"))
+    order = (*sinks.REPORT_ORDER, "account_identifier")
+    sinks.write_csv(accessed, path, "row", order, compression="gzip")
     schema = "row bigint, " + ", ".join(f"`{n}` {t}" for n, t in accessed.dtypes)
     return sinks.read_csv(spark, path, schema)
 

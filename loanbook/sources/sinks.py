@@ -143,15 +143,17 @@ def write_csv(
     index: str | None = None,
     order: Sequence[str] = (),
     audit: Audit | None = None,
+    compression: str = "none",
 ) -> int:
     """Replace the CSV folder `path`, with a header line; returns the number of rows.
 
-    `index` names a leading column with the row's place in `order`.
+    `index` names a leading column with the row's place in `order`. Files are plain text
+    unless a `compression` is named, which `read_csv` sees by itself.
     """
     placed = report if index is None else with_index(report, index, order)
     counted, rows = _counted(placed)
     with _replaced(report.sparkSession, path) as new:
-        counted.write.option("header", True).csv(new)
+        counted.write.option("header", True).option("compression", compression).csv(new)
         return _audited(read_csv(report.sparkSession, new, placed.schema), rows, audit)
 
 
@@ -173,11 +175,14 @@ def with_index(rows: DataFrame, name: str, order: Sequence[str]) -> DataFrame:
     a row is then the size of the partitions before its own plus its place
     within. Only the partition sizes meet in one task.
     """
-    ensure_checkpoints(rows.sparkSession)
+    spark, by = rows.sparkSession, nulls_last(order)
+    ensure_checkpoints(spark)
+    # Sorted rows of a report shrink twentyfold on the wire. Merged by that size, as after
+    # `orderBy`, partitions would not fit into memory; a given number of them is kept.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = rows.repartitionByRange(parts, *by).sortWithinPartitions(*by)
     # The id counts up from partition << 33.
-    ordered = rows.orderBy(*nulls_last(order)).checkpoint().withColumn(
-        "_id", F.monotonically_increasing_id()
-    )
+    ordered = ranged.checkpoint().withColumn("_id", F.monotonically_increasing_id())
     part = F.shiftright("_id", 33)
     place = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

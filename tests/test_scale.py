@@ -353,3 +353,20 @@ def test_csv_index_follows_the_order(spark, tmp_path):
     assert [(r.u is None, r.u or "", r.id) for r in found] == wanted
     sinks.write_csv(rows, path)
     assert sinks.read_csv(spark, path, rows.schema).columns == ["u", "id"]
+
+
+def test_numbered_csv_stays_small(spark, tmp_path, monkeypatch):
+    """Compressed files with the same rows, from sorted partitions that are not merged by their size on the wire."""
+    from loanbook.plans import catalog
+
+    path = str(tmp_path / "accessed")
+    monkeypatch.setattr(catalog, "scratch_folder", lambda spark, label: path)
+    found = catalog.QUERIES["sink_csv"](spark, DATA)
+    files = [f.name for f in (tmp_path / "accessed").iterdir() if f.name.startswith("part-")]
+    assert files and all(name.endswith(".csv.gz") for name in files)
+    assert [r.row for r in found.select("row").orderBy("row").collect()] == list(range(found.count()))
+    ordered = sinks.with_index(spark.range(1000).withColumn("u", F.lit("a")), "row", ["u", "id"])
+    assert ordered.select(F.spark_partition_id()).distinct().count() == 4
+    plain = str(tmp_path / "plain")
+    sinks.write_csv(found.limit(5), plain)
+    assert any(f.name.endswith(".csv") for f in (tmp_path / "plain").iterdir())
