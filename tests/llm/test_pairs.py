@@ -352,3 +352,32 @@ def test_unlike_texts_of_a_bucket_are_no_pairs(spark, monkeypatch):
         wanted[groups.find(i)] = min(i, wanted.get(groups.find(i), i))
     assert found == {i: wanted[groups.find(i)] for i in sets}
     assert sum(counts) <= 8 * len(rows)
+
+
+def test_intermediates_of_lines_go_early(spark, monkeypatch):
+    """Keys go before words are fetched, and what a verification made is stored and removed: only the lines are left."""
+    rng, left = random.Random(15), []
+    base = [f"v{rng.randrange(5000)}" for _ in range(80)]
+    rows = [(i, " ".join([*base[:i], f"z{i}", *base[i + 1 :]]), None, None, None) for i in range(12)]
+    put, gone, tokens_of = links.stored, [], op2._tokens
+
+    def stored(frame, label):
+        table = put(frame, label)
+        left.append((label, table.scratch_path))
+        return table
+
+    def discard(table):
+        gone.append(table.scratch_path)
+
+    def tokens(documents, chosen):
+        assert [path for label, path in left if label == "keyed"] == gone
+        return tokens_of(documents, chosen)
+
+    for module in (links, op2):
+        monkeypatch.setattr(module, "stored", stored)
+        monkeypatch.setattr(module, "discard", discard)
+    monkeypatch.setattr(op2, "_tokens", tokens)
+    removed = {r.doc_id: r._removed for r in op2.dedup_lines(spark.createDataFrame(rows, DOCUMENTS)).collect()}
+    assert removed == {i: int(i > 0) for i in range(12)}
+    labels = [label for label, path in left if path not in gone]
+    assert labels == ["lines"] and "links" in [label for label, _ in left]
