@@ -10,8 +10,10 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 from loanbook.llm import op4_sentencepiece as op4
 from loanbook.llm import op5_quality as op5
@@ -276,6 +278,94 @@ def test_word_order_is_learned(spark):
     assert len(held) > 5 and all(r.score > r.base_score for r in held)
 
 
+def paired_texts(rng, count, names=40):
+    """Texts of pairs `p3zz q3zz`: all words end alike, and the first says the second."""
+    return [" ".join(f"p{k}zz q{k}zz" for k in (rng.randrange(names) for _ in range(15))) for _ in range(count)]
+
+
+def test_words_before_are_told_apart(spark):
+    """Words with the same last bytes: right pairs are likelier than pairs of the same words dealt anew."""
+    rng = random.Random(12)
+    texts = paired_texts(rng, 300)
+    held = [i for i in range(1000, 3000) if crc(i) % 10 == 0][:40]
+    rows = list(enumerate(texts))
+    for right, wrong in zip(held[::2], held[1::2]):
+        own = paired_texts(rng, 1)[0].split(" ")
+        rows.append((right, " ".join(own)))
+        own[1::2] = own[3::2] + own[1:2]
+        rows.append((wrong, " ".join(own)))
+    documents = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCUMENTS)
+    found = {r.doc_id: r for r in op9.score(documents).collect()}
+    assert all(found[i].held_out and found[i].n_known == 31 for i in held)
+    assert all(found[i].score > found[j].score + 15 * 0.5 for i, j in zip(held[::2], held[1::2]))
+
+
+def test_classes_follow_counts():
+    rng = np.random.default_rng(2)
+    frequent = np.sort(np.append(rng.integers(-(2**62), 2**62, 5000), op9.END))
+    counts = np.floor(1e6 / (1 + rng.permutation(len(frequent)))) + 1
+    kinds = op9.classes_by_count(frequent, counts, 32)
+    assert kinds[0] == 0 and (kinds[1:] > 0).all() and kinds.max() == 30
+    order = np.argsort(-counts[1:], kind="stable")
+    assert (np.diff(kinds[1:][order]) >= 0).all()
+    mass = np.bincount(kinds, weights=np.sqrt(counts))[1:]
+    assert mass.max() < 2.5 * mass.min()
+
+
+def test_scores_by_brute_force(spark):
+    rng = random.Random(5)
+    texts = paired_texts(rng, 120, 12) + [prose(rng, rng.choice([1, 2, 5, 30])) for _ in range(80)] + ["", None, "never0 seen0 p1zz"]
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    documents = spark.createDataFrame(rows, DOCUMENTS)
+    learned = [i for i in range(len(texts)) if crc(i) % 10]
+    _, total, unseen, model = op9.fitted(documents.where(F.col("doc_id").isin(*learned)))
+    counts, pairs = Counter(), Counter()
+    for i in learned:
+        own = [*words(texts[i]), None]
+        counts.update(own)
+        pairs.update(zip([None, *own], own))
+    pairs = {p: n for p, n in pairs.items() if n > 1}
+    assert total == sum(counts.values()) and len(pairs) > 20
+    listed = sorted(w for w in counts if w)
+    hashes = {None: op9.END, **dict(zip(listed, op9.hashed(pa.array(listed)).tolist()))}
+    places = {h: k for k, h in enumerate(model["classed"].tolist())}
+    kind = {w: int(model["kinds"][places[hashes[w]]]) for w in counts}
+    sizes = Counter()
+    for w, n in counts.items():
+        sizes[kind[w]] += n + op9.EXTRA
+    number = len(model["classes"])
+    whole = sum(max(sizes[k], op9.EXTRA) for k in range(number))
+
+    def word_share(before, word):
+        k = kind[word]
+        usual = {w: (n + op9.EXTRA) / sizes[k] for w, n in counts.items() if kind[w] == k}
+        after = {w: n for (v, w), n in pairs.items() if v == before and kind[w] == k}
+        if not after:
+            return usual[word]
+        if len(after) == len(usual):
+            return (after[word] - op9.DISCOUNT) / sum(n - op9.DISCOUNT for n in after.values())
+        others = max(0, counts[before] - sum(n for (v, _), n in pairs.items() if v == before)) * sizes[k] / whole
+        shares = {w: (n - op9.DISCOUNT) / (sum(after.values()) + others) for w, n in after.items()}
+        return shares.get(word) or usual[word] * (1 - sum(shares.values())) / (1 - sum(usual[w] for w in after))
+
+    def class_shares(history):
+        at = op9.features(np.array([[hashes.get(w) or int(op9.hashed(pa.array([w]))[0]) for w in history]]), len(model["weights"]))[0]
+        logits = [float(model["weights"][0, k]) + sum(float(model["weights"][a, k]) for a in at) for k in range(number)]
+        powers = [math.exp(x) for x in logits]
+        return [x / sum(powers) for x in powers]
+
+    found = {r.doc_id: r for r in op9.score(documents).collect()}
+    for i, text in enumerate(texts):
+        wanted, before = 0.0, [None, None, None]
+        for w in [*words(text), None]:
+            known = math.log10((1 - unseen) * class_shares(before)[kind[w]] * word_share(before[0], w)) if w in counts else math.log10(unseen)
+            wanted, before = wanted + known, [w, *before[:2]]
+        assert found[i].score == pytest.approx(wanted, rel=1e-4)
+    for before in ([None] * 3, ["p1zz", None, None], ["q1zz", "p1zz", None], ["never0", "q2zz", "p2zz"]):
+        shares = class_shares(before)
+        assert sum(shares[kind[w]] * word_share(before[0], w) for w in counts) == pytest.approx(1, rel=1e-6)
+
+
 # --- toxicity --------------------------------------------------------------
 
 
