@@ -116,6 +116,22 @@ def test_edit_distance():
         assert op2.edit_distance(a, b) == row[-1]
 
 
+def test_unlike_lines_need_no_distance(monkeypatch):
+    """What shared words rule out is what the distance rules out, without working it out."""
+    rng = random.Random(8)
+    lines = [[rng.choice("abcdefgh") for _ in range(rng.randrange(1, 14))] for _ in range(300)]
+    for a, b in zip(lines[::2], lines[1::2]):
+        near = [x if rng.random() < 0.85 else "z" for x in a]
+        for other in (b, near, near[1:]):
+            longer = max(len(a), len(other))
+            assert op2.similar(a, other) == (100 * (longer - op2.edit_distance(a, other)) >= 80 * longer)
+    worked_out = []
+    monkeypatch.setattr(op2, "edit_distance", lambda a, b: worked_out.append(1) or len(a))
+    assert not op2.similar(list(range(20)), [*range(15), *"vwxyz"]) and not worked_out
+    op2.similar(list(range(20)), [*range(16), *"wxyz"])
+    assert worked_out
+
+
 def test_simhash_blocks():
     """Lines of any length, against plain bit sums."""
     import numpy as np
