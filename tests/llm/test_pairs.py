@@ -397,3 +397,109 @@ def test_intermediates_of_lines_go_early(spark, monkeypatch):
     assert removed == {i: int(i > 0) for i in range(12)}
     labels = [label for label, path in left if path not in gone]
     assert labels == ["lines"] and "links" in [label for label, _ in left]
+
+
+def test_cut_lines_are_normalised_lines():
+    """Lines cut all at once have the words of lines cut one by one, and equal lines only have equal hashes."""
+    import numpy as np
+
+    rng = random.Random(16)
+    parts = ["a", "B", "the", "...", " ", "\t", "\n", "\n", "é", "漢字", "ไทย", "x" * 25, "ab,cd", "’", "\r", "\x00", "z" * 140, " ", "k̈"]
+    texts = ["", "\n", "one", " \n*** ***\n\n!", *("".join(rng.choice(parts) for _ in range(rng.randrange(40))) for _ in range(300))]
+    raw = [t.encode() for t in texts]
+    hashes, sizes, many = op2.cut(raw)
+    lines = [op2.normalised(line) for t in raw for line in t.split(b"\n")]
+    assert sizes.tolist() == [len(own) for own in lines] and many.tolist() == [t.count(b"\n") + 1 for t in raw]
+    words = [w for own in lines for w in own]
+    assert len(set(zip(words, hashes.tolist()))) == len(set(words)) == len(set(hashes.tolist()))
+    found = op2.line_hashes(hashes, sizes[sizes > 0]).tolist()
+    full = [tuple(own) for own in lines if own]
+    assert len(set(zip(full, found))) == len(set(full)) == len(set(found))
+    numbered = op2.numbered(hashes, sizes[sizes > 0])
+    assert (numbered >> 16 == (hashes >> np.uint64(16) << np.uint64(16)).view(np.int64) >> 16).all()
+    at = 0
+    for own in full:
+        part = numbered[at : at + len(own)].tolist()
+        assert len(set(part)) == len(part)
+        assert sorted(x & 0xFFFF for x in part) == sorted(k for n in Counter(own).values() for k in range(n))
+        at += len(own)
+
+
+def test_members_that_may_be_alike_stay_together(monkeypatch):
+    """Of a slice no pair that may be a link is lost, copies come once, and unlike members of a bucket go."""
+    import numpy as np
+
+    rng = np.random.default_rng(17)
+    lines, rows = [], []
+    for bucket in range(40):
+        base = rng.integers(0, 2**63, 30).astype(np.uint64)
+        for k in range(int(rng.integers(1, 7))):
+            own = base.copy()
+            changed = int(rng.integers(0, 20))
+            own[:changed] = rng.integers(0, 2**63, changed)
+            lines.append(own[: 30 - int(rng.integers(0, 4))])
+            rows += [(bucket, len(lines))] * (1 + k % 2)
+    words = op2.parities(np.concatenate(lines), np.array([len(x) for x in lines]))
+    members = np.zeros(len(rows), dtype=op2._MEMBER)
+    for i, (bucket, node) in enumerate(rows):
+        members[i] = (bucket, node, len(lines[node - 1]), *(p[node - 1] for p in words))
+    kept, key = op2.near_members(rng.permutation(members), 3)
+    assert len(kept) == len(set(kept["node"].tolist())) < len(lines)
+    group = dict(zip(kept["node"].tolist(), key.tolist()))
+    of, linked = dict((node, bucket) for bucket, node in rows), set()
+    for a in of:
+        for b in range(1, a):
+            if of[a] == of[b] and op2.similar(lines[a - 1].tolist(), lines[b - 1].tolist()):
+                assert group[a] == group[b]
+                linked |= {a, b}
+    assert linked and len(group) < 2 * len(linked)
+    monkeypatch.setattr(op2, "COMPARED", 1)  # too many to compare: all of a bucket stay
+    many, _ = op2.near_members(members, 3)
+    assert set(many["node"].tolist()) >= set(group)
+
+
+def test_words_of_unlike_lines_are_not_fetched(spark, monkeypatch):
+    """Lines that share a run of words and nothing else meet in a bucket, and go before their words are fetched."""
+    import numpy as np
+
+    rng, chosen, tokens_of = random.Random(18), [], op2._tokens
+    shared = " ".join(f"common{k}" for k in range(8))
+    rows = [(i, f"{shared} " + " ".join(f"w{rng.randrange(10**9)}" for _ in range(40)), None, None, None) for i in range(60)]
+    near = rows[0][1].rsplit(" ", 1)[0] + " other"
+    rows.append((99, near, None, None, None))
+
+    def tokens(documents, filled):
+        chosen.append(int(np.unpackbits(filled).sum()))
+        return tokens_of(documents, filled)
+
+    monkeypatch.setattr(op2, "_tokens", tokens)
+    removed = {r.doc_id: r._removed for r in op2.dedup_lines(spark.createDataFrame(rows, DOCUMENTS)).collect()}
+    assert {i for i, n in removed.items() if n} == {99}
+    assert chosen[0] < 20
+
+
+def test_alike_lines_beyond_a_hub_make_few_pairs(spark, monkeypatch):
+    """Lines somewhat alike pass the parities; what comes out of the join of a bucket does not grow with their square."""
+    rng, counts, verified = random.Random(19), [], op2._verified
+    base = [f"v{k}" for k in range(60)]
+    rows = []
+    for i in range(150):
+        own = list(base)
+        for at in rng.sample(range(8, 60), 14):
+            own[at] = f"z{rng.randrange(10**6)}"
+        rows.append((i, " ".join(own), None, None, None))
+
+    def counted(pairs, tokens):
+        counts.append(pairs.count())
+        return verified(pairs, tokens)
+
+    monkeypatch.setattr(op2, "_verified", counted)
+    found = op2.dedup_lines(spark.createDataFrame(rows, DOCUMENTS)).collect()
+    groups = Groups()
+    lines = [r[1].split() for r in rows]
+    for a in range(len(lines)):
+        for b in range(a):
+            if op2.similar(lines[a], lines[b]):
+                groups.join(a, b)
+    assert {r.doc_id for r in found if r._removed} <= {i for i in range(len(lines)) if groups.find(i) != i}
+    assert sum(counts) <= 8 * len(rows)
