@@ -437,3 +437,34 @@ def test_passages_are_where_they_say(spark):
     vile = {i for i in range(0, 400, 4)}
     assert len(vile & {r.doc_id for r in found if "vile" in r.text}) > 90
     assert op10.passages(documents.limit(0), table).count() == 0
+
+
+def test_a_step_adds_up_all_slopes(monkeypatch):
+    """Features seen once, a few times and often in a step, against sums one by one; as many rows go at once as a cache holds."""
+    rng = np.random.default_rng(20)
+    history = (rng.zipf(1.3, (3000, 3)) % 900).astype(np.int64)
+    kinds = rng.integers(0, 8, 3000)
+    weights = rng.normal(size=(4096, 8)).astype(np.float32)
+    places, missed = op9.features(history, 4096), -op9.probabilities(weights, history)
+    missed[np.arange(3000), kinds] += 1
+    slope = np.zeros((4096, 8))
+    np.add.at(slope, places.ravel(), np.repeat(missed, op9.ACTIVE, axis=0))
+    slope[0] = missed.sum(axis=0)
+    squares = (slope**2).sum(axis=1)
+    wanted = weights + slope * (op9.RATE / np.sqrt(squares / 8 + 1))[:, None]
+    found, own, visits = weights.copy(), np.zeros(4096), np.zeros(4096)
+    op9.learn(found, own, visits, history, kinds)
+    assert np.allclose(found, wanted, atol=1e-4) and np.allclose(own, squares, rtol=1e-3, atol=1e-3)
+    assert visits[0] == 3000 and visits[1:].sum() == 3000 * op9.ACTIVE
+
+    rows, shares = [], op9.probabilities
+    monkeypatch.setattr(op9, "probabilities", lambda w, h: rows.append(len(h)) or shares(w, h))
+    long = np.tile(history, (4, 1))
+    model = {
+        "weights": weights, "pairs": np.zeros(0, np.int64), "pair_adds": np.zeros(0), "shares": np.zeros(0, np.int64),
+        "share_adds": np.zeros(0), "kept": 0.0, "classes": np.zeros(8),
+    }
+    nothing = np.full(len(long), -1)
+    out = op9.conditional(model, long, np.tile(kinds, 4), nothing, nothing)
+    assert np.allclose(out, np.log10(shares(weights, long)[np.arange(len(long)), np.tile(kinds, 4)]), atol=1e-5)
+    assert sum(rows) == len(long) and max(rows) <= 4096
